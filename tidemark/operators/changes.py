@@ -48,7 +48,7 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     )
 
 
-def apply_feed_scd2(
+def feed_parts(
     table: DataFrame,
     feed: DataFrame,
     dim: Dimension,
@@ -56,8 +56,8 @@ def apply_feed_scd2(
     first_key: int = 1,
     as_written: bool = False,
     effective_slice: bool = False,
-) -> DataFrame:
-    """A dimension after one feed: delivered keys closed, a version opened for every inserted image.
+) -> tuple[DataFrame, DataFrame]:
+    """The stored versions, those of inserted images closed, and a new version of every inserted image.
 
     The merge and the insert of update images see the same feed and give one result. ``as_written``
     keeps a detail of the first design: a key that was removed and comes back is closed, but gets no
@@ -72,7 +72,13 @@ def apply_feed_scd2(
     new = with_surrogate_keys(typed, by=[dim.key], first=first_key, name=dim.surrogate).withColumns(
         {"valid_from": ntz(as_of), "is_effective": F.lit(True)}
     )
-    return close_versions(table, inserts, dim.key, unique=effective_slice).unionByName(new)
+    return close_versions(table, inserts, dim.key, unique=effective_slice), new
+
+
+def apply_feed_scd2(table: DataFrame, feed: DataFrame, dim: Dimension, as_of: datetime | str, **options) -> DataFrame:
+    """A dimension after one feed; options as in ``feed_parts``."""
+    closed, new = feed_parts(table, feed, dim, as_of, **options)
+    return closed.unionByName(new)
 
 
 def fact_from_feed(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,22 +21,35 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = TRACKED_KEYS) -> list:
-    """Keys with more rows than two fair shares of a shuffle partition, at most ``limit`` of them.
+@dataclass(frozen=True)
+class Skew:
+    """Join keys that hold more rows than two fair shares of a shuffle partition."""
+
+    keys: list
+    nulls: bool
+
+    def __bool__(self) -> bool:
+        return self.nulls or bool(self.keys)
+
+
+def find_skew(df: DataFrame, key: str, limit: int = TRACKED_KEYS) -> Skew:
+    """The hot keys of a join column, at most ``limit`` of them, and whether NULL is one.
 
     One column is scanned into a mergeable sketch of bounded size. Its counts may be inexact; they
     only decide how rows are spread, never whether a row is kept.
     """
     width = shuffle_width(df.sparkSession)
-    found = (
-        df.where(F.col(key).isNotNull())
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(`{key}`, {limit}, {100 * limit})").alias("top"),
-        )
-        .first()
-    )
-    return [t["item"] for t in found["top"] or [] if t["count"] * width > 2 * found["rows"]]
+    present = F.col(key).isNotNull()
+    found = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~present).alias("nulls"),
+        F.expr(f"approx_top_k(`{key}`, {limit}, {100 * limit}) filter (where `{key}` is not null)").alias("top"),
+    ).first()
+
+    def hot(rows: int) -> bool:
+        return rows * width > 2 * found["rows"]
+
+    return Skew([t["item"] for t in found["top"] or [] if hot(t["count"])], hot(found["nulls"]))
 
 
 def lookup_join(
@@ -48,24 +63,20 @@ def lookup_join(
     """Join many rows to a table looked up by key, where one key may hold a large part of the rows.
 
     A lookup side below the broadcast limit is left to Spark, which then shuffles neither side.
-    Beyond it the hot keys are found first: their rows, and rows without a key, are spread over all
+    Beyond it the hot keys are found first. Their rows, and rows without a key, are spread over all
     shuffle partitions, and only the lookup rows of those few keys are repeated to meet them.
     """
     limit = broadcast_limit(lookup) if limit_bytes is None else limit_bytes
-    plain = F.col(fact_key) == F.col(lookup_key)
-    if plan_bytes(lookup) <= limit:
-        return facts.join(lookup, plain, how)
+    same_key = F.col(fact_key) == F.col(lookup_key)
+    skew = find_skew(facts, fact_key) if plan_bytes(lookup) > limit else None
+    if not skew:
+        return facts.join(lookup, same_key, how)
 
-    hot = hot_keys(facts, fact_key)
     width = shuffle_width(facts.sparkSession)
-    scattered = F.col(fact_key).isNull()
-    if hot:
-        scattered = scattered | F.col(fact_key).isin(hot)
+    is_hot = F.col(fact_key).isNull() | F.col(fact_key).isin(skew.keys)
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(width)).cast("int")
-    salted = facts.withColumn("_salt", F.when(scattered, spread).otherwise(F.lit(0)))
-    repeats = F.array(F.lit(0))
-    if hot:
-        repeats = F.when(F.col(lookup_key).isin(hot), F.sequence(F.lit(0), F.lit(width - 1))).otherwise(repeats)
-    repeated = lookup.withColumn("_lookup_salt", F.explode(repeats))
-    joined = salted.join(repeated, plain & (F.col("_salt") == F.col("_lookup_salt")), how)
+    salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
+    repeats = F.when(F.col(lookup_key).isin(skew.keys), F.sequence(F.lit(0), F.lit(width - 1)))
+    repeated = lookup.withColumn("_lookup_salt", F.explode(F.coalesce(repeats, F.array(F.lit(0)))))
+    joined = salted.join(repeated, same_key & (F.col("_salt") == F.col("_lookup_salt")), how)
     return joined.drop("_salt", "_lookup_salt")

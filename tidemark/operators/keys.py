@@ -12,17 +12,21 @@ from tidemark.functions.hashing import row_hash
 BUCKET_DIGITS = 4  # 65,536 buckets: enough to spread over thousands of tasks, small enough to broadcast
 
 
-def with_surrogate_keys(df: DataFrame, by: Sequence[str], first: int = 1, name: str = "sk") -> DataFrame:
+def with_surrogate_keys(
+    df: DataFrame, by: Sequence[str], first: int = 1, name: str = "sk", counted: DataFrame | None = None
+) -> DataFrame:
     """Adds ``first, first + 1, ...`` with no gap, one number per row.
 
     ``by`` names columns that identify a row. Rows are numbered inside hash buckets of those columns,
     and each bucket starts where the one before it ends. The numbers follow from the data alone, so a
-    lost executor or a second evaluation gives the same keys.
+    lost executor or a second evaluation gives the same keys. ``counted`` may be a frame with the same
+    rows of the ``by`` columns that is cheaper to count than ``df``.
     """
-    bucketed = df.withColumn("_bucket", F.substring(row_hash(by), 1, BUCKET_DIGITS))
+    bucket = F.substring(row_hash(by), 1, BUCKET_DIGITS)
+    bucketed = df.withColumn("_bucket", bucket)
     # At most 16 ** BUCKET_DIGITS rows, whatever the size of the input.
     starts = (
-        bucketed.groupBy("_bucket")
+        (df if counted is None else counted).groupBy(bucket.alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_bucket", (F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")).alias("_start"))
     )

@@ -23,11 +23,15 @@ def close_versions(table: DataFrame, batch: DataFrame, key: str, unique: bool =
     return marked.withColumn("is_effective", still).select(*table.columns)
 
 
+def untouched(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows whose key the batch does not deliver; the table holds one row per key."""
+    keys = batch.select(F.col(key).alias("_key")).distinct()
+    return table.join(keys, F.col(key) == F.col("_key"), "left_anti")
+
+
 def upsert(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Matched rows are overwritten in every column, the others inserted; one batch row per key."""
-    keys = batch.select(F.col(key).alias("_key"))
-    kept = table.join(keys, F.col(key) == F.col("_key"), "left_anti")
-    return kept.unionByName(batch.select(*table.columns))
+    return untouched(table, batch, key).unionByName(batch.select(*table.columns))
 
 
 def unmatched(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -48,26 +47,34 @@ DIM_USERS = Dimension(
 DIM_STATUS = Dimension("dim_status", (("id", "bigint"), ("status", "string")))
 
 
+def newest_states(batch: DataFrame, dim: Dimension) -> DataFrame:
+    """Of several states of one key in a batch the newest."""
+    times = [c for c in ("updated_at", "created_at") if c in batch.columns]
+    return newest_per_key(batch, dim.key, *times)
+
+
 def versions(
     batch: DataFrame,
     dim: Dimension,
     as_of: datetime | str,
     first_key: int = 1,
     latest_only: bool = True,
-    times: Sequence[str] = ("updated_at", "created_at"),
 ) -> DataFrame:
     """New effective versions with their surrogate keys, typed as the dimension declares.
 
     Of several states of one key in a batch the newest is kept; ``latest_only=False`` inserts them all.
     """
-    if latest_only:
-        known = [c for c in times if c in batch.columns]
-        batch = newest_per_key(batch, dim.key, *known)
-    typed = batch.select(
+    states = newest_states(batch, dim) if latest_only else batch
+    typed = states.select(
         *[require_not_null(F.col(c).cast(t), f"{dim.name}.{c}").alias(c) for c, t in dim.columns]
     )
-    by = [dim.key] if latest_only else dim.attributes
-    keyed = with_surrogate_keys(typed, by=by, first=first_key, name=dim.surrogate)
+    if latest_only:
+        # One row per key: counting the keys needs no second pass over whole states.
+        key_type = dict(dim.columns)[dim.key]
+        members = batch.select(F.col(dim.key).cast(key_type).alias(dim.key)).distinct()
+        keyed = with_surrogate_keys(typed, [dim.key], first_key, dim.surrogate, counted=members)
+    else:
+        keyed = with_surrogate_keys(typed, dim.attributes, first_key, dim.surrogate)
     return keyed.withColumns({"valid_from": ntz(as_of), "is_effective": F.lit(True)})
 
 
@@ -80,7 +87,7 @@ def changed_only(batch: DataFrame, effective: DataFrame, dim: Dimension) -> Data
     return batch.join(old, same, "left_anti")
 
 
-def apply_scd2(
+def scd2_parts(
     table: DataFrame,
     batch: DataFrame,
     dim: Dimension,
@@ -89,19 +96,24 @@ def apply_scd2(
     latest_only: bool = True,
     only_changed: bool = False,
     effective_slice: bool = False,
-) -> DataFrame:
-    """The dimension after one batch: delivered keys closed, their new versions effective.
+) -> tuple[DataFrame, DataFrame]:
+    """The stored versions, those of delivered keys closed, and the new versions of the batch.
 
     ``table`` may be the whole dimension or, with ``effective_slice``, only its effective versions:
-    closed versions stay closed either way. With ``only_changed`` a row that brings nothing new opens no version.
+    closed versions stay closed either way. With ``only_changed`` a row that brings nothing new opens
+    no version.
     """
     if only_changed:
-        if latest_only:
-            known = [c for c in ("updated_at", "created_at") if c in batch.columns]
-            batch = newest_per_key(batch, dim.key, *known)
-        batch = changed_only(batch, table.where("is_effective"), dim)
-    new = versions(batch, dim, as_of, first_key, latest_only)
-    return close_versions(table, batch, dim.key, unique=effective_slice).unionByName(new)
+        states = newest_states(batch, dim) if latest_only else batch
+        batch = changed_only(states, table.where("is_effective"), dim)
+    closed = close_versions(table, batch, dim.key, unique=effective_slice)
+    return closed, versions(batch, dim, as_of, first_key, latest_only)
+
+
+def apply_scd2(table: DataFrame, batch: DataFrame, dim: Dimension, as_of: datetime | str, **options) -> DataFrame:
+    """The dimension after one batch; options as in ``scd2_parts``."""
+    closed, new = scd2_parts(table, batch, dim, as_of, **options)
+    return closed.unionByName(new)
 
 
 def with_valid_to(table: DataFrame, key: str = "id") -> DataFrame:

@@ -27,7 +27,11 @@ def star_join(
     for dim, (row_key, dim_key), name in ((users, user_link, "_user"), (status, status_link, "_status")):
         versions = dim.where("is_effective") if effective else dim
         lookup = versions.select(F.col(dim_key).alias(f"{name}_key"), F.col(surrogate).alias(f"{name}_sk"))
-        rows = lookup_join(rows, lookup, row_key, f"{name}_key").drop(f"{name}_key")
+        if effective and name == "_status":
+            # An order meets its own status: one row per key on both sides, so no key is hot.
+            rows = rows.join(lookup, F.col(row_key) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
+        else:
+            rows = lookup_join(rows, lookup, row_key, f"{name}_key").drop(f"{name}_key")
     return rows
 
 

@@ -19,13 +19,21 @@ def wide_versions(extract: DataFrame, as_of: datetime | str) -> DataFrame:
     return extract.select("*", ntz(as_of).alias("valid_from"), F.lit(True).alias("is_effective"))
 
 
+def wide_parts(
+    table: DataFrame, extract: DataFrame, as_of: datetime | str, key: str = "order_id", effective_slice: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The stored versions, those of delivered orders closed, and the newest state of each order."""
+    times = [c for c in ORDER_TIMES if c in extract.columns]
+    new = wide_versions(newest_per_key(extract, key, *times), as_of)
+    return close_versions(table, extract, key, unique=effective_slice), new
+
+
 def load_wide(
     table: DataFrame | None,
     extract: DataFrame,
     as_of: datetime | str,
     as_written: bool = False,
     key: str = "order_id",
-    effective_slice: bool = False,
 ) -> DataFrame:
     """The wide table after one batch.
 
@@ -33,11 +41,8 @@ def load_wide(
     what it has just seeded and inserts it again. By default a first run seeds once, and of several
     states of one order in a batch only the newest is inserted.
     """
-    if not as_written:
-        extract = newest_per_key(extract, key, *[c for c in ORDER_TIMES if c in extract.columns])
     new = wide_versions(extract, as_of)
-    if table is None:
-        if not as_written:
-            return new
-        table = new
-    return close_versions(table, extract, key, unique=effective_slice).unionByName(new)
+    if as_written:
+        return close_versions(new if table is None else table, extract, key).unionByName(new)
+    closed, newest = wide_parts(new.limit(0) if table is None else table, extract, as_of, key)
+    return closed.unionByName(newest)

@@ -13,13 +13,14 @@ from tidemark.functions.schemas import struct
 from tidemark.operators.changes import (
     DIM_ORDERSTATUS,
     DIM_USER,
-    apply_feed_scd2,
     change_feed,
     fact_from_feed,
-    upsert_silver,
+    feed_parts,
 )
+from tidemark.operators.dedup import newest_per_key
+from tidemark.operators.merge import untouched
 from tidemark.operators.scd import Dimension
-from tidemark.tables import SnapshotTable
+from tidemark.tables import SnapshotTable, create_or_replace
 
 SILVER_USERS = struct(
     {
@@ -99,21 +100,26 @@ class ChangeWarehouse:
         """Brings delivered rows, in the shape of the silver tables, into silver."""
         for table, batch, created in ((self.users, users, "registered_at"), (self.orders, orders, "ordered_at")):
             if batch is not None and not table.has(batch_id):
-                state = table.current() if table.version else None
-                table.replace(upsert_silver(state, batch, table.key, "updated_at", created), batch_id)
+                newest = newest_per_key(batch, table.key, "updated_at", created)
+                table.replace(untouched(table.current(), batch, table.key), newest, batch_id)
 
     @staticmethod
     def _follow(source: SnapshotTable, consumer: SnapshotTable, apply: Callable[[DataFrame, str], None]) -> None:
-        """Hands the changes since the consumer's last position to ``apply``, with the new position."""
+        """Hands the changes since the consumer's last position to ``apply``, with the new position.
+
+        Both states are bucketed by their key, so they are compared without a shuffle. The feed is
+        written once, as a merge reads it several times.
+        """
         seen = int(consumer.commits[-1].batch_id) if consumer.commits else 0
         if source.version > seen:
             old = source.current(seen) if seen else source.current().limit(0)
-            apply(change_feed(old, source.current(), source.key), str(source.version))
+            feed = change_feed(old, source.current(), source.key)
+            apply(create_or_replace(feed, f"{consumer.path}/feed/{source.version:06d}"), str(source.version))
 
     def _follow_dimension(self, source: SnapshotTable, table: SnapshotTable, dim: Dimension, as_of) -> None:
         def apply(feed: DataFrame, position: str) -> None:
-            after = apply_feed_scd2(table.current(), feed, dim, as_of, table.next_key(), effective_slice=True)
-            table.replace_current(after, position)
+            closed, new = feed_parts(table.current(), feed, dim, as_of, table.next_key(), effective_slice=True)
+            table.replace_current(closed, new, position)
 
         self._follow(source, table, apply)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.schemas import struct
 from tidemark.operators.audit import star_rules
-from tidemark.operators.scd import DIM_STATUS, DIM_USERS, Dimension, apply_scd2
+from tidemark.operators.scd import DIM_STATUS, DIM_USERS, Dimension, scd2_parts
 from tidemark.operators.star import fact_orders
 from tidemark.plans.stages import Warehouse
 from tidemark.sources.incremental import incremental_rows
@@ -50,10 +50,16 @@ class StarWarehouse(Warehouse):
     def _load_dimension(self, dim: Dimension, table: SnapshotTable, batch: DataFrame, batch_id: str, as_of) -> None:
         if table.has(batch_id):
             return
-        after = apply_scd2(
-            table.current(), batch, dim, as_of, table.next_key(), only_changed=self.only_changed, effective_slice=True
+        closed, new = scd2_parts(
+            table.current(),
+            batch,
+            dim,
+            as_of,
+            first_key=table.next_key(),
+            only_changed=self.only_changed,
+            effective_slice=True,
         )
-        table.replace_current(after, batch_id)
+        table.replace_current(closed, new, batch_id)
 
     def extract(self, users: DataFrame, orders: DataFrame, taken_at: datetime | str) -> None:
         """Lands what is new or changed in both source tables."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.audit import wide_rules
-from tidemark.operators.wide import load_wide
+from tidemark.operators.wide import wide_parts
 from tidemark.plans.kimball import STATUSES
 from tidemark.plans.stages import Warehouse
 from tidemark.sources.contracts import stored_schema
@@ -38,9 +38,8 @@ class WideWarehouse(Warehouse):
         self.ingest("sales", at)
 
         def load_sales(extract: DataFrame, batch_id: str) -> None:
-            if self.fact_sales.has(batch_id):
-                return
-            table = self.fact_sales.current() if self.fact_sales.version else None
-            self.fact_sales.replace_current(load_wide(table, extract, at, effective_slice=True), batch_id)
+            if not self.fact_sales.has(batch_id):
+                closed, new = wide_parts(self.fact_sales.current(), extract, at, effective_slice=True)
+                self.fact_sales.replace_current(closed, new, batch_id)
 
         self.refresh("sales", at, load_sales)

@@ -22,6 +22,7 @@ from tidemark.sources.contracts import landing_schema, source_schema, stored_sch
 from tidemark.sources.registry import parse_schema, project_registered
 from tidemark.streaming.bronze import load_bronze, read_bronze
 from tidemark.streaming.delta import take_current
+from tidemark.tables import create_or_replace
 
 # The times the queries run at; the oracles use the same ones.
 WATERMARK = "2000-01-01 00:00:00"
@@ -286,23 +287,34 @@ def silver_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return state
 
 
-def _dim_users(spark: SparkSession, folder: str) -> DataFrame:
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A stage as a written table: read many times, computed once."""
+    return create_or_replace(df, workspace(spark, name))
+
+
+def scd2_dim_users(spark: SparkSession, folder: str) -> DataFrame:
     """All users, then the updated ones."""
-    first = scd.versions(views.users(spark, folder), scd.DIM_USERS, FIRST_LOAD)
-    return scd.apply_scd2(
-        first, views.users_updated(spark, folder), scd.DIM_USERS, SECOND_LOAD, keys.next_key(first), effective_slice=True
-    )
+    first = _stored(spark, scd.versions(views.users(spark, folder), scd.DIM_USERS, FIRST_LOAD), "dim_users")
+    batch, next_key = views.users_updated(spark, folder), keys.next_key(first)
+    return scd.apply_scd2(first, batch, scd.DIM_USERS, SECOND_LOAD, first_key=next_key, effective_slice=True)
 
 
 def _dim_status_first(spark: SparkSession, folder: str) -> DataFrame:
-    return scd.versions(views.orders_first_seen(spark, folder), scd.DIM_STATUS, FIRST_LOAD)
+    first = scd.versions(views.orders_first_seen(spark, folder), scd.DIM_STATUS, FIRST_LOAD)
+    return _stored(spark, first, "dim_status")
 
 
-def _dim_status(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders as first seen, then the updated ones."""
+def _second_status_load(spark: SparkSession, folder: str, batch: DataFrame, **options) -> DataFrame:
     first = _dim_status_first(spark, folder)
-    batch = views.orders_updated(spark, folder)
-    return scd.apply_scd2(first, batch, scd.DIM_STATUS, SECOND_LOAD, keys.next_key(first), effective_slice=True)
+    next_key = keys.next_key(first)
+    return scd.apply_scd2(
+        first, batch, scd.DIM_STATUS, SECOND_LOAD, first_key=next_key, effective_slice=True, **options
+    )
+
+
+def scd2_dim_status(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as first seen, then the updated ones."""
+    return _second_status_load(spark, folder, views.orders_updated(spark, folder))
 
 
 def scd2_close(spark: SparkSession, folder: str) -> DataFrame:
@@ -311,28 +323,29 @@ def scd2_close(spark: SparkSession, folder: str) -> DataFrame:
 
 def scd2_only_changed(spark: SparkSession, folder: str) -> DataFrame:
     """Every order delivered again in its last state: only a new status opens a version."""
-    first = _dim_status_first(spark, folder)
-    batch = views.orders(spark, folder)
-    return scd.apply_scd2(
-        first, batch, scd.DIM_STATUS, SECOND_LOAD, keys.next_key(first), only_changed=True, effective_slice=True
-    )
+    return _second_status_load(spark, folder, views.orders(spark, folder), only_changed=True)
 
 
 def scd2_valid_to(spark: SparkSession, folder: str) -> DataFrame:
-    return scd.with_valid_to(_dim_status(spark, folder))
+    return scd.with_valid_to(scd2_dim_status(spark, folder))
 
 
 # Facts and the wide table
 
 
+def _dimensions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    users = _stored(spark, scd2_dim_users(spark, folder), "dim_users")
+    return users, _stored(spark, scd2_dim_status(spark, folder), "dim_status")
+
+
 def fact_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return star.fact_orders(views.orders(spark, folder), _dim_users(spark, folder), _dim_status(spark, folder))
+    return star.fact_orders(views.orders(spark, folder), *_dimensions(spark, folder))
 
 
 def fact_orders_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """As first written: every version of a user and of a status adds a row."""
     orders = views.orders_first_seen(spark, folder)
-    return star.fact_orders(orders, _dim_users(spark, folder), _dim_status(spark, folder), effective=False)
+    return star.fact_orders(orders, *_dimensions(spark, folder), effective=False)
 
 
 def _sales(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
@@ -393,26 +406,28 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return changes.change_feed(old, new, "id")
 
 
+def _feeds(spark: SparkSession, first: DataFrame, last: DataFrame, key: str) -> list[DataFrame]:
+    """Feeds of two silver loads, each written once as several gold tables read it."""
+    feeds = (changes.change_feed(first.limit(0), first, key), changes.change_feed(first, last, key))
+    return [_stored(spark, feed, "feed") for feed in feeds]
+
+
 def _order_feeds(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """Feeds of two silver loads: the orders known at one time, then all in their last state."""
+    """The orders known at one time, then all in their last state."""
     first = orders_to_silver(views.orders_as_of(spark, folder, WATERMARK))
-    last = orders_to_silver(views.orders(spark, folder))
-    return [changes.change_feed(first.limit(0), first, "order_id"), changes.change_feed(first, last, "order_id")]
+    return _feeds(spark, first, orders_to_silver(views.orders(spark, folder)), "order_id")
 
 
 def _user_feeds(spark: SparkSession, folder: str) -> list[DataFrame]:
     first = users_to_silver(views.users(spark, folder))
-    last = users_to_silver(views.users_last_state(spark, folder))
-    return [changes.change_feed(first.limit(0), first, "user_id"), changes.change_feed(first, last, "user_id")]
+    return _feeds(spark, first, users_to_silver(views.users_last_state(spark, folder)), "user_id")
 
 
 def _follow(spark: SparkSession, feeds: list[DataFrame], dim: scd.Dimension) -> DataFrame:
-    table, first_key = dim.empty(spark), 1
-    for feed, as_of in zip(feeds, (FIRST_LOAD, SECOND_LOAD)):
-        table = changes.apply_feed_scd2(table, feed, dim, as_of, first_key)
-        if as_of == FIRST_LOAD:
-            first_key = keys.next_key(table, dim.surrogate)
-    return table
+    first = changes.apply_feed_scd2(dim.empty(spark), feeds[0], dim, FIRST_LOAD, effective_slice=True)
+    stored = _stored(spark, first, dim.name)
+    next_key = keys.next_key(stored, dim.surrogate)
+    return changes.apply_feed_scd2(stored, feeds[1], dim, SECOND_LOAD, first_key=next_key, effective_slice=True)
 
 
 def cdc_scd2(spark: SparkSession, folder: str) -> DataFrame:
@@ -425,8 +440,10 @@ def cdc_dim_user(spark: SparkSession, folder: str) -> DataFrame:
 
 def cdc_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Orders that entered with the second load, with the versions effective after it."""
-    feed = _order_feeds(spark, folder)[1]
-    return changes.fact_from_feed(feed, cdc_scd2(spark, folder), cdc_dim_user(spark, folder))
+    feeds = _order_feeds(spark, folder)
+    status = _stored(spark, _follow(spark, feeds, changes.DIM_ORDERSTATUS), "dim_orderstatus")
+    users = _stored(spark, cdc_dim_user(spark, folder), "dim_user")
+    return changes.fact_from_feed(feeds[1], status, users)
 
 
 def cdc_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -469,8 +486,8 @@ QUERIES: dict[str, Query] = {
     "scd1_upsert": scd1_upsert,
     "silver_upsert": silver_upsert,
     "scd2_close": scd2_close,
-    "scd2_dim_users": _dim_users,
-    "scd2_dim_status": _dim_status,
+    "scd2_dim_users": scd2_dim_users,
+    "scd2_dim_status": scd2_dim_status,
     "scd2_only_changed": scd2_only_changed,
     "scd2_valid_to": scd2_valid_to,
     "fact_orders": fact_orders,

@@ -13,14 +13,15 @@ from tidemark.functions.schemas import struct
 from tidemark.operators.audit import Rule, require_passed, rule_table, run_audit
 from tidemark.operators.contracts import enforce
 from tidemark.operators.dedup import first_per_hash
+from tidemark.operators.watermark import high_water_value
 from tidemark.sources.contracts import SCHEMA_VERSION, landing_schema, source_schema, stored_schema
 from tidemark.sources.landing import write_landing
 from tidemark.sources.registry import parse_schema, project_registered, publish_schema, read_registry
 from tidemark.streaming.bronze import load_bronze
 from tidemark.streaming.delta import consume
-from tidemark.tables import SnapshotTable, create_or_replace
+from tidemark.tables import SnapshotTable, create_or_replace, path_exists
 
-WATERMARKS = struct({"entity": "string", "watermark": "timestamp_ntz"})
+WATERMARKS = struct({"watermark": "timestamp_ntz"})
 
 
 class Warehouse:
@@ -29,7 +30,6 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, rules: Sequence[Rule], stop_on_failure: bool = True):
         self.spark, self.root, self.rules = spark, root.rstrip("/"), list(rules)
         self.stop_on_failure = stop_on_failure
-        self.control = {}
 
     def gold(self, name: str, schema: T.StructType, key: str, surrogate: str | None = None) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/gold/{name}", schema, key, surrogate)
@@ -38,16 +38,13 @@ class Warehouse:
         for entity in entities:
             publish_schema(self.spark, f"{self.root}/landing", entity, landing_schema(entity))
 
-    def _control(self, entity: str) -> SnapshotTable:
-        if entity not in self.control:
-            path = f"{self.root}/control/{entity}"
-            self.control[entity] = SnapshotTable(self.spark, path, WATERMARKS, "entity", buckets=1)
-        return self.control[entity]
-
     def watermark(self, entity: str) -> datetime:
-        """The newest source time that was landed, kept per entity."""
-        row = self._control(entity).current().first()
-        return row["watermark"] if row else EXTRACT_FLOOR
+        """The newest source time that was landed, kept per entity: one small record per batch."""
+        path = f"{self.root}/control/{entity}"
+        if not path_exists(self.spark, path):
+            return EXTRACT_FLOOR
+        log = self.spark.read.schema(WATERMARKS).option("recursiveFileLookup", "true").json(path)
+        return high_water_value(log, "watermark")
 
     def land(self, entity: str, batch: DataFrame, taken_at: datetime | str, prefix: str = "") -> dict | None:
         """Checks a batch against its contract, lands it, and moves the watermark of its entity."""
@@ -56,9 +53,9 @@ class Warehouse:
             checked, f"{self.root}/landing", entity, taken_at, f"{prefix}created_at", f"{prefix}updated_at"
         )
         if landed:
-            newest = as_datetime(landed["watermark"])
-            row = self.spark.createDataFrame([(entity, newest)], WATERMARKS)
-            self._control(entity).replace(row, f"{as_datetime(taken_at):%Y%m%dT%H%M%S}")
+            row = self.spark.createDataFrame([(as_datetime(landed["watermark"]),)], WATERMARKS)
+            record = f"{self.root}/control/{entity}/{as_datetime(taken_at):%Y%m%dT%H%M%S}"
+            row.coalesce(1).write.mode("overwrite").json(record)
         return landed
 
     def ingest(self, entity: str, loaded_at: datetime | str, max_files: int | None = None) -> None:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,48 +104,54 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self.current().unionByName(self.history())
 
-    def replace_current(self, rows: DataFrame, batch_id: str) -> bool:
-        """Effective rows become the current slice, the others join the history."""
-        return self._commit(rows, F.when(F.col("is_effective"), "current").otherwise("history"), batch_id, True)
+    def replace_current(self, kept: DataFrame, new: DataFrame, batch_id: str) -> bool:
+        """Effective rows become the current slice, the others join the history.
 
-    def replace(self, rows: DataFrame, batch_id: str) -> bool:
+        ``kept`` are stored rows after a merge and stay in their bucket; ``new`` rows are sent to theirs.
+        """
+        return self._commit(kept, new, F.when(F.col("is_effective"), "current").otherwise("history"), batch_id)
+
+    def replace(self, kept: DataFrame, new: DataFrame, batch_id: str) -> bool:
         """All rows become the current slice."""
-        return self._commit(rows, F.lit("current"), batch_id, True)
+        return self._commit(kept, new, F.lit("current"), batch_id)
 
     def append(self, rows: DataFrame, batch_id: str) -> bool:
         """All rows join the history."""
-        return self._commit(rows, F.lit("history"), batch_id, False)
+        return self._commit(None, rows, F.lit("history"), batch_id)
+
+    def _in_buckets(self, kept: DataFrame, new: DataFrame) -> DataFrame:
+        """Stored rows in their buckets and new rows sent to theirs: two files per bucket at most."""
+        sent = new.select(*self.schema.names).repartition(self.buckets, self.key)
+        if not self.version:
+            return sent
+        return kept.select(*self.schema.names).unionByName(sent)
 
-    def _commit(self, rows: DataFrame, slice_of, batch_id: str, replaces: bool) -> bool:
+    def _commit(self, kept: DataFrame | None, new: DataFrame, slice_of: Column, batch_id: str) -> bool:
         if self.has(batch_id):
             return False
-        version, buckets = self.version + 1, self.buckets
-        token = uuid.uuid4().hex
+        version, token = self.version + 1, uuid.uuid4().hex
         folder = f"{self.path}/data/{version:06d}-{token}"
         seen = Observation(token)
-        in_current = slice_of == "current"
         last_key = F.max(self.surrogate) if self.surrogate else F.lit(None)
-        sliced = (
-            rows.select(*self.schema.names)
-            .withColumn("slice", slice_of)
-            .observe(
-                seen,
-                F.count_if(F.col("slice") == "current").alias("current_rows"),
-                F.count_if(F.col("slice") == "history").alias("history_rows"),
-                last_key.cast("bigint").alias("last_key"),
-            )
+        rows = new.select(*self.schema.names) if kept is None else self._in_buckets(kept, new)
+        sliced = rows.withColumn("slice", slice_of).observe(
+            seen,
+            F.count_if(F.col("slice") == "current").alias("current_rows"),
+            F.count_if(F.col("slice") == "history").alias("history_rows"),
+            last_key.cast("bigint").alias("last_key"),
         )
         writer = sliced.write.partitionBy("slice")
-        if replaces:
+        if kept is None:
+            writer.parquet(folder)
+        else:
             # saveAsTable is the only bucketed writer; the name is dropped again, the files stay.
             name = f"tidemark_write_{token}"
-            writer.bucketBy(buckets, self.key).sortBy(self.key).option("path", folder).saveAsTable(name)
+            with _bucketed_scans(rows.sparkSession):
+                writer.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", folder).saveAsTable(name)
             self.spark.sql(f"DROP TABLE {name}")
-        else:
-            writer.parquet(folder)
         counts = seen.get
         commit = (
-            version, batch_id, folder, replaces, buckets,
+            version, batch_id, folder, kept is not None, self.buckets,
             counts["current_rows"], counts["history_rows"], counts["last_key"],
         )
         log = self.spark.createDataFrame([commit], COMMIT)
@@ -153,6 +160,18 @@ class SnapshotTable:
         return True
 
 
+@contextmanager
+def _bucketed_scans(spark: SparkSession):
+    """Keeps a bucketed table in its buckets even under a broadcast join, which would not need them."""
+    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def create_or_replace(df: DataFrame, path: str) -> DataFrame:
     """A stage table replaced as a whole: written once, then read from its files."""
     df.write.mode("overwrite").parquet(path)
