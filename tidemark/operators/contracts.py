@@ -46,8 +46,7 @@ class ContractError(ValueError):
 
 def require_not_null(value: Column, name: str) -> Column:
     """The value, or a failed job when it is NULL."""
-    message = F.lit(f"NULL in NOT NULL column {name}")
-    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.raise_error(F.lit(f"NULL in NOT NULL column {name}")))
 
 
 def _family(data_type: T.DataType) -> str:
@@ -93,17 +92,15 @@ def null_breaches(df: DataFrame, contract: T.StructType) -> DataFrame:
     return counts.select(F.inline(pairs)).where("breaches > 0")
 
 
-def _property_breaches(record: Column, name: str, rule: Mapping) -> list[Column]:
+def _property_breaches(name: str, rule: Mapping) -> list[Column]:
     """One column per keyword of a property: a message, or NULL when the keyword holds."""
-    value = F.try_variant_get(record, f"$.{name}", "variant")
-    kind = F.schema_of_variant(value)
-    is_number = kind.rlike(_NUMBER_TYPES)
+    kind = F.col(f"_kinds.{name}")
     checks = []
     if rule.get("type") == "number":
-        checks.append(F.when(value.isNotNull() & ~is_number, F.lit(f"{name}: not a number")))
+        checks.append(F.when(~kind.rlike(_NUMBER_TYPES), F.lit(f"{name}: not a number")))
     elif rule.get("type") == "string":
-        checks.append(F.when(value.isNotNull() & (kind != "STRING"), F.lit(f"{name}: not a string")))
-    number = F.when(is_number, F.try_variant_get(record, f"$.{name}", "double"))
+        checks.append(F.when(kind != "STRING", F.lit(f"{name}: not a string")))
+    number = F.when(kind.rlike(_NUMBER_TYPES), F.try_variant_get(F.col(f"_values.{name}"), "$", "double"))
     if "minimum" in rule:
         checks.append(F.when(number < rule["minimum"], F.lit(f"{name}: below {rule['minimum']}")))
     if "maximum" in rule:
@@ -118,18 +115,25 @@ def validate_records(df: DataFrame, json_column: str, schema: Mapping) -> DataFr
     not checked. Keywords on a property apply only where the property is present.
     """
     record = F.col("_record")
-    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT<"), F.lit(False))
+    properties = schema.get("properties", {})
+    names = sorted({*properties, *schema.get("required", [])})
+    values = [F.try_variant_get(record, f"$.{name}", "variant").alias(name) for name in names]
+    kinds = [F.schema_of_variant(F.col(f"_values.{name}")).alias(name) for name in names]
+    # Each step is its own projection, so a record is parsed once and a field is looked up once.
+    looked_up = (
+        df.withColumn("_record", F.try_parse_json(F.col(json_column)))
+        .withColumns({"_values": F.struct(*values), "_is_object": F.schema_of_variant(record).startswith("OBJECT<")})
+        .withColumn("_kinds", F.struct(*kinds))
+    )
     checks = [
-        F.when(F.try_variant_get(record, f"$.{name}", "variant").isNull(), F.lit(f"{name}: missing"))
-        for name in schema.get("required", [])
+        F.when(F.col(f"_kinds.{name}").isNull(), F.lit(f"{name}: missing")) for name in schema.get("required", [])
     ]
-    for name, rule in schema.get("properties", {}).items():
-        checks += _property_breaches(record, name, rule)
-    breaches = F.when(is_object, F.array_compact(F.array(*checks))).otherwise(F.array(F.lit("not an object")))
+    for name, rule in properties.items():
+        checks += _property_breaches(name, rule)
+    breaches = F.when(F.col("_is_object"), F.array_compact(F.array(*checks)))
     valid = F.size("breaches") == 0
     return (
-        df.withColumn("_record", F.try_parse_json(F.col(json_column)))
-        .withColumn("breaches", breaches)
+        looked_up.withColumn("breaches", F.coalesce(breaches, F.array(F.lit("not an object"))))
         .withColumns({"valid": valid, "message": F.when(valid, F.lit(VALID)).otherwise(F.lit(INVALID))})
-        .drop("_record")
+        .drop("_record", "_values", "_kinds", "_is_object")
     )

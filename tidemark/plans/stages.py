@@ -91,6 +91,8 @@ class Warehouse:
             )
 
         def load(rows: DataFrame, batch: int) -> None:
+            if rows.isEmpty():  # a micro-batch of empty files delivers nothing to audit or load
+                return
             batch_id = f"{entity}-{batch}"
             extract = create_or_replace(
                 project_registered(first_per_hash(rows), fields), f"{self.root}/silver/{table}/batch_id={batch}"
