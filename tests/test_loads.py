@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from seed import LATER, PLACED, RUN_1, RUN_2, RUN_3, orders, rows, users
 from tidemark.operators.audit import AuditFailed
-from tidemark.operators.scd import DIM_STATUS, scd2_parts
+from tidemark.operators.changes import change_feed
+from tidemark.operators.scd import DIM_STATUS, changed_only, scd2_parts
 from tidemark.plans.cdc import ChangeWarehouse, orders_to_silver, users_to_silver
 from tidemark.plans.kimball import StarWarehouse
 from tidemark.plans.obt import WideWarehouse
@@ -61,6 +62,23 @@ def test_a_merge_leaves_the_table_in_its_buckets(spark, tmp_path):
         assert not any("Exchange" in line and "_key" not in line and "Broadcast" not in line for line in above)
 
 
+def test_states_in_buckets_are_compared_where_they_lie(spark, tmp_path):
+    table = dim_table(spark, tmp_path / "dim")
+    commit(table, spark.range(1000).select("id", F.lit("a").alias("status")), "b1")
+    commit(table, spark.range(10).select("id", F.lit("b").alias("status")), "b2", RUN_2)
+    feed = change_feed(table.current(1), table.current(2), "id")
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
+    assert feed.count() == 20
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    batch = spark.range(1000).select("id", F.lit("a").alias("status"))
+    changed = changed_only(batch, table.current(), DIM_STATUS)
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert changed.count() == 10
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
 def test_append_only_table(spark, tmp_path):
     table = dim_table(spark, tmp_path / "fact")
     row = spark.sql("select 5L sk, 1L id, 's' status, timestamp_ntz'2020-01-01' valid_from, true is_effective")

@@ -29,12 +29,13 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows that turn the old state into the new one, with ``action`` and ``is_update``.
 
     An insert is one INSERT row and a removal one DELETE row; an update is a DELETE row with the old
-    image and an INSERT row with the new image, both marked as update. One join, keys are unique.
+    image and an INSERT row with the new image, both marked as update. One join on the plain key,
+    which is unique; two states bucketed by it are compared where they lie.
     """
     columns = new.columns
-    before = old.select(F.struct(*columns).alias("_before"))
-    after = new.select(F.struct(*columns).alias("_after"))
-    pairs = before.join(after, F.col(f"_before.{key}") == F.col(f"_after.{key}"), "full_outer")
+    before = old.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_before"))
+    after = new.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_after"))
+    pairs = before.join(after, F.col("_old_key") == F.col("_new_key"), "full_outer")
     changed = pairs.where(~F.col("_before").eqNullSafe(F.col("_after")))
     update = F.col("_before").isNotNull() & F.col("_after").isNotNull()
     images = F.array(

@@ -15,6 +15,8 @@ from tidemark.operators.contracts import require_not_null
 from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.keys import with_surrogate_keys
 from tidemark.operators.merge import close_versions
+from tidemark.session import workspace
+from tidemark.tables import create_or_replace
 
 
 @dataclass(frozen=True)
@@ -59,32 +61,38 @@ def versions(
     as_of: datetime | str,
     first_key: int = 1,
     latest_only: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """New effective versions with their surrogate keys, typed as the dimension declares.
 
     Of several states of one key in a batch the newest is kept; ``latest_only=False`` inserts them all.
+    ``unique`` says that the batch holds one state per key already.
     """
-    states = newest_states(batch, dim) if latest_only else batch
+    states = newest_states(batch, dim) if latest_only and not unique else batch
     typed = states.select(
         *[require_not_null(F.col(c).cast(t), f"{dim.name}.{c}").alias(c) for c, t in dim.columns]
     )
-    if latest_only:
+    counted = None
+    if latest_only and not unique:
         # One row per key: counting the keys needs no second pass over whole states.
         key_type = dict(dim.columns)[dim.key]
-        members = batch.select(F.col(dim.key).cast(key_type).alias(dim.key)).distinct()
-        keyed = with_surrogate_keys(typed, [dim.key], first_key, dim.surrogate, counted=members)
-    else:
-        keyed = with_surrogate_keys(typed, dim.attributes, first_key, dim.surrogate)
+        counted = batch.select(F.col(dim.key).cast(key_type).alias(dim.key)).distinct()
+    by = [dim.key] if latest_only else dim.attributes
+    keyed = with_surrogate_keys(typed, by, first_key, dim.surrogate, counted)
     return keyed.withColumns({"valid_from": ntz(as_of), "is_effective": F.lit(True)})
 
 
 def changed_only(batch: DataFrame, effective: DataFrame, dim: Dimension) -> DataFrame:
-    """Batch rows that differ from the effective version of their key, or have none."""
+    """Batch rows that differ from the effective version of their key, or have none.
+
+    Joined on the key alone, so that a table bucketed by it is not moved.
+    """
     old = effective.select(*[F.col(c).alias(f"_old_{c}") for c in dim.attributes])
     same = F.lit(True)
     for c, sql_type in dim.columns:
         same = same & F.col(c).cast(sql_type).eqNullSafe(F.col(f"_old_{c}"))
-    return batch.join(old, same, "left_anti")
+    met = batch.join(old, F.col(dim.key) == F.col(f"_old_{dim.key}"), "left")
+    return met.where(F.col(f"_old_{dim.key}").isNull() | ~same).select(*batch.columns)
 
 
 def scd2_parts(
@@ -101,13 +109,14 @@ def scd2_parts(
 
     ``table`` may be the whole dimension or, with ``effective_slice``, only its effective versions:
     closed versions stay closed either way. With ``only_changed`` a row that brings nothing new opens
-    no version.
+    no version; the rows that do are written once, since closing, numbering and inserting all read them.
     """
     if only_changed:
         states = newest_states(batch, dim) if latest_only else batch
-        batch = changed_only(states, table.where("is_effective"), dim)
+        changed = changed_only(states, table.where("is_effective"), dim)
+        batch = create_or_replace(changed, workspace(batch.sparkSession, f"{dim.name}_changed"))
     closed = close_versions(table, batch, dim.key, unique=effective_slice)
-    return closed, versions(batch, dim, as_of, first_key, latest_only)
+    return closed, versions(batch, dim, as_of, first_key, latest_only, unique=only_changed and latest_only)
 
 
 def apply_scd2(table: DataFrame, batch: DataFrame, dim: Dimension, as_of: datetime | str, **options) -> DataFrame:
