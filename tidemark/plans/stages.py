@@ -12,11 +12,10 @@ from tidemark.functions.clock import EXTRACT_FLOOR, as_datetime
 from tidemark.functions.schemas import struct
 from tidemark.operators.audit import Rule, require_passed, rule_table, run_audit
 from tidemark.operators.contracts import enforce
-from tidemark.operators.dedup import first_per_hash
 from tidemark.operators.watermark import high_water_value
 from tidemark.sources.contracts import SCHEMA_VERSION, landing_schema, source_schema, stored_schema
 from tidemark.sources.landing import write_landing
-from tidemark.sources.registry import parse_schema, project_registered, publish_schema, read_registry
+from tidemark.sources.registry import deduplicated_extract, parse_schema, publish_schema, read_registry
 from tidemark.streaming.bronze import load_bronze
 from tidemark.streaming.delta import consume
 from tidemark.tables import SnapshotTable, create_or_replace, path_exists
@@ -95,7 +94,7 @@ class Warehouse:
                 return
             batch_id = f"{entity}-{batch}"
             extract = create_or_replace(
-                project_registered(first_per_hash(rows), fields), f"{self.root}/silver/{table}/batch_id={batch}"
+                deduplicated_extract(rows, fields), f"{self.root}/silver/{table}/batch_id={batch}"
             )
             if rules:
                 failures = create_or_replace(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import variants
 from tidemark.operators.contracts import require_not_null
+from tidemark.operators.dedup import ARRIVAL_ORDER, first_per_key
 from tidemark.sources.contracts import SCHEMA_VERSION, schema_path
 
 
@@ -58,10 +59,28 @@ def parse_schema(text: str) -> list[RegistryField]:
     return fields
 
 
-def project_registered(df: DataFrame, fields: list[RegistryField], raw: str = "parquet_raw") -> DataFrame:
-    """Typed columns of each record, in schema order; a NULL in a NOT NULL field fails the job."""
+def registered_columns(fields: list[RegistryField], raw: str = "parquet_raw") -> list[Column]:
+    """Typed columns of a record, in schema order; a NULL in a NOT NULL field fails the job."""
     columns: list[Column] = []
     for f in fields:
         value = variants.field(F.col(raw), f.name, f.sql_type)
         columns.append((value if f.nullable else require_not_null(value, f.name)).alias(f.name))
-    return df.select(*columns)
+    return columns
+
+
+def project_registered(df: DataFrame, fields: list[RegistryField], raw: str = "parquet_raw") -> DataFrame:
+    """Each record as the typed columns of its schema."""
+    return df.select(*registered_columns(fields, raw))
+
+
+def deduplicated_extract(bronze: DataFrame, fields: list[RegistryField]) -> DataFrame:
+    """Typed columns of the first arrival of each record.
+
+    The fields are taken out before the shuffle: typed columns are narrower than whole records,
+    which carry every field name.
+    """
+    arrival = F.struct("md5", *ARRIVAL_ORDER).alias("_arrival")
+    typed = bronze.select(*registered_columns(fields), arrival)
+    order = [F.col(f"_arrival.{c}") for c in ARRIVAL_ORDER]
+    first = first_per_key(typed.withColumn("_md5", F.col("_arrival.md5")), ["_md5"], order)
+    return first.drop("_md5", "_arrival")
