@@ -10,11 +10,11 @@ from tidemark.operators.scd import DIM_STATUS, changed_only, scd2_parts
 from tidemark.plans.cdc import ChangeWarehouse, orders_to_silver, users_to_silver
 from tidemark.plans.kimball import StarWarehouse
 from tidemark.plans.obt import WideWarehouse
-from tidemark.session import workspace
+from tidemark.session import plan_bytes, workspace
 from tidemark.sources import landing
 from tidemark.sources.contracts import stored_schema
 from tidemark.streaming import bronze, delta
-from tidemark.tables import SnapshotTable, _bucketed_scans
+from tidemark.tables import SnapshotTable, _bucketed_scans, create_or_replace
 
 MOVED = (1, "francisco", 35, "new road 1", PLACED, LATER)
 SHIPPED = (1, 1, 30, "shipped", PLACED, LATER)
@@ -79,6 +79,23 @@ def test_states_in_buckets_are_compared_where_they_lie(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
 
 
+def test_the_bucket_count_follows_the_size(spark, tmp_path, monkeypatch):
+    table = dim_table(spark, tmp_path / "dim", buckets=None)
+    batch = create_or_replace(spark.range(1000).select("id", F.lit("a").alias("status")), f"{tmp_path}/batch")
+    table.fit(batch)
+    assert table.buckets == 1
+    commit(table, batch, "b1")
+    table.fit(batch)
+    assert table.buckets == 1
+    monkeypatch.setattr("tidemark.tables.BUCKET_BYTES", plan_bytes(batch) // 2)
+    table.fit(batch)
+    assert table.buckets > 3
+    commit(table, batch.where("id < 10"), "b2", RUN_2)
+    fresh = dim_table(spark, tmp_path / "dim", buckets=None)
+    assert fresh.buckets == fresh.commits[-1].buckets > 3
+    assert fresh.current().count() == 1000 and fresh.history().count() == 10
+
+
 def test_append_only_table(spark, tmp_path):
     table = dim_table(spark, tmp_path / "fact")
     row = spark.sql("select 5L sk, 1L id, 's' status, timestamp_ntz'2020-01-01' valid_from, true is_effective")

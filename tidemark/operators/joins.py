@@ -7,16 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import shuffle_width
+from tidemark.session import plan_bytes, shuffle_width
 
 TRACKED_KEYS = 100
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan, the one its broadcast decision rests on."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 

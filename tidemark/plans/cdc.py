@@ -100,6 +100,7 @@ class ChangeWarehouse:
         """Brings delivered rows, in the shape of the silver tables, into silver."""
         for table, batch, created in ((self.users, users, "registered_at"), (self.orders, orders, "ordered_at")):
             if batch is not None and not table.has(batch_id):
+                table.fit(batch)
                 newest = newest_per_key(batch, table.key, "updated_at", created)
                 table.replace(untouched(table.current(), batch, table.key), newest, batch_id)
 
@@ -118,6 +119,7 @@ class ChangeWarehouse:
 
     def _follow_dimension(self, source: SnapshotTable, table: SnapshotTable, dim: Dimension, as_of) -> None:
         def apply(feed: DataFrame, position: str) -> None:
+            table.fit(feed)
             closed, new = feed_parts(table.current(), feed, dim, as_of, table.next_key(), effective_slice=True)
             table.replace_current(closed, new, position)
 

@@ -50,6 +50,7 @@ class StarWarehouse(Warehouse):
     def _load_dimension(self, dim: Dimension, table: SnapshotTable, batch: DataFrame, batch_id: str, as_of) -> None:
         if table.has(batch_id):
             return
+        table.fit(batch)
         closed, new = scd2_parts(
             table.current(),
             batch,

@@ -39,6 +39,7 @@ class WideWarehouse(Warehouse):
 
         def load_sales(extract: DataFrame, batch_id: str) -> None:
             if not self.fact_sales.has(batch_id):
+                self.fact_sales.fit(extract)
                 closed, new = wide_parts(self.fact_sales.current(), extract, at, effective_slice=True)
                 self.fact_sales.replace_current(closed, new, batch_id)
 

@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import shuffle_width
+from tidemark.session import plan_bytes, shuffle_width
 
 COMMIT = (
     "version int, batch_id string, folder string, replaces boolean, "
     "buckets int, current_rows bigint, history_rows bigint, last_key bigint"
 )
 
+BUCKET_BYTES = 64 * 1024 * 1024  # of compressed files
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whichever file system its scheme names."""
@@ -31,7 +33,7 @@ class SnapshotTable:
     leaves a folder that no commit names. A batch id is committed once. One writer at a time.
 
     The current slice is bucketed and sorted by the key, so that a merge moves only the batch over
-    the network and not the table.
+    the network and not the table. The bucket count follows the size of the table (``fit``).
     """
 
     def __init__(
@@ -65,9 +67,22 @@ class SnapshotTable:
 
     @property
     def buckets(self) -> int:
-        if self.commits:
-            return self.commits[-1].buckets
-        return self._buckets or shuffle_width(self.spark)
+        """Buckets of the next commit: as chosen, or as in the last commit."""
+        if self._buckets:
+            return self._buckets
+        return self.commits[-1].buckets if self.commits else shuffle_width(self.spark)
+
+    def fit(self, batch: DataFrame) -> None:
+        """Chooses the bucket count from the file sizes of the current slice and of a written batch.
+
+        There are at most as many buckets as the session's shuffles have partitions, also for a batch
+        whose size Spark does not know. A table is bucketed anew, which moves it once, only when it has
+        outgrown its buckets twice over.
+        """
+        size = plan_bytes(batch) + (plan_bytes(self.current()) if self.version else 0)
+        wanted = min(max(1, -(-size // BUCKET_BYTES)), shuffle_width(self.spark))
+        if not self.version or wanted > 2 * self.commits[-1].buckets:
+            self._buckets = wanted
 
     def has(self, batch_id: str) -> bool:
         return any(c.batch_id == batch_id for c in self.commits)
@@ -124,7 +139,10 @@ class SnapshotTable:
         sent = new.select(*self.schema.names).repartition(self.buckets, self.key)
         if not self.version:
             return sent
-        return kept.select(*self.schema.names).unionByName(sent)
+        stored = kept.select(*self.schema.names)
+        if self.buckets != self.commits[-1].buckets:
+            stored = stored.repartition(self.buckets, self.key)
+        return stored.unionByName(sent)
 
     def _commit(self, kept: DataFrame | None, new: DataFrame, slice_of: Column, batch_id: str) -> bool:
         if self.has(batch_id):
@@ -156,7 +174,7 @@ class SnapshotTable:
         )
         log = self.spark.createDataFrame([commit], COMMIT)
         log.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{version:06d}")
-        self._commits = None
+        self._commits = self._buckets = None
         return True
 
 
