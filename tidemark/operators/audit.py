@@ -39,6 +39,9 @@ def not_in_list(column: str, allowed: Sequence[str]) -> str:
     return f"{column} not in ({values})"
 
 
+# The numbers and texts of the rules.
+
+
 def star_rules(
     statuses: Sequence[str], users: str = "users_extract_cast", orders: str = "orders_extract_cast"
 ) -> list[Rule]:

@@ -84,8 +84,8 @@ class StarWarehouse(Warehouse):
                 )
                 self.fact_orders.append(facts, batch_id)
 
+        self.ingest(("users", "orders"), as_of, max_files)
         for entity, apply in (("users", load_users), ("orders", load_orders)):
-            self.ingest(entity, as_of, max_files)
             self.refresh(entity, as_of, apply, max_files)
 
     def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:

@@ -35,7 +35,7 @@ class WideWarehouse(Warehouse):
     def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:
         batch = joined_rows(orders, users, self.watermark("sales"))
         self.land("sales", batch, at, prefix="order_")
-        self.ingest("sales", at)
+        self.ingest(["sales"], at)
 
         def load_sales(extract: DataFrame, batch_id: str) -> None:
             if not self.fact_sales.has(batch_id):

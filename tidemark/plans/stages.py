@@ -16,7 +16,7 @@ from tidemark.operators.watermark import high_water_value
 from tidemark.sources.contracts import SCHEMA_VERSION, landing_schema, source_schema, stored_schema
 from tidemark.sources.landing import write_landing
 from tidemark.sources.registry import deduplicated_extract, parse_schema, publish_schema, read_registry
-from tidemark.streaming.bronze import load_bronze
+from tidemark.streaming.bronze import start_bronze
 from tidemark.streaming.delta import consume
 from tidemark.tables import SnapshotTable, create_or_replace, path_exists
 
@@ -57,16 +57,22 @@ class Warehouse:
             row.coalesce(1).write.mode("overwrite").json(record)
         return landed
 
-    def ingest(self, entity: str, loaded_at: datetime | str, max_files: int | None = None) -> None:
-        load_bronze(
-            self.spark,
-            f"{self.root}/landing/{entity}",
-            stored_schema(entity),
-            f"{self.root}/bronze/{entity}",
-            f"{self.root}/checkpoints/bronze_{entity}",
-            loaded_at,
-            max_files,
-        )
+    def ingest(self, entities: Sequence[str], loaded_at: datetime | str, max_files: int | None = None) -> None:
+        """Loads the waiting files of all entities into bronze, side by side."""
+        pipes = [
+            start_bronze(
+                self.spark,
+                f"{self.root}/landing/{entity}",
+                stored_schema(entity),
+                f"{self.root}/bronze/{entity}",
+                f"{self.root}/checkpoints/bronze_{entity}",
+                loaded_at,
+                max_files,
+            )
+            for entity in entities
+        ]
+        for pipe in pipes:
+            pipe.awaitTermination()
 
     def refresh(
         self,
