@@ -190,6 +190,14 @@ def test_star_load_on_the_seed(spark, tmp_path):
     assert warehouse.watermark("users") == LATER
 
 
+def test_a_source_without_rows_lands_nothing(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path))
+    warehouse.run(users(spark), orders(spark).limit(0), RUN_1)
+    assert (warehouse.dim_users.read().count(), warehouse.fact_orders.read().count()) == (3, 0)
+    warehouse.run(users(spark), orders(spark), RUN_2)
+    assert (warehouse.dim_users.read().count(), warehouse.fact_orders.read().count()) == (3, 3)
+
+
 def test_star_load_in_several_micro_batches(spark, tmp_path):
     warehouse = StarWarehouse(spark, str(tmp_path))
     warehouse.extract(users(spark).repartition(3), orders(spark).repartition(3), RUN_1)

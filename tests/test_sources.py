@@ -131,3 +131,11 @@ def test_projection_fails_on_a_null_and_on_a_wrong_type(spark):
         raw = spark.createDataFrame([(text,)], "t string").select(F.parse_json("t").alias("parquet_raw"))
         with pytest.raises(Exception, match=reason):
             registry.project_registered(raw, fields).collect()
+
+
+def test_watermark_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    orders(spark).write.parquet(path)
+    plan = incremental.incremental_rows(spark.read.parquet(path), PLACED)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].splitlines()[0]
+    assert "Or(GreaterThan(created_at" in pushed and "GreaterThan(updated_at" in pushed

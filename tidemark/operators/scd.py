@@ -68,17 +68,18 @@ def versions(
     Of several states of one key in a batch the newest is kept; ``latest_only=False`` inserts them all.
     ``unique`` says that the batch holds one state per key already.
     """
-    states = newest_states(batch, dim) if latest_only and not unique else batch
-    typed = states.select(
-        *[require_not_null(F.col(c).cast(t), f"{dim.name}.{c}").alias(c) for c, t in dim.columns]
-    )
-    counted = None
-    if latest_only and not unique:
+    typed = [require_not_null(F.col(c).cast(t), f"{dim.name}.{c}").alias(c) for c, t in dim.columns]
+    if not latest_only:
+        # Numbered by whole states, so that the many states of one key are spread.
+        keyed = with_surrogate_keys(batch, batch.columns, first_key, dim.surrogate).select(dim.surrogate, *typed)
+    elif unique:
+        keyed = with_surrogate_keys(batch.select(*typed), [dim.key], first_key, dim.surrogate)
+    else:
         # One row per key: counting the keys needs no second pass over whole states.
         key_type = dict(dim.columns)[dim.key]
-        counted = batch.select(F.col(dim.key).cast(key_type).alias(dim.key)).distinct()
-    by = [dim.key] if latest_only else dim.attributes
-    keyed = with_surrogate_keys(typed, by, first_key, dim.surrogate, counted)
+        members = batch.select(F.col(dim.key).cast(key_type).alias(dim.key)).distinct()
+        states = newest_states(batch, dim).select(*typed)
+        keyed = with_surrogate_keys(states, [dim.key], first_key, dim.surrogate, counted=members)
     return keyed.withColumns({"valid_from": ntz(as_of), "is_effective": F.lit(True)})
 
 
@@ -126,6 +127,9 @@ def apply_scd2(table: DataFrame, batch: DataFrame, dim: Dimension, as_of: dateti
 
 
 def with_valid_to(table: DataFrame, key: str = "id") -> DataFrame:
-    """Adds the start of the key's next version; NULL for the last one."""
+    """Adds the start of the key's next version; NULL for the last one.
+
+    A load opens at most one version per key, so a key has no more versions than there were loads.
+    """
     following = Window.partitionBy(key).orderBy("valid_from", "sk")
     return table.withColumn("valid_to", F.lead("valid_from").over(following))

@@ -58,7 +58,7 @@ class Warehouse:
         return landed
 
     def ingest(self, entities: Sequence[str], loaded_at: datetime | str, max_files: int | None = None) -> None:
-        """Loads the waiting files of all entities into bronze, side by side."""
+        """Loads the waiting files of all entities into bronze, side by side; one that never landed is left out."""
         pipes = [
             start_bronze(
                 self.spark,
@@ -70,6 +70,7 @@ class Warehouse:
                 max_files,
             )
             for entity in entities
+            if path_exists(self.spark, f"{self.root}/landing/{entity}")
         ]
         for pipe in pipes:
             pipe.awaitTermination()
@@ -86,6 +87,8 @@ class Warehouse:
         ``apply(extract, batch_id)`` writes gold tables under the batch id; a batch that fails
         anywhere is delivered again and its finished commits are skipped.
         """
+        if not path_exists(self.spark, f"{self.root}/bronze/{entity}"):
+            return
         registry = read_registry(self.spark, f"{self.root}/landing")
         fields = parse_schema(registry[entity][SCHEMA_VERSION])
         table = f"{entity}_extract_cast"
