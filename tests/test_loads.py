@@ -103,6 +103,26 @@ def test_append_only_table(spark, tmp_path):
     assert table.read().count() == 2 and table.current().count() == 0 and table.next_key() == 6
 
 
+def test_commits_without_rows(spark, tmp_path):
+    none = spark.createDataFrame([], DIM_STATUS.schema)
+    fact = dim_table(spark, tmp_path / "fact")
+    assert fact.append(none, "a") and fact.read().count() == 0 and fact.next_key() == 1
+    dim = dim_table(spark, tmp_path / "dim")
+    seed = spark.range(100).select("id", F.lit("a").alias("status"))
+    assert commit(dim, seed.where("id < 0"), "b1") and dim.read().count() == 0
+    assert commit(dim, seed, "b2") and dim.read().count() == 100
+    assert commit(dim, seed.where("id % 7 = 9"), "b3") and dim.read().count() == 100
+    assert dim.current().count() == 100 and dim.version == 3
+
+
+def test_a_batch_of_updates_only_adds_no_fact(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path))
+    warehouse.run(users(spark), orders(spark), RUN_1)
+    warehouse.run(users(spark), orders(spark, [SHIPPED]), RUN_2)
+    assert warehouse.fact_orders.version == 2 and warehouse.fact_orders.read().count() == 3
+    assert warehouse.dim_status.read().count() == 4
+
+
 def test_a_failed_commit_is_not_seen(spark, tmp_path):
     table = dim_table(spark, tmp_path / "dim")
     commit(table, spark.range(3).select("id", F.lit("a").alias("status")), "b1")
