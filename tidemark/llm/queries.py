@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, sharding
+from tidemark.llm import line_dedup, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +21,12 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.digest(spark, _table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_sharding, op9_line_dedup)
+    f.__name__: f for f in (op3_sharding, op9_line_dedup, op10_quality_rules)
 }
 
-ORACLES = {"op9_line_dedup": line_dedup.ORACLE}
+ORACLES = {"op10_quality_rules": quality_rules.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
