@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, quality_rules, sharding
+from tidemark.llm import line_dedup, ngram_join, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.digest(spark, _table(spark, folder, "documents"))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.placed(_table(spark, folder, "documents"))
 
@@ -26,7 +30,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_sharding, op9_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (op1_ngram_join, op3_sharding, op9_line_dedup, op10_quality_rules)
 }
 
 ORACLES = {"op10_quality_rules": quality_rules.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
