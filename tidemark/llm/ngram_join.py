@@ -123,6 +123,12 @@ def _close(percent: int) -> Column:
     return (100 * smaller >= percent * larger) & (distance * (100 + percent) <= (100 - percent) * total)
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    """With two hashes that tell rows apart by id and text; neither is ever missing."""
+    keyed = documents.withColumn("__version", F.xxhash64("text"))
+    return keyed.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), "__version"))
+
+
 class _Join:
     """One run's tables in the shared folder."""
 
@@ -173,10 +179,12 @@ class _Join:
         wanted = rows.join(buckets.select(F.col("node").alias("row")).distinct(), "row", "left_semi")
         wanted = wanted.select(F.col("row").alias("node"), F.col("doc_id").alias("id"), F.col("version").alias("of"), "n_shingles",
                                *(F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH_WORDS)))
-        on = self.documents["doc_id"].eqNullSafe(wanted["id"]) & (self.documents["version"] == wanted["of"])
+        wanted = wanted.withColumn("id", F.xxhash64("id", "of"))
+        documents = _keyed(self.documents.drop("version"))
+        on = (documents["__row"] == wanted["id"]) & (documents["__version"] == wanted["of"])
         # Repeated rows give a node's text several times.
-        found = self.documents.join(wanted, on).drop("doc_id", "version", "id", "of")
-        return found.dropDuplicates(["node"])
+        found = documents.join(wanted.hint("merge"), on).dropDuplicates(["__row", "__version"])
+        return found.drop("doc_id", "id", "of", "__row", "__version")
 
     def labelled(self, buckets: DataFrame, links: list[DataFrame], name: str) -> DataFrame:
         """Rows of the parts in which components still differ."""
@@ -248,10 +256,10 @@ def one_of_each(spark: SparkSession, documents: DataFrame, width: int = 5, perce
     keep = linked(spark, documents, width, percent)
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("version"))
     grouped = keep.filter("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(first).alias("first"))
-    chosen = grouped.select(F.col("first.doc_id").alias("id"), F.col("first.version").alias("of"))
-    alone = keep.filter("n_shingles = 0 or component_id is null").select(F.col("doc_id").alias("id"), F.col("version").alias("of"))
-    chosen = chosen.union(alone).distinct()
-    keyed = documents.withColumn("__version", F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(F.col("id")) & (keyed["__version"] == F.col("of"))
-    kept = keyed.join(chosen.hint("merge"), on).drop("id", "of", "__version")
-    return kept.dropDuplicates([c for c in ("doc_id", "text") if c in kept.columns])
+    chosen = grouped.select(F.col("first.doc_id").alias("id"), F.col("first.version").alias("__of"))
+    alone = keep.filter("n_shingles = 0 or component_id is null").select(F.col("doc_id").alias("id"), F.col("version").alias("__of"))
+    chosen = chosen.union(alone).select(F.xxhash64("id", "__of").alias("__id"), "__of").distinct()
+    keyed = _keyed(documents)
+    on = (keyed["__row"] == chosen["__id"]) & (keyed["__version"] == chosen["__of"])
+    kept = keyed.join(chosen.hint("merge"), on).dropDuplicates(["__row", "__version"])
+    return kept.select(*(kept[c] for c in documents.columns))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, line_dedup, ngram_join, quality_rules, secret_scan, sharding
+from tidemark.llm import language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.digest(_table(spark, folder, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(_table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
@@ -38,7 +42,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_sharding, op5_secret_scan, op6_language_id, op9_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (op1_ngram_join, op3_sharding, op5_secret_scan, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_quality_rules)
 }
 
 ORACLES = {"op10_quality_rules": quality_rules.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
