@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding
+from tidemark.llm import language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding
+
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +20,10 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.digest(spark, _table(spark, folder, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    return pieces.digest(_table(spark, folder, "documents"), model_file)
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.placed(_table(spark, folder, "documents"))
 
@@ -42,7 +49,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_sharding, op5_secret_scan, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_sharding, op5_secret_scan, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_quality_rules)
 }
 
 ORACLES = {"op10_quality_rules": quality_rules.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
