@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding
+from tidemark.llm import embedding_dedup, language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding, token_counts
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -28,6 +28,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.placed(_table(spark, folder, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.digest(spark, _table(spark, folder, "embeddings"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(_table(spark, folder, "documents"))
 
@@ -40,6 +44,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(_table(spark, folder, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, folder: str, rank_file: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
+    return token_counts.digest(spark, _table(spark, folder, "documents"), rank_file)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
@@ -49,7 +57,23 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_sharding, op5_secret_scan, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_quality_rules)
+    query.__name__: query
+    for query in (
+        op1_ngram_join,
+        op2_sentencepiece,
+        op3_sharding,
+        op4_embedding_dedup,
+        op5_secret_scan,
+        op6_language_id,
+        op7_best_fit_packing,
+        op8_token_counts,
+        op9_line_dedup,
+        op10_quality_rules,
+    )
 }
 
-ORACLES = {"op10_quality_rules": quality_rules.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLES = {
+    "op4_embedding_dedup": embedding_dedup.ORACLE,
+    "op9_line_dedup": line_dedup.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
+}
