@@ -1,0 +1,266 @@
+"""Sharding, line dedup, quality rules, token counts, secrets, languages and packing on odd and small tables."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import language_id, line_dedup, packing, pieces, quality_rules, secret_scan, sharding, token_counts
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def ordered(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def jump(key, shards):
+    bucket, after = -1, 0
+    key = (key or 0) % 2**64
+    while after < shards:
+        bucket = after
+        key = (key * 2862933555777941757 + 1) % 2**64
+        after = int((bucket + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return bucket
+
+
+def test_sharding_follows_the_jumps_and_numbers_slots_without_gaps(odd, small, nothing):
+    for df in (odd, small):
+        found, slots = sharding.placed(df).collect(), defaultdict(list)
+        assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == Counter(
+            (r.doc_id, 16 + len((r.text or "").encode()), zlib.crc32((r.text or "").encode())) for r in df.collect()
+        )
+        for r in found:
+            assert (r.shard, r.grown_shard) == (jump(r.doc_id, 40), jump(r.doc_id, 41)) and r.law == "key"
+            assert r.grown_shard in (r.shard, 40)
+            slots[r.shard].append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.placed(nothing).count() == 0
+
+
+def test_shards_are_written_as_folders(spark, small, tmp_path):
+    sharding.write_shards(small, "doc_id", 5, f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.count() == small.count() and {r.shard for r in back.select("shard").distinct().collect()} == set(range(5))
+
+
+def without_repeats(rows, window=3):
+    """Texts after removing later windows, by position."""
+    places, windows = {}, defaultdict(list)
+    for key in sorted({(i is not None, i or 0, t) for i, t in rows if t is not None}, key=lambda k: k[:2]):
+        places[key] = [n for n, line in enumerate(key[2].split("\n")) if re.search(r"[^\x20\x09-\x0D]", line)]
+    out = {}
+    for key, filled in places.items():
+        lines = key[2].split("\n")
+        for at in range(len(filled) - window + 1):
+            windows[tuple(lines[n] for n in filled[at : at + window])].append((key, at))
+    gone = {(key, filled) for found in windows.values() for key, at in found[1:] for filled in places[key][at : at + window]}
+    for key in places:
+        out[key] = "\n".join(line for n, line in enumerate(key[2].split("\n")) if (key, n) not in gone)
+    return out
+
+
+def test_line_dedup_removes_later_windows(odd, nothing):
+    one_text_each = odd.filter("doc_id is null or doc_id <> 12 or text not like 'another%'")
+    kept = line_dedup.dedup_lines(one_text_each.withColumn("kept_lines", F.lit("x")))
+    assert set(kept.columns) == {*odd.columns, "kept_lines", "removed_lines"}
+    expected = without_repeats([(r.doc_id, r.text) for r in one_text_each.collect()])
+    before = one_text_each.filter("text is not null").collect()
+    want = Counter((r.doc_id, expected[(r.doc_id is not None, r.doc_id or 0, r.text)]) for r in before)
+    assert Counter((r.doc_id, r.text) for r in kept.filter("text is not null").collect()) == want
+    assert kept.filter("text is null").count() == 2 and kept.agg(F.sum("removed_lines")).first()[0] > 3
+    assert line_dedup.dedup_lines(nothing).count() == 0
+
+
+def counts_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = list(zip(words, words[1:], words[2:]))
+    often = Counter(grams)
+    repeated = {p for i, g in enumerate(grams) if often[g] > 1 for p in (i, i + 1, i + 2)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated)
+
+
+def test_quality_statistics_and_verdicts(spark, odd, small, nothing):
+    for df in (odd, small):
+        found = quality_rules.digest(spark, df).collect()
+        assert Counter(tuple(r)[:6] for r in found) == Counter((r.doc_id, *counts_of(r.text or "")) for r in df.collect())
+        assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in found)
+        assert not any(r.kept and r.base_failed for r in found)
+    assert quality_rules.digest(spark, nothing).count() == 0
+
+
+def test_quality_estimates_follow_the_votes(spark):
+    names = list(quality_rules.RULES)
+    rows = [(*[1] * len(names), 900), *[(*[-1 if i == j else 1 for i in range(len(names))], 10) for j in range(2)], (*[-1] * len(names), 40)]
+    weights = quality_rules.estimate(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in [*names, "n"])))
+    assert weights["good"] > 0.85 and weights[f"{names[3]}-1bad"] > 10 * weights[f"{names[3]}-1good"]
+
+
+def test_token_counts_equal_encoding_each_text(spark, odd, small, nothing):
+    encoding = token_counts._encoding(RANKS)
+    for df in (odd, small):
+        found = Counter((r.doc_id, r.n_tokens) for r in token_counts.digest(spark, df, RANKS).collect())
+        assert found == Counter((r.doc_id, len(encoding.encode_ordinary(r.text or ""))) for r in df.collect())
+    assert token_counts.digest(spark, nothing, RANKS).count() == 0
+
+
+@pytest.mark.parametrize("block, run_length", [(1, 1), (7, 3), (64, 1024)])
+def test_separators_are_stitched_across_blocks(spark, tmp_path, block, run_length):
+    random_numbers, expected = np.random.default_rng(1), set()
+    for k, size in enumerate((0, 1, 50, 700)):
+        ids = random_numbers.integers(0, 6, size).astype("<u2")
+        ids[ids == 5] = token_counts.END
+        ids.tofile(tmp_path / f"{k}.bin")
+        ends = [-1, *np.flatnonzero(ids == token_counts.END).tolist()]
+        expected |= {(f"{k}.bin", n, a + 1, b - a - 1, True) for n, (a, b) in enumerate(zip(ends, ends[1:]))}
+        if ends[-1] + 1 < size:
+            expected.add((f"{k}.bin", len(ends) - 1, ends[-1] + 1, size - ends[-1] - 1, False))
+    blocks = token_counts.blocks_of(spark, f"{tmp_path}/*.bin", block)
+    found = token_counts.counted(blocks, f"{tmp_path}/out", run_length=run_length).collect()
+    assert {(os.path.basename(r.file), *tuple(r)[1:]) for r in found} == expected and len(found) == len(expected)
+
+
+def test_pieces_equal_the_library_and_come_back(odd, small, nothing):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for df in (odd, small):
+        rows = pieces.decoded(pieces.encoded(df.withColumn("piece_ids", F.lit(1)), PIECES), PIECES).collect()
+        for r in rows:
+            assert r.piece_ids == (None if r.text is None else model.encode(r.text))
+            assert r.piece_text == r.text
+        assert all(r.round_trip for r in pieces.digest(df, PIECES).collect())
+    assert pieces.digest(nothing, PIECES).count() == 0
+    odd_texts = ["a   b    c", "x" + " " * 33 + "y", "\x00\t\r\n", "▁a▁▁b", "😀é", "_" * 90, "<s> </s>", "  "]
+    assert [i.tolist() for i in pieces.pieces(PIECES).encode(odd_texts)] == [model.encode(t) for t in odd_texts]
+
+
+def base_of(text):
+    """Spans by scanning position by position."""
+    found = []
+    for kind, pattern, group, least in (
+        ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+        ("access", r"AKIA[A-Z0-9]+", 0, 16),
+        ("hex", r"[0-9a-f]+", 0, 32),
+    ):
+        found += [(m.start(), n, f"{kind}:{m.start()}:{m.end()}") for n, m in enumerate(re.finditer(pattern, text)) if len(m[group]) >= least]
+    order = {"assign": 0, "access": 1, "hex": 2}
+    return [s for _, s in sorted((((at, order[s.split(":")[0]]), s) for at, _, s in found))]
+
+
+SECRETS = ["secret: token: abcdefghij", "API_KEY='" + "Zz9-" * 5 + "'", "AKIA" + "Q7" * 8, "f" * 31, "0" * 32 + "g" + "a1" * 16, "paſſword=abcdefgh", 'é token = "%s" x' % ("ab12" * 10)]
+
+
+def test_base_spans_and_digests():
+    for text in SECRETS:
+        assert [f"{k}:{a}:{b}" for k, a, b in secret_scan.base_spans(text)] == base_of(text)
+    assert secret_scan.redacted("ab secret cd", [("hex", 3, 9), ("assign", 4, 8)]) == "ab [secret] cd"
+
+
+def test_secret_scan_keeps_the_base_and_learns(spark, odd, small, nothing):
+    rows = [(i, t) for i, t in enumerate(SECRETS)]
+    for df in (odd, small, spark.createDataFrame(rows, "doc_id long, text string")):
+        texts = Counter((r.doc_id, tuple(base_of(r.text or ""))) for r in df.collect())
+        found = secret_scan.digest(df).collect()
+        assert Counter((r.doc_id, tuple(s for s in r.spans.split(",") if s and not s.startswith("model"))) for r in found) == texts
+        for r in found:
+            base = [s for s in r.spans.split(",") if s and not s.startswith("model")]
+            assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+            assert [r.n_assign, r.n_access, r.n_hex] == [sum(s.startswith(k) for s in base) for k in ("assign", "access", "hex")]
+    assert secret_scan.digest(nothing).count() == 0
+
+
+def test_the_network_tells_random_keys_from_words():
+    r = random.Random(2)
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    word = lambda: "".join(r.choice(["tion", "er", "ing", "the", "and"]) for _ in range(8))
+    rows = [(f"{word()} token = ", key(), " ") for _ in range(200)] + [(f"{word()} ", word(), " ") for _ in range(200)]
+    net = secret_scan.train(rows, [1] * 200 + [0] * 200)
+    assert (net.probability([("see ", key(), ".") for _ in range(50)]) >= net.threshold).mean() > 0.9
+    assert (net.probability([("see ", word(), ".") for _ in range(50)]) >= net.threshold).mean() < 0.05
+    assert secret_scan.train(rows[:5], [1] * 5) is None
+    text = "see " + key() * 3 + " or " + word()
+    assert [s for s in secret_scan.find(text, net)] == [("hex", 4, 124)]
+
+
+def test_languages_are_found_on_held_out_documents(spark, odd, nothing):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language_id.digest(documents).join(documents.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.98 and np.mean([r.rejected for r in found]) < 0.01
+    assert all(0 <= r.score <= 1 for r in found)
+    rows = language_id.digest(odd).collect()
+    assert len(rows) == odd.count()
+    unknown = Counter(r.lang_pred == "und" for r in rows)
+    assert unknown[True] == sum(not any(c.isalpha() for c in r.text or "") for r in odd.collect())
+    assert language_id.digest(nothing).count() == 0
+    same = language_id.identified(odd.withColumn("lang_pred", F.lit(3)), language_id.fit_on(odd))
+    assert set(same.columns) == {*odd.columns, "lang_pred", "lang_score", "lang_rejected"}
+
+
+def plain_best_fit(items, capacity, per_source):
+    bins, placed = [], []
+    for length, cluster, source in items:
+        fits = [
+            (b["left"], n)
+            for n, b in enumerate(bins)
+            if b["left"] >= length and (cluster is None or cluster not in b["clusters"]) and (source is None or b["sources"].count(source) < per_source)
+        ]
+        if not fits:
+            bins.append({"left": capacity, "clusters": [], "sources": []})
+        number = min(fits)[1] if fits else len(bins) - 1
+        placed.append((number, capacity - bins[number]["left"]))
+        bins[number]["left"] -= length
+        bins[number]["clusters"].append(cluster)
+        bins[number]["sources"].append(source)
+    return placed
+
+
+def test_packing_equals_plain_best_fit():
+    for seed in range(150):
+        r = random.Random(seed)
+        items = [(r.randint(1, 20), r.choice([None, *range(6)]), r.choice([None, "a", "a", "b"])) for _ in range(r.randint(0, 60))]
+        items.sort(key=lambda x: (-x[0], str(x[1]), str(x[2])))
+        per_source = r.choice([1, 2, 3])
+        assert packing.pack(items, 30, per_source) == plain_best_fit(items, 30, per_source)
+
+
+def test_packed_pieces_cover_every_text_and_keep_bins_apart(odd, small, nothing):
+    for df in (odd, small):
+        found = packing.packed(df, packing.word_count(), F.xxhash64("text"), F.col("source"), 50, 3, 40).collect()
+        total = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        want = sum(n + 1 for n in (total(r.text) for r in df.collect()) if n)
+        assert sum(r.length for r in found) == want and len({r.bin for r in found if r.bin >= 0}) > 3
+        bins = defaultdict(list)
+        for r in found:
+            bins[r.bin].append(r)
+        for number, rows in bins.items():
+            if number >= 0:
+                rows.sort(key=lambda r: r.offset)
+                assert all(a.offset + a.length == b.offset for a, b in zip(rows, rows[1:])) and rows[-1].offset + rows[-1].length <= 50
+                assert len({r.version for r in rows}) == len(rows)
+        whole = Counter()
+        for r in found:
+            whole[(r.doc_id, r.version)] += r.length > 0
+        assert {r.doc_id for r in found} == {r.doc_id for r in df.collect()}
+    assert packing.digest(nothing).count() == 0
+
+
+@pytest.mark.parametrize("name", ["line_dedup", "quality_rules"])
+def test_oracles_agree_with_small_documents(spark, small, name):
+    connection = duckdb.connect()
+    connection.execute("create view documents as select * from read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    module = {"line_dedup": line_dedup, "quality_rules": quality_rules}[name]
+    ours = module.digest(small) if name == "line_dedup" else module.digest(spark, small)
+    relation = connection.sql(module.ORACLE)
+    assert ours.columns == relation.columns and ordered(ours) == sorted(relation.fetchall(), key=repr)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.words import mix, shingle_sets
-from tidemark.session import workspace
+from tidemark.session import shuffle_width, workspace
 
 SKETCH_WORDS = 8
 ROWS_AT_ONCE = 500
@@ -72,34 +72,111 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _sketched(width: int, percent: int):
+def _packed(keys: np.ndarray, sums: np.ndarray) -> tuple[bytes, bytes]:
+    """Upper 40 bits of the keys and the sums of their sets; the bucket tells the rest of a key well enough."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), sums.astype("<u8").tobytes()
+
+
+def _long_keys(upper: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
+    return ((upper << np.uint64(23)) | np.asarray(bucket, dtype=np.uint64)).view(np.int64)
+
+
+def _sketched(width: int, percent: int, buckets: int):
+    """One row per document, then the part keys of each Arrow batch as one packed row per bucket.
+
+    Of a key that several sets of a batch share, only one set goes on; the sets keep such keys (``local_keys``)
+    themselves. So a very common part sends a bucket one entry per batch.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = size_bands(percent)
         for whole in batches:
+            sizes, sums, sketches, keys = [], [], [], []
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(at, ROWS_AT_ONCE)
-                sets = shingle_sets(batch.column("text"), width)
-                keys = [part_keys(s, percent, bands).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-                ends = np.cumsum([0, *map(len, keys)])
-                totals = [(int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s + np.uint64(1))))) if len(s) else (0, 0) for s in sets]
-                sums = np.array(totals, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-                sketches = np.concatenate([sketch(s) for s in sets])
+                for s in shingle_sets(whole.column("text").slice(at, ROWS_AT_ONCE), width):
+                    sizes.append(len(s))
+                    sums.append((s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else (0, 0))
+                    sketches.append(sketch(s))
+                    keys.append(part_keys(s, percent, bands) if len(s) else np.zeros(0, np.uint64))
+            if not sizes:
+                continue
+            sums = np.array(sums, dtype=np.uint64).reshape(-1, 2)
+            flat, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            bucket, upper = flat % np.uint64(buckets), flat >> np.uint64(24)
+            order = np.lexsort((sums[owner, 0], upper, bucket))
+            bucket, upper, owner, flat = bucket[order], upper[order], owner[order], flat[order]
+            own_sums = sums[owner, 0]
+            new_key = np.ones(len(flat), dtype=bool)
+            new_key[1:] = (bucket[1:] != bucket[:-1]) | (upper[1:] != upper[:-1])
+            run_number = np.cumsum(new_key) - 1
+            first = np.flatnonzero(new_key)
+            ends = np.append(first[1:], len(flat)) - 1
+            shared = (own_sums[first] != own_sums[ends])[run_number] if len(flat) else np.zeros(0, bool)
+            by_owner = np.argsort(owner[shared], kind="stable")
+            local = _long_keys(upper[shared], bucket[shared])[by_owner]
+            local_ends = np.cumsum([0, *np.bincount(owner[shared], minlength=len(keys))])
+            n = len(keys)
+            none = lambda kind, size=n: pa.nulls(size, kind)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    whole.column("doc_id"),
+                    whole.column("version"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(np.ascontiguousarray(sums[:, 0]).view(np.int64)),
+                    pa.array(np.ascontiguousarray(sums[:, 1]).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * SKETCH_WORDS, pa.int32()), pa.array(np.concatenate(sketches))),
+                    pa.ListArray.from_arrays(pa.array(local_ends, pa.int32()), pa.array(local)),
+                    none(pa.int64()),
+                    none(pa.binary()),
+                    none(pa.binary()),
+                ],
+                names=ROW_NAMES,
+            )
+            edges = np.flatnonzero(np.append(True, bucket[first][1:] != bucket[first][:-1])) if len(first) else np.zeros(0, int)
+            parts = [(int(bucket[rows[0]]), *_packed(flat[rows], own_sums[rows])) for rows in np.split(first, edges[1:]) if len(rows)]
+            if parts:
+                m = len(parts)
+                numbers, packed, packed_sums = zip(*parts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id"),
-                        batch.column("version"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(sums[:, 0]),
-                        pa.array(sums[:, 1]),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys))),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * SKETCH_WORDS, pa.int32()), pa.array(sketches)),
+                        *(none(pa.int64(), m) for _ in range(5)),
+                        *(none(pa.list_(pa.int64()), m) for _ in range(2)),
+                        pa.array(numbers, pa.int64()),
+                        pa.array(packed, pa.binary()),
+                        pa.array(packed_sums, pa.binary()),
                     ],
-                    names=["doc_id", "version", "n_shingles", "sum", "xor", "keys", "sketch"],
+                    names=ROW_NAMES,
                 )
 
     return run
 
 
+ROW_NAMES = ["doc_id", "version", "n_shingles", "sum", "xor", "sketch", "local_keys", "bucket", "keys", "sums"]
+ROW_SCHEMA = (
+    "doc_id long, version long, n_shingles long, sum long, xor long, sketch array<long>, local_keys array<long>, "
+    "bucket long, keys binary, sums binary"
+)
+
+
+def _shared(key: tuple, table: pa.Table) -> pa.Table:
+    """(key, sum) of the keys of a bucket that different sets have."""
+    packed = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, 5)
+    upper = np.zeros((len(packed), 8), dtype=np.uint8)
+    upper[:, :5] = packed
+    upper = upper.view("<u8").ravel()
+    sums = np.frombuffer(b"".join(table.column("sums").to_pylist()), "<u8")
+    order = np.lexsort((sums, upper))
+    upper, sums = upper[order], sums[order]
+    new_pair = np.ones(len(upper), dtype=bool)
+    new_pair[1:] = (upper[1:] != upper[:-1]) | (sums[1:] != sums[:-1])
+    upper, sums = upper[new_pair], sums[new_pair]
+    twin = np.zeros(len(upper), dtype=bool)
+    same = upper[1:] == upper[:-1]
+    twin[1:] |= same
+    twin[:-1] |= same
+    return pa.table({"key": _long_keys(upper[twin], key[0].as_py()), "sum": sums[twin].view(np.int64)})
+
+
 def _verified(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -147,17 +224,19 @@ class _Join:
         return components(reduce(DataFrame.union, [x.filter("linked").select("a", "b") for x in links]), f"{self.folder}/{name}")
 
     def run(self) -> DataFrame:
-        schema = "doc_id long, version long, n_shingles long, sum long, xor long, keys array<long>, sketch array<long>"
-        rows = self.stored(
-            "rows",
-            self.documents.mapInArrow(_sketched(self.width, self.percent), schema).withColumn("row", F.monotonically_increasing_id()),
+        buckets = min(shuffle_width(self.spark), 1 << 23)
+        sketched = self.stored(
+            "rows", self.documents.mapInArrow(_sketched(self.width, self.percent, buckets), ROW_SCHEMA).withColumn("row", F.monotonically_increasing_id())
         )
+        rows = sketched.filter("bucket is null").drop("bucket", "keys", "sums")
         same = ["n_shingles", "sum", "xor"]
         nodes = self.stored("nodes", rows.filter("n_shingles > 0").groupBy(*same).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")))
-        keyed = rows.filter(F.size("keys") > 0).join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-        keys = keyed.select(F.explode("keys").alias("key"), F.col("row").alias("node"))
-        shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-        buckets = self.stored("buckets", keys.join(shared.hint("merge"), "key"))
+        packed = sketched.filter("bucket is not null").select("bucket", "keys", "sums")
+        shared = packed.groupBy("bucket").applyInArrow(_shared, "key long, sum long")
+        local = rows.filter(F.size("local_keys") > 0).select(F.explode("local_keys").alias("key"), "sum")
+        # Equal sets have equal sums; different sets with one sum would only meet more often.
+        shared = shared.union(local).distinct()
+        buckets = self.stored("buckets", shared.join(nodes.select("sum", "node").hint("merge"), "sum").select("key", "node"))
         members = self.stored("members", self.members(buckets, rows))
         links: list[DataFrame] = []
         for turn in range(PIVOT_ROUNDS):
