@@ -82,6 +82,20 @@ def test_skew_is_found(spark, skewed):
     assert not joins.find_skew(spark.range(1000), "id")
 
 
+def test_hundreds_of_hot_keys_are_all_spread(spark):
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        facts = spark.range(60_000).select("id", F.expr("if(id % 3 = 0, id, -1 - id % 300)").alias("k"))
+        lookup = spark.range(-400, 60_000).select(F.col("id").alias("key"), (F.col("id") * 10).alias("value"))
+        skew = joins.find_skew(facts, "k")
+        assert sorted(skew.keys) == sorted(-1 - i for i in range(300) if i % 3) and not skew.nulls
+        joined = joins.lookup_join(facts, lookup, "k", "key", limit_bytes=0)
+        assert rows(joined) == rows(facts.join(lookup, F.col("k") == F.col("key"), "left"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(skewed, how):
     facts, lookup = skewed

@@ -1,5 +1,7 @@
 """Snapshot tables, streaming ingest with restarts, and the loads end to end on the seed rows."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,3 +281,68 @@ def test_change_driven_load_on_the_seed(spark, tmp_path):
     facts = warehouse.fact_orders.read()
     assert sorted((r.id, r.order_id) for r in facts.collect())[-1] == (4, 4)
     assert facts.count() == 4
+
+
+def test_a_repeated_batch_neither_loses_nor_doubles_rows(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path))
+    late = (4, "anna", 40, "x", LATER, None)
+    warehouse.land("users", users(spark), RUN_1)  # then the run stops before the orders
+    everyone = users(spark).unionByName(users(spark, [late]))
+    warehouse.run(everyone, orders(spark), RUN_1)
+    assert warehouse.dim_users.read().count() == 3 and warehouse.fact_orders.read().count() == 3
+    warehouse.run(everyone, orders(spark), RUN_2)
+    assert warehouse.dim_users.read().count() == 4 and warehouse.fact_orders.read().count() == 3
+
+
+def test_a_landed_batch_without_its_record_is_not_landed_again(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path))
+    landing.write_landing(orders(spark), f"{tmp_path}/landing", "orders", RUN_1)  # stopped before the record
+    warehouse.ingest(["orders"], RUN_1)
+    warehouse.run(users(spark), orders(spark), RUN_1)
+    assert warehouse.fact_orders.read().count() == 3 and warehouse.watermark("orders") == PLACED
+
+
+def test_an_unfinished_attempt_is_not_read(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path))
+    warehouse.land("users", users(spark), RUN_1)
+    attempt = f"{tmp_path}/landing{landing.ATTEMPTS}/users-x/part.parquet"
+    landing.tag_schema(landing.timestamps_as_text(users(spark)), "users", "r").write.parquet(attempt)
+    warehouse.ingest(["users"], RUN_1)
+    assert bronze.read_bronze(spark, f"{tmp_path}/bronze/users").count() == 3
+
+
+def test_a_file_with_an_old_time_is_loaded(spark, tmp_path):
+    root = str(tmp_path)
+    landing.write_landing(users(spark), root, "users", RUN_1)
+    load = lambda: bronze.load_bronze(spark, f"{root}/users", stored_schema("users"), f"{root}/bronze", f"{root}/cp", RUN_1)
+    load()
+    path = landing.write_landing(users(spark, [MOVED]), root, "users", RUN_2)["path"]
+    for name in os.listdir(path):
+        os.utime(f"{path}/{name}", (1_000_000_000, 1_000_000_000))
+    load()
+    assert bronze.read_bronze(spark, f"{root}/bronze").count() == 4
+
+
+def test_a_lost_checkpoint_stops_the_load(spark, tmp_path):
+    StarWarehouse(spark, str(tmp_path)).run(users(spark), orders(spark), RUN_1)
+    os.rename(f"{tmp_path}/checkpoints/refresh_users", f"{tmp_path}/elsewhere")
+    with pytest.raises(RuntimeError, match="restore it"):
+        StarWarehouse(spark, str(tmp_path)).run(users(spark), orders(spark), RUN_2)
+
+
+def test_failure_ids_are_unique_over_entities_and_batches(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path), stop_on_failure=False)
+    old = (1, "x", 150, "a", PLACED, None)
+    warehouse.run(users(spark, [old]), orders(spark, [(1, 1, 0, "lost", PLACED, None)]), RUN_1)
+    warehouse.run(users(spark, [(2, "", 20, "a", LATER, None)]), orders(spark), RUN_2)
+    log = warehouse.failure_log().orderBy("id").collect()
+    assert [(r.id, r.id_dim_tests) for r in log] == [(1, 2), (2, 4), (3, 5), (4, 3)]
+    assert {r.id for r in warehouse.rule_catalogue().collect()} == {1, 2, 3, 4, 5}
+
+
+def test_an_order_of_an_unknown_user_stops_the_feed_driven_fact(spark, tmp_path):
+    warehouse = ChangeWarehouse(spark, str(tmp_path))
+    unknown = orders(spark, [(9, 99, 5, "processing", PLACED, None)])
+    warehouse.upsert(users_to_silver(users(spark)), orders_to_silver(unknown), RUN_1)
+    with pytest.raises(Exception, match="fact_orders.orderuser_id"):
+        warehouse.refresh(RUN_1)

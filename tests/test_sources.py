@@ -27,9 +27,11 @@ def test_watermark_is_strict_and_a_null_update_decides_nothing(spark):
     assert incremental.incremental_rows(batch).count() == 4
 
 
-def test_watermark_is_cut_to_whole_seconds(spark):
+def test_watermark_keeps_fractions_of_a_second(spark):
     batch = orders(spark, [(1, 1, 1, "a", datetime(2021, 1, 1, 0, 0, 0, 500), None)])
-    assert incremental.incremental_rows(batch, "2021-01-01 00:00:00.000900").count() == 1
+    assert incremental.incremental_rows(batch, "2021-01-01 00:00:00.000499").count() == 1
+    assert incremental.incremental_rows(batch, "2021-01-01 00:00:00.000500").count() == 0
+    assert "'2021-01-01 00:00:00.000500'" in incremental.jdbc_options("u", "orders", "2021-01-01 00:00:00.000500")["dbtable"]
 
 
 def test_joined_rows_keep_orders_without_a_user_and_drop_users_without_an_order(spark):
@@ -85,7 +87,8 @@ def test_landing_write_reports_rows_and_watermark_and_skips_an_empty_batch(spark
     assert landing.write_landing(orders(spark).limit(0), root, "orders", RUN_1) is None
     landed = landing.write_landing(orders(spark), root, "orders", RUN_1)
     assert landed["rows"] == 3 and landed["watermark"] == "2021-12-08 20:02:42"
-    landing.write_landing(orders(spark), root, "orders", RUN_1)  # same batch time: overwritten
+    again = landing.write_landing(orders(spark).limit(1), root, "orders", RUN_1)  # this batch time has landed
+    assert again == landed
     assert landing.read_landing(spark, root, "orders", stored_schema("orders")).count() == 3
 
 

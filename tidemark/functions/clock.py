@@ -23,10 +23,9 @@ def ntz(value: datetime | str | None) -> Column:
     return F.expr(f"timestamp_ntz'{as_datetime(value).isoformat(sep=' ')}'")
 
 
-def whole_second(value: datetime | str) -> datetime:
-    """Watermarks travel in source queries as ``YYYY-MM-DD HH:MM:SS``."""
-    return as_datetime(value).replace(microsecond=0)
+def time_text(value: datetime | str) -> str:
+    """``YYYY-MM-DD HH:MM:SS``, with the fraction of a second where there is one.
 
-
-def second_text(value: datetime | str) -> str:
-    return whole_second(value).isoformat(sep=" ")
+    A watermark that lost its fraction would select the rows of its last second again on every run.
+    """
+    return as_datetime(value).isoformat(sep=" ")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import ntz
 
 NOT_EMPTY = "not empty"
+RULES = "id bigint, description string, table_name string, test_sql string"
+FAILURES = "id bigint, id_dim_tests bigint, amount_records_failing bigint, timestamp timestamp_ntz"
 
 
 @dataclass(frozen=True)
@@ -69,11 +71,11 @@ def wide_rules(statuses: Sequence[str], sales: str = "sales_extract_cast") -> li
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """The catalogue as a table, replaced on every run."""
     rows = [(r.id, r.description, r.table_name, r.failing) for r in rules]
-    return spark.createDataFrame(rows, "id bigint, description string, table_name string, test_sql string")
+    return spark.createDataFrame(rows, RULES)
 
 
-def run_audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: datetime | str) -> DataFrame:
-    """One row per failed rule, with its number of failing rows.
+def run_audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: datetime | str, first_id: int = 1) -> DataFrame:
+    """One row per failed rule, with its number of failing rows, numbered from ``first_id``.
 
     All rules of a table are counted in one scan, and no failing row leaves the executors.
     """
@@ -93,7 +95,7 @@ def run_audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: dat
     failed = reduce(DataFrame.unionByName, counted).where("amount_records_failing > 0")
     # At most one row per rule reaches this window.
     return failed.select(
-        F.row_number().over(Window.orderBy("id_dim_tests")).cast("bigint").alias("id"),
+        (F.row_number().over(Window.orderBy("id_dim_tests")) + F.lit(first_id - 1)).cast("bigint").alias("id"),
         "id_dim_tests",
         "amount_records_failing",
         ntz(as_of).alias("timestamp"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import ntz
+from tidemark.operators.contracts import require_not_null
 from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.keys import with_surrogate_keys
 from tidemark.operators.merge import close_versions, unmatched, upsert
@@ -21,6 +22,7 @@ DIM_USER = Dimension(
     (("user_id", "bigint"), ("address", "string"), ("age", "bigint"), ("name", "string"), ("registered_at", "timestamp_ntz")),
     key="user_id",
     surrogate="id",
+    required=("user_id",),
 )
 DIM_ORDERSTATUS = Dimension("dim_orderstatus", (("order_id", "bigint"), ("status", "string")), key="order_id", surrogate="id")
 
@@ -69,7 +71,9 @@ def feed_parts(
     opened = inserts
     if as_written:
         opened = unmatched(inserts.where("not is_update"), table, dim.key).unionByName(inserts.where("is_update"))
-    typed = opened.select(*[F.col(c).cast(t).alias(c) for c, t in dim.columns])
+    required = dim.required if dim.required is not None else [c for c, _ in dim.columns]
+    values = {c: F.col(c).cast(t) for c, t in dim.columns}
+    typed = opened.select(*[(require_not_null(v, f"{dim.name}.{c}") if c in required else v).alias(c) for c, v in values.items()])
     new = with_surrogate_keys(typed, by=[dim.key], first=first_key, name=dim.surrogate).withColumns(
         {"valid_from": ntz(as_of), "is_effective": F.lit(True)}
     )
@@ -100,13 +104,8 @@ def fact_from_feed(
     )
     if not effective:
         facts = with_surrogate_keys(facts, by=["order_id", "_user_sk", "_status_sk"], first=first_key, name="id")
-    return facts.select(
-        "id",
-        "order_id",
-        F.col("_status_sk").alias("orderstatus_id"),
-        F.col("_user_sk").alias("orderuser_id"),
-        "ordered_at",
-    )
+    columns = {"id": "id", "order_id": "order_id", "_status_sk": "orderstatus_id", "_user_sk": "orderuser_id", "ordered_at": "ordered_at"}
+    return facts.select(*[require_not_null(F.col(c), f"fact_orders.{name}").alias(name) for c, name in columns.items()])
 
 
 def upsert_silver(table: DataFrame | None, batch: DataFrame, key: str, *times: str) -> DataFrame:

@@ -6,12 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import plan_bytes, shuffle_width
 
-TRACKED_KEYS = 100
-
-
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
@@ -27,24 +25,17 @@ class Skew:
         return self.nulls or bool(self.keys)
 
 
-def find_skew(df: DataFrame, key: str, limit: int = TRACKED_KEYS) -> Skew:
-    """The hot keys of a join column, at most ``limit`` of them, and whether NULL is one.
+def find_skew(df: DataFrame, key: str) -> Skew:
+    """All hot keys of a join column, and whether NULL is one.
 
-    One column is scanned into a mergeable sketch of bounded size. Its counts may be inexact; they
-    only decide how rows are spread, never whether a row is kept.
+    Keys are counted exactly, and counts combine before their shuffle. As a hot key holds more than two fair
+    shares of a partition, there are fewer of them than half the partitions.
     """
     width = shuffle_width(df.sparkSession)
-    present = F.col(key).isNotNull()
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~present).alias("nulls"),
-        F.expr(f"approx_top_k(`{key}`, {limit}, {100 * limit}) filter (where `{key}` is not null)").alias("top"),
-    ).first()
-
-    def hot(rows: int) -> bool:
-        return rows * width > 2 * found["rows"]
-
-    return Skew([t["item"] for t in found["top"] or [] if hot(t["count"])], hot(found["nulls"]))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    total = df.count()
+    hot = counts.where(F.col("rows") * width > 2 * total).select(key).collect()
+    return Skew([r[0] for r in hot if r[0] is not None], any(r[0] is None for r in hot))
 
 
 def lookup_join(
@@ -55,11 +46,13 @@ def lookup_join(
     how: str = "left",
     limit_bytes: int | None = None,
 ) -> DataFrame:
-    """Join many rows to a table looked up by key, where one key may hold a large part of the rows.
+    """Join many rows to a table looked up by key, where some keys may hold a large part of the rows.
 
-    A lookup side below the broadcast limit is left to Spark, which then shuffles neither side.
-    Beyond it the hot keys are found first. Their rows, and rows without a key, are spread over all
-    shuffle partitions, and only the lookup rows of those few keys are repeated to meet them.
+    A lookup side below the broadcast limit is left to Spark, which then shuffles neither side; which way is taken
+    changes the plan and never the rows. Beyond the limit the hot keys are found first. Rows of other keys meet the
+    lookup on the plain key, so that a bucketed lookup stays in its buckets. Rows of hot keys, and rows without a
+    key if these are many, are spread over all shuffle partitions, and the lookup rows of the hot keys are repeated
+    to meet them. The table of hot keys that is broadcast has fewer rows than half the shuffle partitions.
     """
     limit = broadcast_limit(lookup) if limit_bytes is None else limit_bytes
     same_key = F.col(fact_key) == F.col(lookup_key)
@@ -67,11 +60,16 @@ def lookup_join(
     if not skew:
         return facts.join(lookup, same_key, how)
 
-    width = shuffle_width(facts.sparkSession)
-    is_hot = F.col(fact_key).isNull() | F.col(fact_key).isin(skew.keys)
+    spark, width = facts.sparkSession, shuffle_width(facts.sparkSession)
+    kind = T.StructType([T.StructField("_hot_key", facts.schema[fact_key].dataType)])
+    hot_keys = F.broadcast(spark.createDataFrame([(k,) for k in skew.keys], kind))
+    is_hot = F.col(fact_key) == F.col("_hot_key")
+    cold = facts.join(hot_keys, is_hot, "left_anti")
+    hot = facts.join(hot_keys, is_hot, "left_semi")
+    if skew.nulls:
+        cold, hot = cold.where(F.col(fact_key).isNotNull()), hot.unionByName(facts.where(F.col(fact_key).isNull()))
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(width)).cast("int")
-    salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    repeats = F.when(F.col(lookup_key).isin(skew.keys), F.sequence(F.lit(0), F.lit(width - 1)))
-    repeated = lookup.withColumn("_lookup_salt", F.explode(F.coalesce(repeats, F.array(F.lit(0)))))
-    joined = salted.join(repeated, same_key & (F.col("_salt") == F.col("_lookup_salt")), how)
-    return joined.drop("_salt", "_lookup_salt")
+    repeated = lookup.join(hot_keys, F.col(lookup_key) == F.col("_hot_key"), "left_semi")
+    repeated = repeated.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
+    met = hot.withColumn("_salt", spread).join(repeated, same_key & (F.col("_salt") == F.col("_lookup_salt")), how)
+    return cold.join(lookup, same_key, how).unionByName(met.drop("_salt", "_lookup_salt"))

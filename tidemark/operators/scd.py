@@ -27,6 +27,7 @@ class Dimension:
     columns: tuple[tuple[str, str], ...]
     key: str = "id"
     surrogate: str = "sk"
+    required: tuple[str, ...] | None = None  # columns that are never NULL; None: all of them
 
     @property
     def attributes(self) -> list[str]:

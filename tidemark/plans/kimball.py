@@ -65,7 +65,7 @@ class StarWarehouse(Warehouse):
     def extract(self, users: DataFrame, orders: DataFrame, taken_at: datetime | str) -> None:
         """Lands what is new or changed in both source tables."""
         for entity, source in (("users", users), ("orders", orders)):
-            self.land(entity, incremental_rows(source, self.watermark(entity)), taken_at)
+            self.land(entity, incremental_rows(source, self.watermark(entity, taken_at)), taken_at)
 
     def load(self, as_of: datetime | str, max_files: int | None = None) -> None:
         """Loads everything landed so far into the gold tables."""

@@ -33,7 +33,7 @@ class WideWarehouse(Warehouse):
         self.publish_contracts("sales")
 
     def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:
-        batch = joined_rows(orders, users, self.watermark("sales"))
+        batch = joined_rows(orders, users, self.watermark("sales", at))
         self.land("sales", batch, at, prefix="order_")
         self.ingest(["sales"], at)
 

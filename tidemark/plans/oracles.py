@@ -186,6 +186,25 @@ def rules(users: str, orders: str, age: str, name: str, spent: str, status: str)
     ]
 
 
+def audited(users: str, orders: str, wanted: Sequence[int]) -> str:
+    """Failing rows of some rules of the star model, with the texts of the catalogue."""
+    return " union all ".join(
+        f"select cast({rule} as bigint) as id_dim_tests, cast({amount} as bigint) as amount_records_failing, "
+        f"'{RULE_TEXTS[rule].format(users='users_extract_cast', orders='orders_extract_cast')}' as description, "
+        f"'{'users' if table == users else 'orders'}_extract_cast' as table_name from {table}"
+        for rule, table, amount in rules(users, orders, "age", "name", "spent", "status")
+        if rule in wanted
+    )
+
+
+# The texts of the rules.
+RULE_TEXTS = {
+    1: "check {users} table is not empty",
+    2: "check {users} age is between 0 and 100",
+    3: "check {users} name is not empty",
+    4: "check {orders} spent is not null or negative",
+    5: "check {orders} status is valid",
+}
 STAR_FAILURES = failures(rules("src_users", "src_orders", "age", "name", "spent", "status"))
 SALES_FAILURES = failures(rules("sales", "sales", "user_age", "user_name", "order_spent", "order_status"))
 
@@ -253,6 +272,26 @@ def cdc_facts(orders: str, status: str, user: str, last: str = "0") -> str:
     """
 
 
+CDC_FACTS = query(
+    f"""
+    {cdc_facts("select id as order_id, id_user, created_at as ordered_at from src_as_of where status = 'processing'", "cdc_v1", "cdc_user_v1")}
+    union all
+    {cdc_facts(f"select * from {ENTERED}", "cdc_status", "cdc_user", "(select count(*) from src_as_of where status = 'processing')")}
+    """,
+    CDC_STATUS,
+    CDC_USER,
+)
+
+LOGGED = " union all ".join(
+    f"select {n} as batch, id_dim_tests, amount_records_failing, {ts(at)} as at, description, table_name from ({counted})"
+    for n, (at, counted) in enumerate(
+        (at, counted)
+        for at, users, orders in ((FIRST_LOAD, "src_users", "run_1"), (SECOND_LOAD, "users_run_2", "run_2"))
+        for counted in (audited(users, orders, (1, 2, 3)), audited(users, orders, (4, 5)))
+    )
+)
+
+
 ORACLES: dict[str, str] = {
     "incremental_extract": query(f"select * from src_orders where {newer(ts(WATERMARK))}"),
     "obt_extract": query(sales(f"(select * from src_orders where {newer(ts(WATERMARK))})")),
@@ -289,7 +328,11 @@ ORACLES: dict[str, str] = {
     "tag_schema": query(f"select *, {tags('orders')}, {schema_url('orders')} from src_orders"),
     "timestamps_as_text": query(f"select {ORDER_TEXT} from src_orders"),
     "row_hash": query(f"select id, {hashed(ORDER_COLUMNS)} as md5 from src_orders"),
-    "bronze_lineage": "select o_orderkey as id, row_number() over (order by o_orderkey) as metadata_row_number from orders",
+    "bronze_lineage": f"""
+        select o_orderkey as id, o_custkey as id_user, 'orders.parquet' as file,
+               row_number() over (order by o_orderkey) as metadata_row_number, {ts(FIRST_LOAD)} as created_at
+        from orders
+    """,
     "extract_cast": query(f"select {ORDER_TEXT}, {tags('orders')}, {schema_url('orders')} from src_orders"),
     "extract_fixed": query(
         """
@@ -495,14 +538,29 @@ ORACLES: dict[str, str] = {
     ),
     "cdc_scd2": query("select * from cdc_status", CDC_STATUS),
     "cdc_dim_user": query("select * from cdc_user", CDC_USER),
-    "cdc_fact": query(cdc_facts(f"select * from {ENTERED}", "cdc_status", "cdc_user"), CDC_STATUS, CDC_USER),
-    "cdc_load": query(
+    **dict.fromkeys(("cdc_fact", "cdc_load"), CDC_FACTS),
+    "landing_retry": query(
+        """
+        select id as user_id, address, cast(age as bigint) as age, name, created_at as registered_at, updated_at
+        from src_users
+        """
+    ),
+    "repeated_load": query(
         f"""
-        {cdc_facts("select id as order_id, id_user, created_at as ordered_at from src_as_of where status = 'processing'", "cdc_v1", "cdc_user_v1")}
-        union all
-        {cdc_facts(f"select * from {ENTERED}", "cdc_status", "cdc_user", "(select count(*) from src_as_of where status = 'processing')")}
+        select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at + interval 500 millisecond as created_at,
+               o.spent, u.sk as id_dim_user, s.sk as id_dim_status
+        from src_orders o left join u1 u on u.id = o.id_user left join s1 s on s.id = o.id
+        where o.updated_at is null
+        """,
+        f"u1 as (select {numbered(['id'])} as sk, id from src_users)",
+        f"s1 as (select {numbered(['id'])} as sk, id from src_orders)",
+    ),
+    "dq_failure_log": query(
+        f"""
+        select row_number() over (order by batch, id_dim_tests) as id, id_dim_tests, amount_records_failing,
+               at as "timestamp", description, table_name
+        from ({LOGGED}) where amount_records_failing > 0
         """,
-        CDC_STATUS,
-        CDC_USER,
+        RUNS,
     ),
 }

@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import SILVER_FLOOR, ntz
 from tidemark.functions.hashing import record_hash, row_hash
-from tidemark.functions.variants import renamed_fields, whole_record
+from tidemark.functions.variants import field, renamed_fields, whole_record
 from tidemark.operators import audit, changes, constraints, contracts, dedup, keys, merge, scd, star, watermark, wide
 from tidemark.plans import views
 from tidemark.plans.cdc import ChangeWarehouse, orders_to_silver, users_to_silver
 from tidemark.plans.kimball import StarWarehouse
 from tidemark.plans.obt import WideWarehouse
+from tidemark.plans.stages import Warehouse
 from tidemark.session import workspace
 from tidemark.sources import incremental, landing
 from tidemark.sources.contracts import landing_schema, source_schema, stored_schema
 from tidemark.sources.registry import parse_schema, project_registered
-from tidemark.streaming.bronze import load_bronze, read_bronze
+from tidemark.streaming.bronze import bronze_rows, load_bronze, read_bronze
 from tidemark.streaming.delta import take_current
 from tidemark.tables import create_or_replace
 
@@ -29,7 +30,8 @@ WATERMARK = "2000-01-01 00:00:00"
 SILVER_UNTIL = "1998-01-01 00:00:00"
 WINDOW_END = "2000-01-01 00:00:00"
 EVENTS_FROM, EVENTS_UNTIL = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
-FIRST_LOAD, SECOND_LOAD = "2002-01-01 00:00:00", "2002-02-01 00:00:00"
+FIRST_LOAD, SECOND_LOAD, THIRD_LOAD = "2002-01-01 00:00:00", "2002-02-01 00:00:00", "2002-03-01 00:00:00"
+USERS_UNTIL = "1995-01-05 00:00:00"
 KEPT_SINCE = "1996-01-01 00:00:00"
 AUDITED_STATUSES = ("processing", "shipped")
 REGISTRY_ROOT = "landing"
@@ -110,8 +112,14 @@ def row_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_lineage(spark: SparkSession, folder: str) -> DataFrame:
-    return views.table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("id"), (F.col("_metadata.row_index") + 1).alias("metadata_row_number")
+    """Orders as bronze takes them over: the record, and the file and row it came from."""
+    rows = bronze_rows(views.table(spark, folder, "orders"), FIRST_LOAD)
+    return rows.select(
+        field(F.col("parquet_raw"), "o_orderkey", "bigint").alias("id"),
+        field(F.col("parquet_raw"), "o_custkey", "bigint").alias("id_user"),
+        F.element_at(F.split("source", "/"), -1).alias("file"),
+        "metadata_row_number",
+        "created_at",
     )
 
 
@@ -379,9 +387,50 @@ def obt_load(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.fact_sales.read().drop("schema_url")
 
 
+def landing_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """Users through landing and bronze, with the first batch run three times: each user arrives once."""
+    warehouse = Warehouse(spark, workspace(spark, "landing_retry"), [])
+    users = views.users(spark, folder)
+    known = users.where(F.col("created_at") <= ntz(USERS_UNTIL))
+    for source, at in ((known, FIRST_LOAD), (users, FIRST_LOAD), (users, FIRST_LOAD), (users, SECOND_LOAD)):
+        warehouse.land("users", incremental.incremental_rows(source, warehouse.watermark("users", at)), at)
+        warehouse.ingest(["users"], at)
+    return read_bronze(spark, f"{warehouse.root}/bronze/users").select(*renamed_fields(F.col("parquet_raw"), USER_FIELDS))
+
+
+def repeated_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The star model, run three times over one source whose times have fractions of a second."""
+    warehouse = StarWarehouse(spark, workspace(spark, "repeated_load"), stop_on_failure=False)
+    users, orders = (
+        source(spark, folder).withColumn("created_at", F.col("created_at") + F.expr("interval 500 millisecond"))
+        for source in (views.users, views.orders)
+    )
+    for at in (FIRST_LOAD, SECOND_LOAD, THIRD_LOAD):
+        warehouse.run(users, orders, at)
+    return warehouse.fact_orders.read()
+
+
 # Audit
 
 
+def dq_failure_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored failures of two runs, under one numbering, with their rules from the stored catalogue."""
+    warehouse = Warehouse(spark, workspace(spark, "dq_failure_log"), audit.star_rules(AUDITED_STATUSES), stop_on_failure=False)
+    warehouse.publish_contracts("users", "orders")
+    runs = (
+        (FIRST_LOAD, views.users(spark, folder), views.orders_as_of(spark, folder, WATERMARK)),
+        (SECOND_LOAD, views.users_last_state(spark, folder), views.orders(spark, folder)),
+    )
+    for at, *sources in runs:
+        for entity, source in zip(("users", "orders"), sources):
+            warehouse.land(entity, incremental.incremental_rows(source, warehouse.watermark(entity, at)), at)
+        warehouse.ingest(("users", "orders"), at)
+        for entity in ("users", "orders"):
+            warehouse.refresh(entity, at, lambda extract, batch_id: None)
+    catalogue = warehouse.rule_catalogue().withColumnRenamed("id", "id_dim_tests")
+    return warehouse.failure_log().join(catalogue, "id_dim_tests").drop("test_sql")
+
+
 def _audit_failures(spark: SparkSession, folder: str) -> DataFrame:
     tables = {"users_extract_cast": views.users(spark, folder), "orders_extract_cast": views.orders(spark, folder)}
     return audit.run_audit(tables, audit.star_rules(AUDITED_STATUSES), SECOND_LOAD)
@@ -424,10 +473,15 @@ def _user_feeds(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def _follow(spark: SparkSession, feeds: list[DataFrame], dim: scd.Dimension) -> DataFrame:
+    return _states(spark, feeds, dim)[1]
+
+
+def _states(spark: SparkSession, feeds: list[DataFrame], dim: scd.Dimension) -> tuple[DataFrame, DataFrame]:
+    """A dimension after each of two feeds."""
     first = changes.apply_feed_scd2(dim.empty(spark), feeds[0], dim, FIRST_LOAD, effective_slice=True)
     stored = _stored(spark, first, dim.name)
     next_key = keys.next_key(stored, dim.surrogate)
-    return changes.apply_feed_scd2(stored, feeds[1], dim, SECOND_LOAD, first_key=next_key, effective_slice=True)
+    return stored, changes.apply_feed_scd2(stored, feeds[1], dim, SECOND_LOAD, first_key=next_key, effective_slice=True)
 
 
 def cdc_scd2(spark: SparkSession, folder: str) -> DataFrame:
@@ -439,11 +493,13 @@ def cdc_dim_user(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders that entered with the second load, with the versions effective after it."""
+    """Orders that entered with either load, each with the versions effective after it."""
     feeds = _order_feeds(spark, folder)
-    status = _stored(spark, _follow(spark, feeds, changes.DIM_ORDERSTATUS), "dim_orderstatus")
-    users = _stored(spark, cdc_dim_user(spark, folder), "dim_user")
-    return changes.fact_from_feed(feeds[1], status, users)
+    status = _states(spark, feeds, changes.DIM_ORDERSTATUS)
+    users = _states(spark, _user_feeds(spark, folder), changes.DIM_USER)
+    first = _stored(spark, changes.fact_from_feed(feeds[0], status[0], users[0]), "facts")
+    last = [_stored(spark, df, name) for df, name in ((status[1], "dim_orderstatus"), (users[1], "dim_user"))]
+    return first.unionByName(changes.fact_from_feed(feeds[1], *last, first_key=keys.next_key(first, "id")))
 
 
 def cdc_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -496,6 +552,9 @@ QUERIES: dict[str, Query] = {
     "obt_second_run": obt_second_run,
     "kimball_load": kimball_load,
     "obt_load": obt_load,
+    "landing_retry": landing_retry,
+    "repeated_load": repeated_load,
+    "dq_failure_log": dq_failure_log,
     "dq_failures": _audit_failures,
     "dq_gate": dq_gate,
     "dq_sales": dq_sales,

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clock import EXTRACT_FLOOR, as_datetime
+from tidemark.files import path_exists
+from tidemark.functions.clock import EXTRACT_FLOOR, as_datetime, ntz
 from tidemark.functions.schemas import struct
-from tidemark.operators.audit import Rule, require_passed, rule_table, run_audit
+from tidemark.operators.audit import FAILURES, RULES, Rule, require_passed, rule_table, run_audit
 from tidemark.operators.contracts import enforce
 from tidemark.operators.watermark import high_water_value
 from tidemark.sources.contracts import SCHEMA_VERSION, landing_schema, source_schema, stored_schema
@@ -18,9 +20,9 @@ from tidemark.sources.landing import write_landing
 from tidemark.sources.registry import deduplicated_extract, parse_schema, publish_schema, read_registry
 from tidemark.streaming.bronze import start_bronze
 from tidemark.streaming.delta import consume
-from tidemark.tables import SnapshotTable, create_or_replace, path_exists
+from tidemark.tables import SnapshotTable, create_or_replace
 
-WATERMARKS = struct({"watermark": "timestamp_ntz"})
+WATERMARKS = struct({"watermark": "timestamp_ntz", "taken_at": "timestamp_ntz"})
 
 
 class Warehouse:
@@ -37,22 +39,29 @@ class Warehouse:
         for entity in entities:
             publish_schema(self.spark, f"{self.root}/landing", entity, landing_schema(entity))
 
-    def watermark(self, entity: str) -> datetime:
-        """The newest source time that was landed, kept per entity: one small record per batch."""
+    def watermark(self, entity: str, before: datetime | str | None = None) -> datetime:
+        """The newest source time that was landed, kept per entity: one small record per batch.
+
+        With ``before``, by batches taken earlier than that: a repeated batch selects what it selected at first.
+        """
         path = f"{self.root}/control/{entity}"
         if not path_exists(self.spark, path):
             return EXTRACT_FLOOR
         log = self.spark.read.schema(WATERMARKS).option("recursiveFileLookup", "true").json(path)
-        return high_water_value(log, "watermark")
+        return high_water_value(log if before is None else log.where(F.col("taken_at") < ntz(before)), "watermark")
 
     def land(self, entity: str, batch: DataFrame, taken_at: datetime | str, prefix: str = "") -> dict | None:
-        """Checks a batch against its contract, lands it, and moves the watermark of its entity."""
+        """Checks a batch against its contract, lands it, and moves the watermark of its entity.
+
+        The landed folder is the commit. A run that stopped before the record was written finds the folder and
+        writes the record from it.
+        """
         checked = enforce(batch, source_schema(entity))
         landed = write_landing(
             checked, f"{self.root}/landing", entity, taken_at, f"{prefix}created_at", f"{prefix}updated_at"
         )
         if landed:
-            row = self.spark.createDataFrame([(as_datetime(landed["watermark"]),)], WATERMARKS)
+            row = self.spark.createDataFrame([(as_datetime(landed["watermark"]), as_datetime(taken_at))], WATERMARKS)
             record = f"{self.root}/control/{entity}/{as_datetime(taken_at):%Y%m%dT%H%M%S}"
             row.coalesce(1).write.mode("overwrite").json(record)
         return landed
@@ -92,6 +101,10 @@ class Warehouse:
         registry = read_registry(self.spark, f"{self.root}/landing")
         fields = parse_schema(registry[entity][SCHEMA_VERSION])
         table = f"{entity}_extract_cast"
+        checkpoint = f"{self.root}/checkpoints/refresh_{entity}"
+        if path_exists(self.spark, f"{self.root}/silver/{table}") and not path_exists(self.spark, checkpoint):
+            # A new stream would number its batches from 0 again, and finished batch ids are skipped.
+            raise RuntimeError(f"{checkpoint} is gone, but batches of {entity} were loaded: restore it")
         rules = [r for r in self.rules if r.table_name == table]
         if rules:
             rule_table(self.spark, rules).coalesce(1).write.mode("overwrite").json(
@@ -106,14 +119,32 @@ class Warehouse:
                 deduplicated_extract(rows, fields), f"{self.root}/silver/{table}/batch_id={batch}"
             )
             if rules:
+                own = f"{self.root}/data_quality/fact_errors/{table}/batch_id={batch}"
                 failures = create_or_replace(
-                    run_audit({table: extract}, rules, as_of).coalesce(1),
-                    f"{self.root}/data_quality/fact_errors/{table}/batch_id={batch}",
+                    run_audit({table: extract}, rules, as_of, self._next_failure(own)).coalesce(1), own
                 )
                 if self.stop_on_failure:
                     require_passed(failures)
             apply(extract, batch_id)
 
-        consume(
-            self.spark, f"{self.root}/bronze/{entity}", f"{self.root}/checkpoints/refresh_{entity}", load, max_files
-        )
+        consume(self.spark, f"{self.root}/bronze/{entity}", checkpoint, load, max_files)
+
+    def rule_catalogue(self) -> DataFrame:
+        """The rules of all audited tables, as the last run wrote them."""
+        return self._recursive(RULES).json(f"{self.root}/data_quality/dim_tests")
+
+    def failure_log(self) -> DataFrame:
+        """The failures of all audited tables and batches."""
+        if not path_exists(self.spark, f"{self.root}/data_quality/fact_errors"):
+            return self.spark.createDataFrame([], FAILURES)
+        return self._recursive(FAILURES).parquet(f"{self.root}/data_quality/fact_errors")
+
+    def _recursive(self, schema: str) -> DataFrameReader:
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true")
+
+    def _next_failure(self, own: str) -> int:
+        """One more than the last id in the log, without those of a batch that is delivered again."""
+        if not path_exists(self.spark, f"{self.root}/data_quality/fact_errors"):
+            return 1
+        mine = F.col("_metadata.file_path").contains(own.rsplit("/data_quality/", 1)[1] + "/")
+        return (self.failure_log().where(~mine).agg(F.max("id")).first()[0] or 0) + 1

@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import EXTRACT_FLOOR, ntz, second_text, whole_second
+from tidemark.functions.clock import EXTRACT_FLOOR, ntz, time_text
 from tidemark.operators.joins import lookup_join
 
 
 def newer_than(watermark: datetime | str, created: str = "created_at", updated: str = "updated_at") -> Column:
     """Created or updated strictly after the watermark. A NULL update time decides nothing."""
-    mark = ntz(whole_second(watermark))
+    mark = ntz(watermark)
     return (F.col(created) > mark) | (F.col(updated) > mark)
 
 
@@ -48,7 +48,7 @@ def jdbc_options(
     ``split`` is ``(column, lower, upper, partitions)``: parallel range reads over an indexed
     integer column instead of one connection. The bounds only shape the ranges, they drop no rows.
     """
-    mark = second_text(watermark)
+    mark = time_text(watermark)
     newer = f"created_at > '{mark}' or updated_at > '{mark}'"
     options = {"url": url, "dbtable": f"(select * from {table} where {newer}) as newer_{table}", **extra}
     if split:

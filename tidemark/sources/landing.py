@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import as_datetime
+from tidemark.files import move, path_exists, remove
 from tidemark.sources.contracts import SCHEMA_VERSION, TAGS, is_time, schema_path
 
+# Unfinished attempts lie beside the landing zone, where no stream looks.
+ATTEMPTS = "_attempts"
+
 
 def timestamps_as_text(df: DataFrame) -> DataFrame:
     """Time columns as text, behind all other columns, in one projection."""
@@ -41,20 +46,34 @@ def write_landing(
 ) -> dict | None:
     """Land one batch and return ``{path, rows, watermark}``; an empty batch lands nothing.
 
-    Row count and next watermark are observed while the files are written, without another pass.
-    A repeated batch time overwrites its own folder only.
+    The source is read once: row count and next watermark are observed while the files are written. Each
+    attempt writes a folder of its own beside the landing zone, and moving it to its place is the commit.
+    A batch time that has landed stays as it is, so that a repeated run neither loses nor doubles rows.
     """
-    if df.isEmpty():
-        return None
-    path = landing_path(root, entity, taken_at)
+    spark, path = df.sparkSession, landing_path(root, entity, taken_at)
+    if path_exists(spark, path):
+        return landed_batch(spark, path, created, updated)
+    attempt = f"{root.rstrip('/')}{ATTEMPTS}/{entity}-{uuid.uuid4().hex}"
     seen = Observation(f"landing_{entity}")
     newest = F.greatest(F.max(F.col(created)), F.max(F.col(updated))).cast("string")
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("watermark"))
     tagged = tag_schema(timestamps_as_text(observed), entity, root)
-    tagged.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    tagged.write.option("compression", "snappy").parquet(attempt)
+    if not seen.get["rows"]:
+        remove(spark, attempt)
+        return None
+    move(spark, attempt, path)
     return {"path": path, **seen.get}
 
 
+def landed_batch(spark: SparkSession, path: str, created: str = "created_at", updated: str = "updated_at") -> dict:
+    """``{path, rows, watermark}`` of files that have landed; their times are text that sorts by time."""
+    files = spark.read.parquet(path)
+    times = [F.max(F.col(c).cast("timestamp_ntz")) for c in (created, updated)]
+    found = files.agg(F.count(F.lit(1)).alias("rows"), F.greatest(*times).cast("string").alias("watermark")).first()
+    return {"path": path, **found.asDict()}
+
+
 def read_landing(spark: SparkSession, root: str, entity: str, schema: T.StructType) -> DataFrame:
     """Every landed file of an entity, with its declared schema: no footer is read to infer one."""
     return (

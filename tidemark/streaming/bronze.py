@@ -25,6 +25,10 @@ BRONZE_SCHEMA = struct(
 )
 
 
+# By default a file stream passes over files a week older than the newest one: restored or copied ones would be lost.
+ANY_AGE = "36500d"
+
+
 def bronze_rows(files: DataFrame, loaded_at: datetime | str) -> DataFrame:
     """The record as one object, its hash, the load time, and the file and row it came from."""
     columns = files.columns
@@ -52,6 +56,7 @@ def start_bronze(
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
+        .option("maxFileAge", ANY_AGE)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.streaming.bronze import BRONZE_SCHEMA
+from tidemark.streaming.bronze import ANY_AGE, BRONZE_SCHEMA
 
 
 def consume(
@@ -22,7 +22,7 @@ def consume(
     the same number. ``apply`` must therefore write by that number: overwrite a folder named after
     it, or commit it as a batch id.
     """
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    reader = spark.readStream.schema(BRONZE_SCHEMA).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (

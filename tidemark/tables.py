@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import path_exists
 from tidemark.session import plan_bytes, shuffle_width
 
 COMMIT = (
@@ -20,12 +21,6 @@ COMMIT = (
 BUCKET_BYTES = 64 * 1024 * 1024  # of compressed files
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whichever file system its scheme names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 class SnapshotTable:
     """A table of parquet folders, one per commit, and a small commit log written after the data.
 
