@@ -283,7 +283,7 @@ CDC_FACTS = query(
 )
 
 LOGGED = " union all ".join(
-    f"select {n} as batch, id_dim_tests, amount_records_failing, {ts(at)} as at, description, table_name from ({counted})"
+    f"select {n} as batch, id_dim_tests, amount_records_failing, {ts(at)} as loaded_at, description, table_name from ({counted})"
     for n, (at, counted) in enumerate(
         (at, counted)
         for at, users, orders in ((FIRST_LOAD, "src_users", "run_1"), (SECOND_LOAD, "users_run_2", "run_2"))
@@ -547,9 +547,9 @@ ORACLES: dict[str, str] = {
     ),
     "repeated_load": query(
         f"""
-        select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at + interval 500 millisecond as created_at,
-               o.spent, u.sk as id_dim_user, s.sk as id_dim_status
-        from src_orders o left join u1 u on u.id = o.id_user left join s1 s on s.id = o.id
+        select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at, o.spent, u.sk as id_dim_user, s.sk as id_dim_status
+        from (select * replace (created_at + interval 500 millisecond as created_at) from src_orders) o
+        left join u1 u on u.id = o.id_user left join s1 s on s.id = o.id
         where o.updated_at is null
         """,
         f"u1 as (select {numbered(['id'])} as sk, id from src_users)",
@@ -558,7 +558,7 @@ ORACLES: dict[str, str] = {
     "dq_failure_log": query(
         f"""
         select row_number() over (order by batch, id_dim_tests) as id, id_dim_tests, amount_records_failing,
-               at as "timestamp", description, table_name
+               loaded_at as "timestamp", description, table_name
         from ({LOGGED}) where amount_records_failing > 0
         """,
         RUNS,
