@@ -346,3 +346,26 @@ def test_an_order_of_an_unknown_user_stops_the_feed_driven_fact(spark, tmp_path)
     warehouse.upsert(users_to_silver(users(spark)), orders_to_silver(unknown), RUN_1)
     with pytest.raises(Exception, match="fact_orders.orderuser_id"):
         warehouse.refresh(RUN_1)
+
+
+def test_change_driven_load_from_landing_to_gold(spark, tmp_path):
+    warehouse = ChangeWarehouse(spark, str(tmp_path))
+    for at in (RUN_1, RUN_1, RUN_2):  # a repeated run and one without news change nothing
+        warehouse.run(users(spark), orders(spark), at)
+        assert [t.version for t in (warehouse.users, warehouse.orders, warehouse.fact_orders)] == [1, 1, 1]
+    everyone = users(spark, [MOVED]).unionByName(users(spark).where("id > 1"))
+    all_orders = orders(spark, [SHIPPED, NEW_ORDER]).unionByName(orders(spark).where("id > 1"))
+    ChangeWarehouse(spark, str(tmp_path)).run(everyone, all_orders, RUN_3)
+    warehouse = ChangeWarehouse(spark, str(tmp_path))
+    silver = warehouse.orders.current()
+    assert silver.count() == 4 and silver.where(f"copied_at = timestamp_ntz'{RUN_3}' and dbt_at = copied_at").count() == 2
+    assert warehouse.fact_orders.read().count() == 4 and warehouse.dim_user.read().count() == 4
+    feed = spark.read.parquet(f"{tmp_path}/silver/orders_deduplicated/feed/000002")
+    assert sorted((r.order_id, r.action) for r in feed.collect()) == [(1, "DELETE"), (1, "INSERT"), (4, "INSERT")]
+
+
+def test_load_times_alone_are_no_change(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, None, 1)], "k int, v string, t int")
+    new = spark.createDataFrame([(1, "a", 2), (2, "c", 2), (4, None, 2)], "k int, v string, t int")
+    found = sorted((r.k, r.action, r.is_update) for r in change_feed(old, new, "k", ignore=["t"]).collect())
+    assert found == [(2, "DELETE", True), (2, "INSERT", True), (3, "DELETE", False), (4, "INSERT", False)]

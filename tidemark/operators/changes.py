@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,18 +29,22 @@ DIM_USER = Dimension(
 DIM_ORDERSTATUS = Dimension("dim_orderstatus", (("order_id", "bigint"), ("status", "string")), key="order_id", surrogate="id")
 
 
-def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, key: str, ignore: Sequence[str] = ()) -> DataFrame:
     """Rows that turn the old state into the new one, with ``action`` and ``is_update``.
 
     An insert is one INSERT row and a removal one DELETE row; an update is a DELETE row with the old
     image and an INSERT row with the new image, both marked as update. One join on the plain key,
-    which is unique; two states bucketed by it are compared where they lie.
+    which is unique; two states bucketed by it are compared where they lie. A row that differs in
+    ``ignore`` columns alone has not changed.
     """
     columns = new.columns
     before = old.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_before"))
     after = new.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_after"))
     pairs = before.join(after, F.col("_old_key") == F.col("_new_key"), "full_outer")
-    changed = pairs.where(~F.col("_before").eqNullSafe(F.col("_after")))
+    compared = [c for c in columns if c not in ignore]
+    present = [F.col(side).isNotNull() for side in ("_before", "_after")]
+    same = reduce(lambda a, b: a & b, [F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}")) for c in compared])
+    changed = pairs.where((present[0] != present[1]) | ~same)
     update = F.col("_before").isNotNull() & F.col("_after").isNotNull()
     images = F.array(
         F.struct(F.lit(DELETE).alias("action"), F.col("_before").alias("image")),

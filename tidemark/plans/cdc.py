@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import path_exists
+from tidemark.functions.clock import SILVER_FLOOR, ntz
 from tidemark.functions.schemas import struct
+from tidemark.functions.variants import renamed_fields
 from tidemark.operators.changes import (
     DIM_ORDERSTATUS,
     DIM_USER,
@@ -20,8 +23,14 @@ from tidemark.operators.changes import (
 from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.merge import untouched
 from tidemark.operators.scd import Dimension
+from tidemark.operators.watermark import high_water_value, load_window
+from tidemark.plans.stages import Warehouse
+from tidemark.sources.incremental import incremental_rows
+from tidemark.streaming.bronze import read_bronze
 from tidemark.tables import SnapshotTable, create_or_replace
 
+# When a row came to bronze, and when silver took it over; they say nothing about the row itself.
+LOAD_TIMES = {"copied_at": "timestamp_ntz", "dbt_at": "timestamp_ntz"}
 SILVER_USERS = struct(
     {
         "user_id": "bigint",
@@ -30,6 +39,7 @@ SILVER_USERS = struct(
         "name": "string",
         "registered_at": "timestamp_ntz",
         "updated_at": "timestamp_ntz",
+        **LOAD_TIMES,
     }
 )
 SILVER_ORDERS = struct(
@@ -40,6 +50,7 @@ SILVER_ORDERS = struct(
         "status": "string",
         "ordered_at": "timestamp_ntz",
         "updated_at": "timestamp_ntz",
+        **LOAD_TIMES,
     }
 )
 FACT = struct(
@@ -53,6 +64,25 @@ FACT = struct(
 )
 
 
+# Columns of the silver tables, and the field and type of the bronze record that each comes from.
+USER_FIELDS = {
+    "user_id": ("id", "bigint"),
+    "address": ("address", "string"),
+    "age": ("age", "bigint"),
+    "name": ("name", "string"),
+    "registered_at": ("created_at", "timestamp_ntz"),
+    "updated_at": ("updated_at", "timestamp_ntz"),
+}
+ORDER_FIELDS = {
+    "order_id": ("id", "bigint"),
+    "id_user": ("id_user", "bigint"),
+    "spent": ("spent", "bigint"),
+    "status": ("status", "string"),
+    "ordered_at": ("created_at", "timestamp_ntz"),
+    "updated_at": ("updated_at", "timestamp_ntz"),
+}
+
+
 def users_to_silver(users: DataFrame) -> DataFrame:
     """Typed user rows with the names of the silver table."""
     return users.select(
@@ -77,16 +107,19 @@ def orders_to_silver(orders: DataFrame) -> DataFrame:
     )
 
 
-class ChangeWarehouse:
-    """Silver tables and the gold tables that follow them.
+class ChangeWarehouse(Warehouse):
+    """Silver tables, filled from bronze, and the gold tables that follow them.
 
-    Each gold table is a consumer of its own: its commits carry the silver version they were made
-    from, so the two consumers of the orders feed read it independently and a repeated run is a no-op.
+    Each silver commit writes its changes once, from the batch and the stored rows it touches. A gold table is a
+    consumer of its own: its commits carry the silver version they were made from, so the two consumers of the orders
+    feed read it independently and a repeated run is a no-op.
     """
 
     def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root, ())
+
         def at(layer: str, name: str, schema: T.StructType, key: str, surrogate: str | None = None):
-            return SnapshotTable(spark, f"{root.rstrip('/')}/{layer}/{name}", schema, key, surrogate)
+            return SnapshotTable(spark, f"{self.root}/{layer}/{name}", schema, key, surrogate)
 
         self.users = at("silver", "users_deduplicated", SILVER_USERS, "user_id")
         self.orders = at("silver", "orders_deduplicated", SILVER_ORDERS, "order_id")
@@ -95,27 +128,58 @@ class ChangeWarehouse:
             "gold", DIM_ORDERSTATUS.name, DIM_ORDERSTATUS.schema, DIM_ORDERSTATUS.key, DIM_ORDERSTATUS.surrogate
         )
         self.fact_orders = at("gold", "fact_orders", FACT, "order_id", "id")
+        self.publish_contracts("users", "orders")
+
+    def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:
+        """Lands what is new or changed in both source tables, and loads it."""
+        for entity, source in (("users", users), ("orders", orders)):
+            self.land(entity, incremental_rows(source, self.watermark(entity, at)), at)
+        self.load(at)
+
+    def load(self, at: datetime | str) -> None:
+        """Landed files to bronze, the bronze rows silver has not taken over yet to silver, their changes to gold."""
+        self.ingest(("users", "orders"), at)
+        self.upsert(
+            self.window("users", self.users, USER_FIELDS, at), self.window("orders", self.orders, ORDER_FIELDS, at), str(at)
+        )
+        self.refresh(at)
+
+    def window(self, entity: str, table: SnapshotTable, fields: Mapping[str, tuple[str, str]], at: datetime | str) -> DataFrame | None:
+        """Typed bronze rows that came after the newest one in silver, until a time; None without any."""
+        bronze = f"{self.root}/bronze/{entity}"
+        if not path_exists(self.spark, bronze):
+            return None
+        low = high_water_value(table.current() if table.version else None, "copied_at", floor=SILVER_FLOOR)
+        rows = read_bronze(self.spark, bronze).where(load_window("created_at", low, at))
+        if rows.isEmpty():
+            return None
+        typed = renamed_fields(F.col("parquet_raw"), fields)
+        return rows.select(*typed, F.col("created_at").alias("copied_at"), ntz(at).alias("dbt_at"))
 
     def upsert(self, users: DataFrame | None, orders: DataFrame | None, batch_id: str) -> None:
-        """Brings delivered rows, in the shape of the silver tables, into silver."""
-        for table, batch, created in ((self.users, users, "registered_at"), (self.orders, orders, "ordered_at")):
-            if batch is not None and not table.has(batch_id):
-                table.fit(batch)
-                newest = newest_per_key(batch, table.key, "updated_at", created)
-                table.replace(untouched(table.current(), batch, table.key), newest, batch_id)
-
-    @staticmethod
-    def _follow(source: SnapshotTable, consumer: SnapshotTable, apply: Callable[[DataFrame, str], None]) -> None:
-        """Hands the changes since the consumer's last position to ``apply``, with the new position.
+        """Brings delivered rows, in the shape of the silver tables, into silver, and writes their changes.
 
-        Both states are bucketed by their key, so they are compared without a shuffle. The feed is
-        written once, as a merge reads it several times.
+        The batch id is the time of the load; rows without load times get it. A commit that failed leaves a feed
+        that the next attempt replaces: consumers read the feeds of committed versions only.
         """
+        for table, batch, created in ((self.users, users, "registered_at"), (self.orders, orders, "ordered_at")):
+            if batch is None or table.has(batch_id):
+                continue
+            times = {name: ntz(batch_id) for name in LOAD_TIMES if name not in batch.columns}
+            newest = newest_per_key(batch.withColumns(times), table.key, "updated_at", created)
+            version = f"{table.version + 1:06d}"
+            newest = create_or_replace(newest.select(*table.schema.names), f"{table.path}/batch/{version}")
+            table.fit(newest)
+            keys = newest.select(F.col(table.key).alias("_key"))
+            touched = table.current().join(keys, F.col(table.key) == F.col("_key"), "left_semi")
+            create_or_replace(change_feed(touched, newest, table.key, tuple(LOAD_TIMES)), f"{table.path}/feed/{version}")
+            table.replace(untouched(table.current(), newest, table.key), newest, batch_id)
+
+    def _follow(self, source: SnapshotTable, consumer: SnapshotTable, apply: Callable[[DataFrame, str], None]) -> None:
+        """Hands the feeds after the consumer's last position to ``apply``, each with its position."""
         seen = int(consumer.commits[-1].batch_id) if consumer.commits else 0
-        if source.version > seen:
-            old = source.current(seen) if seen else source.current().limit(0)
-            feed = change_feed(old, source.current(), source.key)
-            apply(create_or_replace(feed, f"{consumer.path}/feed/{source.version:06d}"), str(source.version))
+        for version in range(seen + 1, source.version + 1):
+            apply(self.spark.read.parquet(f"{source.path}/feed/{version:06d}"), str(version))
 
     def _follow_dimension(self, source: SnapshotTable, table: SnapshotTable, dim: Dimension, as_of) -> None:
         def apply(feed: DataFrame, position: str) -> None:

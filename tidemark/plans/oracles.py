@@ -539,6 +539,15 @@ ORACLES: dict[str, str] = {
     "cdc_scd2": query("select * from cdc_status", CDC_STATUS),
     "cdc_dim_user": query("select * from cdc_user", CDC_USER),
     **dict.fromkeys(("cdc_fact", "cdc_load"), CDC_FACTS),
+    "cdc_silver_window": query(
+        f"""
+        select o.id as order_id, o.id_user, o.spent, o.status, o.created_at as ordered_at, o.updated_at,
+               case when r.id is null then {ts(FIRST_LOAD)} else {ts(SECOND_LOAD)} end as copied_at,
+               case when r.id is null then {ts(FIRST_LOAD)} else {ts(SECOND_LOAD)} end as dbt_at
+        from src_orders o left join run_2 r on r.id = o.id
+        """,
+        RUNS,
+    ),
     "landing_retry": query(
         """
         select id as user_id, address, cast(age as bigint) as age, name, created_at as registered_at, updated_at

@@ -13,7 +13,7 @@ from tidemark.functions.hashing import record_hash, row_hash
 from tidemark.functions.variants import field, renamed_fields, whole_record
 from tidemark.operators import audit, changes, constraints, contracts, dedup, keys, merge, scd, star, watermark, wide
 from tidemark.plans import views
-from tidemark.plans.cdc import ChangeWarehouse, orders_to_silver, users_to_silver
+from tidemark.plans.cdc import ORDER_FIELDS, USER_FIELDS, ChangeWarehouse, orders_to_silver, users_to_silver
 from tidemark.plans.kimball import StarWarehouse
 from tidemark.plans.obt import WideWarehouse
 from tidemark.plans.stages import Warehouse
@@ -134,24 +134,6 @@ def extract_cast(spark: SparkSession, folder: str) -> DataFrame:
     return project_registered(_raw(views.orders(spark, folder), "orders"), fields)
 
 
-USER_FIELDS = {
-    "user_id": ("id", "bigint"),
-    "address": ("address", "string"),
-    "age": ("age", "bigint"),
-    "name": ("name", "string"),
-    "registered_at": ("created_at", "timestamp_ntz"),
-    "updated_at": ("updated_at", "timestamp_ntz"),
-}
-ORDER_FIELDS = {
-    "order_id": ("id", "bigint"),
-    "id_user": ("id_user", "bigint"),
-    "spent": ("spent", "bigint"),
-    "status": ("status", "string"),
-    "ordered_at": ("created_at", "timestamp_ntz"),
-    "updated_at": ("updated_at", "timestamp_ntz"),
-}
-
-
 def extract_fixed(spark: SparkSession, folder: str) -> DataFrame:
     raw = _raw(views.users_last_state(spark, folder), "users")
     return raw.select(*renamed_fields(F.col("parquet_raw"), USER_FIELDS))
@@ -503,16 +485,26 @@ def cdc_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_load(spark: SparkSession, folder: str) -> DataFrame:
-    """The change-driven model end to end in two loads."""
-    warehouse = ChangeWarehouse(spark, workspace(spark, "cdc_load"))
+    """The change-driven model end to end in two loads, from landing files to gold."""
+    return _change_warehouse(spark, folder, "cdc_load").fact_orders.read()
+
+
+def cdc_silver_window(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored silver orders of both loads with their load times."""
+    return _change_warehouse(spark, folder, "cdc_silver_window").orders.current()
+
+
+def _change_warehouse(spark: SparkSession, folder: str, name: str) -> ChangeWarehouse:
+    warehouse = ChangeWarehouse(spark, workspace(spark, name))
     loads = (
         (FIRST_LOAD, views.users(spark, folder), views.orders_as_of(spark, folder, WATERMARK)),
         (SECOND_LOAD, views.users_updated(spark, folder), views.orders(spark, folder)),
     )
     for as_of, users, orders in loads:
-        warehouse.upsert(users_to_silver(users), orders_to_silver(orders), as_of)
-        warehouse.refresh(as_of)
-    return warehouse.fact_orders.read()
+        warehouse.land("users", users, as_of)
+        warehouse.land("orders", incremental.incremental_rows(orders, warehouse.watermark("orders", as_of)), as_of)
+        warehouse.load(as_of)
+    return warehouse
 
 
 QUERIES: dict[str, Query] = {
@@ -563,4 +555,5 @@ QUERIES: dict[str, Query] = {
     "cdc_dim_user": cdc_dim_user,
     "cdc_fact": cdc_fact,
     "cdc_load": cdc_load,
+    "cdc_silver_window": cdc_silver_window,
 }
