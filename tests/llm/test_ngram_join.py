@@ -65,7 +65,8 @@ def test_equals_all_pairs_among_near_copies(spark):
 def test_one_of_each_keeps_one_row_of_a_group(spark, odd):
     kept = nj.one_of_each(spark, odd)
     assert kept.columns == odd.columns
-    expected = all_pairs([(r.doc_id, r.text) for r in odd.collect()], 5, 80)
+    # By position, as an id can have several texts.
+    expected = all_pairs(list(enumerate(r.text for r in odd.collect())), 5, 80)
     with_words = {c for _, n, c in expected if n}
     assert kept.filter("text rlike '[^ \\n\\t]'").count() == len(with_words)
     assert kept.filter("text is null").count() == 2

@@ -248,10 +248,10 @@ class _Join:
         labels = self.labels(links, "labels")
         named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-        named = self.stored("named", named.join(names.hint("merge"), "component").select(*same, "component_id"))
+        named = self.stored("named", named.join(names.hint("merge"), "component").select(*same, "component", "component_id"))
         found = rows.filter("n_shingles > 0").select("doc_id", "version", *same).join(named.hint("merge"), same)
-        empty = rows.filter("n_shingles = 0").select("doc_id", "version", "n_shingles", F.col("doc_id").alias("component_id"))
-        return found.select("doc_id", "version", "n_shingles", "component_id").union(empty)
+        empty = rows.filter("n_shingles = 0").select("doc_id", "version", "n_shingles", F.lit(None).cast("long"), F.col("doc_id"))
+        return found.select("doc_id", "version", "n_shingles", "component", "component_id").union(empty)
 
     def members(self, buckets: DataFrame, rows: DataFrame) -> DataFrame:
         """Text, size and sketch of the nodes that share a part with another."""
@@ -311,13 +311,14 @@ class _Join:
 
 
 def linked(spark: SparkSession, documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, version (a hash of the text), n_shingles and component_id of every row of ``documents``.
+    """doc_id, version (a hash of the text), n_shingles, component and component_id of every row of ``documents``.
 
     Words are runs without white space, A-Z in lower case; the set of a text is its distinct ``width``-word shingles,
     or the whole sequence if it has fewer words. Two texts link when 100 x intersection >= ``percent`` x union
     (80 at least keeps parts selective; any value from 1 is right). ``component_id`` is the smallest doc_id reachable over links.
     A text without words, or a missing one, links with nothing. Rows with one id and different texts are different
-    texts; a component whose ids are all missing has none. Sets are compared by 64-bit shingle hashes.
+    texts; a component whose ids are all missing has none. ``component`` is a number that tells components apart even
+    so, and is missing where there are no words. Sets are compared by 64-bit shingle hashes.
     """
     return _Join(spark, documents, width, percent).run()
 
@@ -329,14 +330,14 @@ def digest(spark: SparkSession, documents: DataFrame) -> DataFrame:
 def one_of_each(spark: SparkSession, documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` less all but one row of each component: the row with the smallest doc_id stays.
 
-    Rows without words stay, but for rows repeated with the same id and text. Of rows with one id, the text with the
-    smallest hash stays. Columns pass through.
+    Rows without words stay, but for rows repeated with the same id and text. Texts of one id that do not link all stay;
+    of linked ones the text with the smallest hash does. Columns pass through.
     """
     keep = linked(spark, documents, width, percent)
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("version"))
-    grouped = keep.filter("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(first).alias("first"))
+    grouped = keep.filter("component is not null").groupBy("component").agg(F.min(first).alias("first"))
     chosen = grouped.select(F.col("first.doc_id").alias("id"), F.col("first.version").alias("__of"))
-    alone = keep.filter("n_shingles = 0 or component_id is null").select(F.col("doc_id").alias("id"), F.col("version").alias("__of"))
+    alone = keep.filter("component is null").select(F.col("doc_id").alias("id"), F.col("version").alias("__of"))
     chosen = chosen.union(alone).select(F.xxhash64("id", "__of").alias("__id"), "__of").distinct()
     keyed = _keyed(documents)
     on = (keyed["__row"] == chosen["__id"]) & (keyed["__version"] == chosen["__of"])
