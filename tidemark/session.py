@@ -60,7 +60,8 @@ def workspace(spark: SparkSession, name: str) -> str:
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="tidemark-")

@@ -44,6 +44,7 @@ class SnapshotTable:
         self.key, self.surrogate = key, surrogate
         self._buckets = buckets
         self._commits: list[Row] | None = None
+        self._names: set[str] = set()
 
     @property
     def commits(self) -> list[Row]:
@@ -102,6 +103,7 @@ class SnapshotTable:
             f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {last.buckets} BUCKETS "
             f"LOCATION '{folder}'"
         )
+        self._names.add(name)
         return self.spark.table(name)
 
     def history(self) -> DataFrame:
@@ -169,6 +171,9 @@ class SnapshotTable:
         )
         log = self.spark.createDataFrame([commit], COMMIT)
         log.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{version:06d}")
+        # Catalog names of earlier versions go; their files, and frames that read them, stay.
+        while self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._names.pop()}")
         self._commits = self._buckets = None
         return True
 
