@@ -93,3 +93,24 @@ def test_linked_sets_share_a_part_and_sketches_bound_their_difference(percent):
 def test_shingles_of_few_words():
     words = np.arange(5, dtype=np.uint64)
     assert [len(shingles(words[:n], 3)) for n in range(6)] == [0, 1, 1, 1, 2, 3]
+
+
+def test_a_hot_key_of_an_aggregate_join_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.skew import join_aggregate
+
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(60_000).select("id", F.expr("if(id % 5 < 4, -5, id)").alias("k"), F.sha2(F.expr("string(id)"), 256).alias("s"))
+        joined = join_aggregate(rows, rows.groupBy("k").agg(F.min("id").alias("low")), "k")
+        assert joined.columns == ["id", "k", "s", "low"] and joined.filter("k = -5 and low <> 0").count() == 0
+        plan = joined.groupBy("low", "s").count()
+        plan.collect()
+        assert "skew=true" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

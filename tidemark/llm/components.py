@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.skew import join_aggregate
+
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); a component is named by its smallest node.
@@ -20,12 +22,12 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         current = spark.read.parquet(f"{folder}/{step}")  # a > b
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-        large = both.join(lowest.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = join_aggregate(both, lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = large.union(lowest.filter("low < a").select("a", F.col("low").alias("b"))).distinct()
         large.write.parquet(f"{folder}/{step}-large")
         large = spark.read.parquet(f"{folder}/{step}-large")
         smallest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(smallest.hint("merge"), "a").filter("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        small = join_aggregate(large, smallest, "a").filter("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         step += 1
         small.union(smallest.select("a", F.col("low").alias("b"))).distinct().write.parquet(f"{folder}/{step}")
         after = spark.read.parquet(f"{folder}/{step}").agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.skew import join_aggregate
 from tidemark.session import workspace
 
 THRESHOLD = 0.95
@@ -135,7 +136,7 @@ def linked(spark: SparkSession, embeddings: DataFrame, threshold: float = THRESH
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    named = named.join(least.hint("merge"), "component").join(counts.hint("merge"), "node", "left")
+    named = join_aggregate(named, least, "component").join(counts.hint("merge"), "node", "left")
     named = named.select("__a", "__b", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     named.write.parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")

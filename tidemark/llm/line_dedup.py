@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.skew import join_aggregate
+
 WINDOW = 3
 BLANK = r"[^\x20\x09-\x0D]"
 
@@ -58,7 +60,7 @@ def covered_lines(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         .filter(~F.col("first").eqNullSafe(F.col("last")))
         .select("a", "b", "first")
     )
-    later = windows.join(first.hint("merge"), ["a", "b"]).filter(~F.struct("id", "version", "at").eqNullSafe(F.col("first")))
+    later = join_aggregate(windows, first, "a", "b").filter(~F.struct("id", "version", "at").eqNullSafe(F.col("first")))
     # One text's places at most, thinned to distinct ones by the set.
     starts = later.groupBy("id", "version").agg(F.collect_set("at").alias("starts"))
     spread = F.flatten(F.transform("starts", lambda at: F.sequence(at, at + (window - 1))))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.skew import join_aggregate
 from tidemark.llm.words import mix, shingle_sets
 from tidemark.session import shuffle_width, workspace
 
@@ -248,7 +249,7 @@ class _Join:
         labels = self.labels(links, "labels")
         named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-        named = self.stored("named", named.join(names.hint("merge"), "component").select(*same, "component", "component_id"))
+        named = self.stored("named", join_aggregate(named, names, "component").select(*same, "component", "component_id"))
         found = rows.filter("n_shingles > 0").select("doc_id", "version", *same).join(named.hint("merge"), same)
         empty = rows.filter("n_shingles = 0").select("doc_id", "version", "n_shingles", F.lit(None).cast("long"), F.col("doc_id"))
         return found.select("doc_id", "version", "n_shingles", "component", "component_id").union(empty)
@@ -272,13 +273,13 @@ class _Join:
         labels = self.stored(name, self.labels(links, f"{name}-steps"))
         named = buckets.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        return self.stored(f"{name}-mixed", named.join(mixed.select("key").hint("merge"), "key").select("key", "node", "component"))
+        return self.stored(f"{name}-mixed", join_aggregate(named, mixed.select("key"), "key").select("key", "node", "component"))
 
     def pivot_pairs(self, labelled: DataFrame, turn: int) -> DataFrame:
         """Each member of a part with the pivot, a node that a hash draws, where their components differ."""
         drawn = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("component").alias("label"))
         pivots = labelled.groupBy("key").agg(F.min(drawn).alias("pivot")).select("key", "pivot.node", "pivot.label").withColumnRenamed("node", "pivot")
-        met = labelled.join(pivots.hint("merge"), "key").filter("component <> label")
+        met = join_aggregate(labelled, pivots, "key").filter("component <> label")
         return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def close_pairs(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -293,7 +294,7 @@ class _Join:
         counts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
         major = counts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("major"))
         small = members.drop("text")
-        wide = self.stored("wide", labelled.join(major.hint("merge"), "key").join(small.hint("merge"), "node").withColumn("minor", F.col("component") != F.col("major")))
+        wide = self.stored("wide", join_aggregate(labelled, major, "key").join(small.hint("merge"), "node").withColumn("minor", F.col("component") != F.col("major")))
         x, y = wide.filter("minor").alias("x"), wide.alias("y")
         once = ~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))
         on = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & _close(self.percent)
