@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Code points that are indexed at once, and encoded stretches that a worker remembers.
-INDEXED = 1 << 20
-REMEMBERED = 1 << 19
-ROWS_AT_ONCE = 2000
+INDEXED = 1 << 18
+REMEMBERED = 1 << 18
+ROWS_AT_ONCE = 1000
 
 
 class Pieces:
@@ -38,12 +38,6 @@ class Pieces:
         normal = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.ids = {self.texts[i]: i for i in normal}
         self.rank = {self.texts[i]: -model.get_score(i) for i in normal}
-        # What a piece stands for when it is decoded.
-        self.raw = [b""] * size
-        for i in normal:
-            self.raw[i] = self.texts[i].replace(SPACE, " ").encode()
-        for value, i in self.bytes.items():
-            self.raw[i] = bytes([value])
         characters = sorted({c for t in self.ids for c in t})
         self.dense = np.zeros(0x110001, dtype=np.uint16)
         self.dense[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
@@ -58,8 +52,11 @@ class Pieces:
             points = self.dense[[ord(c) for c in self.texts[i]]]
             low[row, : len(points)] = high[row, : len(points)] = points
         self.low, self.high = (m.view(f"S{2 * self.depth}").ravel() for m in (low, high))
+        by_text = np.argsort(self.low)  # neighbours are searched after each other
+        self.low, self.high = self.low[by_text], self.high[by_text]
+        self.piece_ids, self.piece_sizes = self.piece_ids[by_text], self.piece_sizes[by_text]
         self.pair_keys, self.pair_valid = np.zeros(0, np.int64), np.zeros(0, bool)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # 32-bit ids
 
     def merged(self, text: str) -> list[int]:
         """Ids by plain merging: the adjacent pair with the best score, the left one of equals, until none is a piece."""
@@ -93,17 +90,24 @@ class Pieces:
     def suffixes(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix array of dense symbols, sorted to the depth of the longest piece, and the sorted beginnings."""
         padded = np.concatenate([symbols, np.zeros(self.depth, np.uint16)])
-        rank, width = padded.astype(np.int64), 1
+        # Four symbols fit one number, as there are fewer than 2^15; then ranks double the width they stand for.
+        wide = np.concatenate([padded.astype(np.int64), np.zeros(3, np.int64)])
+        n, width = len(padded), 4
+        key = (wide[:n] << 45) | (wide[1 : n + 1] << 30) | (wide[2 : n + 2] << 15) | wide[3 : n + 3]
         while width < self.depth:
-            pair = rank.copy() * (int(rank.max()) + 1)
-            pair[:-width] += rank[width:]
-            rank, width = np.unique(pair, return_inverse=True)[1].astype(np.int64), 2 * width
-        order = np.argsort(rank[: len(symbols)], kind="stable")
+            rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            key = rank * (int(rank.max()) + 1)
+            key[:-width] += rank[width:]
+            width *= 2
+        order = np.argsort(key[: len(symbols)])
         begins = np.lib.stride_tricks.sliding_window_view(padded.astype(">u2"), self.depth)[order]
         return order, np.ascontiguousarray(begins).view(f"S{2 * self.depth}").ravel()
 
-    def matched(self, stretches: list[str]) -> list[np.ndarray]:
-        """Encodings of stretches without runs of spaces; -1 - code point stands for a character that is no piece."""
+    def matched(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches without runs of spaces, and where those of each begin and, last, end.
+
+        -1 - code point stands for a character that is no piece.
+        """
         sizes = np.array([len(s) for s in stretches], dtype=np.int64)
         begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]  # a separator follows each stretch
         points = np.full(int((sizes + 1).sum()), 0x110000, dtype=np.int64)
@@ -121,7 +125,8 @@ class Pieces:
         start, piece = np.concatenate([start, other]), np.concatenate([piece, -1 - points[other]])
         size = np.concatenate([size, np.ones(len(other), np.int64)])
         offset = start - np.repeat(begin, sizes + 1)[start]
-        by_offset = np.argsort(offset, kind="stable")
+        small = offset.astype(np.uint16) if len(offset) and offset.max() < 1 << 16 else offset  # sorted by digits
+        by_offset = np.argsort(small, kind="stable")
         start, piece, size, offset = start[by_offset], piece[by_offset], size[by_offset], offset[by_offset]
         none = -(1 << 40)
         final, back = np.full(len(points) + 1, none, dtype=np.int64), np.zeros(len(points) + 1, dtype=np.int64)
@@ -145,36 +150,37 @@ class Pieces:
             open_ones = open_ones[at[open_ones] > begin[open_ones]]
         tokens, owners = np.concatenate(tokens)[::-1], np.concatenate(owners)[::-1]
         by_owner = np.argsort(owners, kind="stable")
-        return np.split(tokens[by_owner], np.cumsum(np.bincount(owners, minlength=len(stretches)))[:-1])
+        return tokens[by_owner], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(stretches)))])
 
-    def expanded(self, tokens: np.ndarray) -> np.ndarray:
-        if not (tokens < 0).any():
-            return tokens.astype(np.int32)
+    def expanded(self, tokens: np.ndarray) -> bytes:
+        if not len(tokens) or tokens.min() >= 0:
+            return tokens.astype(np.int32).tobytes()
         out: list[int] = []
         for t in tokens.tolist():
             out += [t] if t >= 0 else [self.bytes[b] for b in chr(-1 - t).encode("utf-8", "surrogatepass")]
-        return np.array(out, dtype=np.int32)
+        return np.array(out, dtype=np.int32).tobytes()
 
     def learn(self, stretches: set[str]) -> None:
-        new = sorted(s for s in stretches if s not in self.known)
+        new = [s for s in stretches if s not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = sorted(stretches)
-        plain = [s for s in new if not s.startswith(SPACE * 2)]
-        for s in new:  # pieces of spaces share one score, so that the pairwise rule does not hold for them
-            if s.startswith(SPACE * 2):
-                parts = self.merged(s)
-                characters = iter(self.unmatched(s))
-                self.known[s] = self.expanded(np.array([p if p >= 0 else -1 - next(characters) for p in parts], dtype=np.int64))
-        lo = 0
-        while lo < len(plain):
-            hi, total = lo, 0
-            while hi < len(plain) and (hi == lo or total + len(plain[hi]) < INDEXED):
-                total += len(plain[hi]) + 1
-                hi += 1
-            for s, tokens in zip(plain[lo:hi], self.matched(plain[lo:hi])):
-                self.known[s] = self.expanded(tokens)
-            lo = hi
+            new = list(stretches)
+        runs = [s for s in new if s.startswith(SPACE * 2)]
+        for s in runs:  # pieces of spaces share one score, so that the pairwise rule does not hold for them
+            characters = iter(self.unmatched(s))
+            self.known[s] = self.expanded(np.array([p if p >= 0 else -1 - next(characters) for p in self.merged(s)], dtype=np.int64))
+        plain = [s for s in new if not s.startswith(SPACE * 2)] if runs else new
+        if not plain:
+            return
+        part = np.cumsum([len(s) + 1 for s in plain]) // INDEXED
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(plain)]]).tolist()
+        for lo, hi in zip(cuts, cuts[1:]):
+            tokens, ends = self.matched(plain[lo:hi])
+            raw, other = tokens.astype(np.int32).tobytes(), np.add.reduceat(np.append(tokens < 0, False), ends[:-1]) > 0
+            at = (4 * ends).tolist()
+            self.known.update(zip(plain[lo:hi], map(raw.__getitem__, map(slice, at, at[1:]))))
+            for i in np.flatnonzero(other).tolist():
+                self.known[plain[lo + i]] = self.expanded(tokens[ends[i] : ends[i + 1]])
 
     def unmatched(self, text: str) -> list[int]:
         return [ord(c) for c in text if c not in self.ids]
@@ -184,13 +190,27 @@ class Pieces:
         split = [STRETCH.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         self.learn({s for parts in split for s in parts})
         known = self.known
-        return [np.concatenate([known[s] for s in parts]) if parts else np.zeros(0, np.int32) for parts in split]
+        return [np.frombuffer(b"".join([known[s] for s in parts]), np.int32) for parts in split]
+
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids, less the space that encoding puts in front; broken bytes give replacement characters."""
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+def decode(ids: list[int], raw: list[bytes]) -> str:
+    """The text of ids, less the space that encoding puts in front; broken bytes give replacement characters."""
+    text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
+
+
+@cache
+def raw_pieces(model_file: str) -> list[bytes]:
+    """What each piece stands for when it is decoded; control pieces stand for nothing."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    raw = []
+    for i in range(model.get_piece_size()):
+        text = model.id_to_piece(i)
+        silent = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+        raw.append(b"" if silent else bytes([int(text[3:5], 16)]) if model.is_byte(i) else text.replace(SPACE, " ").encode())
+    return raw
 
 
 @cache
@@ -216,11 +236,11 @@ def _encode_batches(model_file: str, batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _decode_batches(model_file: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary = pieces(model_file)
+    raw = raw_pieces(model_file)
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS_AT_ONCE):
             batch = whole.slice(at, ROWS_AT_ONCE)
-            texts = [None if i is None else vocabulary.decode(i) for i in batch.column("piece_ids").to_pylist()]
+            texts = [None if i is None else decode(i, raw) for i in batch.column("piece_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "piece_text"])
 
 
