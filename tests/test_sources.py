@@ -142,3 +142,13 @@ def test_watermark_filter_reaches_the_scan(spark, tmp_path):
     plan = incremental.incremental_rows(spark.read.parquet(path), PLACED)._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters") :].splitlines()[0]
     assert "Or(GreaterThan(created_at" in pushed and "GreaterThan(updated_at" in pushed
+
+
+def test_joined_jdbc_read_joins_and_filters_in_the_source():
+    options = incremental.joined_jdbc_options("jdbc:x", "2021-01-01 00:00:00.5", ("order_id", 1, 100, 8), fetchsize="1000")
+    query = options["dbtable"]
+    assert query.startswith("(select o.id as order_id, o.id_user as order_id_user,") and query.endswith(") as newer_sales")
+    assert "from orders o left join users u on o.id_user = u.id where" in query
+    assert "o.created_at > '2021-01-01 00:00:00.500000' or o.updated_at > '2021-01-01 00:00:00.500000'" in query
+    assert (options["partitionColumn"], options["numPartitions"], options["fetchsize"]) == ("order_id", "8", "1000")
+    assert "partitionColumn" not in incremental.joined_jdbc_options("jdbc:x")

@@ -11,6 +11,10 @@ from tidemark.functions.clock import EXTRACT_FLOOR, ntz, time_text
 from tidemark.operators.joins import lookup_join
 
 
+ORDER_COLUMNS = ("id", "id_user", "spent", "status", "created_at", "updated_at")
+USER_COLUMNS = ("id", "name", "age", "address", "created_at", "updated_at")
+
+
 def newer_than(watermark: datetime | str, created: str = "created_at", updated: str = "updated_at") -> Column:
     """Created or updated strictly after the watermark. A NULL update time decides nothing."""
     mark = ntz(watermark)
@@ -28,11 +32,9 @@ def joined_rows(orders: DataFrame, users: DataFrame, watermark: datetime | str =
     Only the order's own times count: a changed user alone brings no row.
     """
     wide_orders = incremental_rows(orders, watermark).select(
-        *[F.col(c).alias(f"order_{c}") for c in ("id", "id_user", "spent", "status", "created_at", "updated_at")]
-    )
-    wide_users = users.select(
-        *[F.col(c).alias(f"user_{c}") for c in ("id", "name", "age", "address", "created_at", "updated_at")]
+        *[F.col(c).alias(f"order_{c}") for c in ORDER_COLUMNS]
     )
+    wide_users = users.select(*[F.col(c).alias(f"user_{c}") for c in USER_COLUMNS])
     return lookup_join(wide_orders, wide_users, "order_id_user", "user_id")
 
 
@@ -48,9 +50,36 @@ def jdbc_options(
     ``split`` is ``(column, lower, upper, partitions)``: parallel range reads over an indexed
     integer column instead of one connection. The bounds only shape the ranges, they drop no rows.
     """
+    return _read_options(url, f"select * from {table} where {_newer_text(watermark)}", f"newer_{table}", split, extra)
+
+
+def joined_jdbc_options(
+    url: str,
+    watermark: datetime | str = EXTRACT_FLOOR,
+    split: tuple[str, int, int, int] | None = None,
+    **extra: str,
+) -> dict[str, str]:
+    """Options of a JDBC read that joins new or changed orders with their users in the source database.
+
+    The rows are those of ``joined_rows``; a ``split`` is best over ``order_id``.
+    """
+    columns = [f"o.{c} as order_{c}" for c in ORDER_COLUMNS] + [f"u.{c} as user_{c}" for c in USER_COLUMNS]
+    query = (
+        f"select {', '.join(columns)} from orders o left join users u on o.id_user = u.id "
+        f"where {_newer_text(watermark, 'o.')}"
+    )
+    return _read_options(url, query, "newer_sales", split, extra)
+
+
+def _newer_text(watermark: datetime | str, prefix: str = "") -> str:
     mark = time_text(watermark)
-    newer = f"created_at > '{mark}' or updated_at > '{mark}'"
-    options = {"url": url, "dbtable": f"(select * from {table} where {newer}) as newer_{table}", **extra}
+    return f"{prefix}created_at > '{mark}' or {prefix}updated_at > '{mark}'"
+
+
+def _read_options(
+    url: str, query: str, name: str, split: tuple[str, int, int, int] | None, extra: dict[str, str]
+) -> dict[str, str]:
+    options = {"url": url, "dbtable": f"({query}) as {name}", **extra}
     if split:
         column, lower, upper, partitions = split
         options |= {
