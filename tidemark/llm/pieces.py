@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Code points that are indexed at once, and encoded stretches that a worker remembers.
-INDEXED = 1 << 18
+INDEXED = 1 << 19
 REMEMBERED = 1 << 18
 ROWS_AT_ONCE = 1000
 
@@ -195,7 +195,7 @@ class Pieces:
 
 def decode(ids: list[int], raw: list[bytes]) -> str:
     """The text of ids, less the space that encoding puts in front; broken bytes give replacement characters."""
-    text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
+    text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -240,7 +240,11 @@ def _decode_batches(model_file: str, batches: Iterator[pa.RecordBatch]) -> Itera
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS_AT_ONCE):
             batch = whole.slice(at, ROWS_AT_ONCE)
-            texts = [None if i is None else decode(i, raw) for i in batch.column("piece_ids").to_pylist()]
+            column = batch.column("piece_ids")
+            ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).tolist()
+            ids = column.flatten().to_numpy(zero_copy_only=False).tolist()
+            present = column.is_valid().to_pylist()
+            texts = [decode(ids[a:b], raw) if is_there else None for a, b, is_there in zip(ends, ends[1:], present)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "piece_text"])
 
 
