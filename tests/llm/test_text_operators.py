@@ -208,6 +208,24 @@ def test_languages_are_found_on_held_out_documents(spark, odd, nothing):
     assert set(same.columns) == {*odd.columns, "lang_pred", "lang_score", "lang_rejected"}
 
 
+def test_texts_of_no_learned_language_are_rejected_at_every_length(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null and lang is not null").orderBy("doc_id").collect()
+    learned = [r for r in rows if r.lang != "es" and not r.doc_id % 5 == 0]
+    model = language_id.fit([r.text for r in learned], [r.lang for r in learned])
+    letters = {lang: language_id.code_points("\n".join(r.text for r in rows if r.lang == lang and r.doc_id % 5 == 0)) for lang in ("en", "es")}
+    numbers = np.random.default_rng(4)
+    for k in range(5, 16):
+        for size in ((1 << k - 1) + 1, 1 << k):  # both ends of the class
+            drawn = {lang: [p[i : i + size] for i in numbers.integers(0, max(1, len(p) - size), 20)] for lang, p in letters.items()}
+            noise = [numbers.integers(ord("a"), ord("z") + 1, size) for _ in range(20)]
+            rejected = {"noise": model.predict(noise)[2].mean(), **{lang: model.predict(texts)[2].mean() for lang, texts in drawn.items()}}
+            assert rejected["noise"] > 0.9 and rejected["en"] <= 0.05, (size, rejected)
+            assert rejected["es"] > 0.6 and (k < 10 or rejected["es"] == 1), (size, rejected)
+    assert model.floors[5:16].min() > 2 * model.floors[0]
+    short = language_id.fit(["ab", "the river and the stones of it"], ["en", "en"])
+    assert short.floors[16] == short.floors[5] > short.floors[0]  # from the neighbour
+
+
 def plain_best_fit(items, capacity, per_source):
     bins, placed = [], []
     for length, cluster, source in items:

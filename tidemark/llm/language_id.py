@@ -109,14 +109,14 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     model.languages = [lang for lang, part in parts for _ in part]
     model.centroids = np.vstack([part for _, part in parts]).astype(np.float32)
     reached: dict[int, list[float]] = {}
-    for p, _ in rows:  # the text and its beginnings, so that every length has its own floor
-        size = 1
-        while size < 2 * len(p):
-            cut = p[:size]
-            reached.setdefault(length_class(len(cut)), []).append(float((model.vectors(gram_counts(cut)[None]) @ model.centroids.T).max()))
-            size *= 4
-    known = {k: TOLERANCE * float(np.quantile(v, 0.01)) for k, v in reached.items()}
-    model.floors = np.array([known.get(k, min(known.values())) for k in range(17)])
+    for p, _ in rows:  # the whole text and its beginnings: one for each class up to its own
+        cuts = [p[: 1 << k] for k in range((len(p) - 1).bit_length() + 1)]
+        cosines = model.vectors(np.stack([gram_counts(cut) for cut in cuts])) @ model.centroids.T
+        for cut, cosine in zip(cuts, cosines.max(axis=1)):
+            reached.setdefault(length_class(len(cut)), []).append(float(cosine))
+    known = sorted(reached)
+    # Classes beyond the longest text have the floor of the class next to them.
+    model.floors = np.interp(range(17), known, [TOLERANCE * float(np.quantile(reached[k], 0.01)) for k in known])
     return model
 
 
