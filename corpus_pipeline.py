@@ -20,9 +20,11 @@ def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no language claims go: those without a letter, and those far from every centroid."""
-    found = language_id.identified(docs, language_id.fit_on(docs))
-    return found.filter(~F.col("lang_rejected")).select(*docs.columns)
+    """Documents that no language claims go: those without a letter, and those far from every centroid.
+
+    Where no row has a usable lang, no language is learned, and only those without a letter go.
+    """
+    return language_id.of_known_language(docs, language_id.fit_on(docs)).select(*docs.columns)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

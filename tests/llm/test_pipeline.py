@@ -1,5 +1,9 @@
 """The pipeline's stages, each on what its predecessor kept."""
 
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tidemark.llm import language_id, ngram_join, packing
 
@@ -36,6 +40,14 @@ def test_run_equals_its_stages(spark):
     assert exact.count() == 0 and ngram_join.one_of_each(spark, survivors).count() > 0
 
 
+def test_documents_of_an_unlabelled_corpus_stay(spark, odd, tmp_path):
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, unlabelled, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((r.doc_id, r.text) for r in odd.collect() if any(c.isalpha() for c in r.text or ""))
+    assert len(kept) > 20
+    assert {(r.lang_pred, r.rejected) for r in language_id.digest(unlabelled).collect()} == {("und", True)}
+
+
 def test_an_empty_table(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, "").count() == 0

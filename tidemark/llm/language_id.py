@@ -8,7 +8,7 @@ of its length reach is rejected.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -76,10 +76,11 @@ class Model:
         cosines = self.vectors(counts) @ self.centroids.T if self.languages else np.zeros((len(points), 1), np.float32)
         best = cosines.argmax(axis=1)
         score = np.clip(cosines[np.arange(len(points)), best].astype(float), 0, 1)
-        known = [bool(self.languages) and len(p) > 0 for p in points]
+        letters = np.array([len(p) > 0 for p in points], bool)
+        known = letters & bool(self.languages)
         languages = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known)]
         floor = self.floors[[length_class(len(p)) for p in points]]
-        return languages, np.where(known, score, 0.0), ~np.array(known, bool) | (score < floor)
+        return languages, np.where(known, score, 0.0), ~letters | (score < floor)
 
 
 def _clusters(vectors: np.ndarray, count: int) -> np.ndarray:
@@ -100,7 +101,7 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     points = [code_points(t) for t in texts]
     rows = [(p, lang) for p, lang in zip(points, labels) if len(p)]
     if not rows:
-        return Model([], np.ones(BUCKETS, np.float32), np.zeros((1, BUCKETS), np.float32), np.zeros(17))
+        return Model([], np.ones(BUCKETS, np.float32), np.zeros((1, BUCKETS), np.float32), np.full(17, np.inf))
     counts = np.stack([gram_counts(p) for p, _ in rows])
     idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     model = Model([], idf, np.zeros((1, BUCKETS), np.float32), np.zeros(17))
@@ -158,6 +159,14 @@ def identified(documents: DataFrame, model: Model) -> DataFrame:
     return plain.mapInArrow(_predicted(model), f"{fields}, lang_pred string, lang_score double, lang_rejected boolean")
 
 
+def of_known_language(documents: DataFrame, model: Model) -> DataFrame:
+    """``documents`` less the rejected ones. A model that knows no language has nothing to hold a text against: then
+    only missing texts and those without a letter go."""
+    if not model.languages:
+        model = replace(model, floors=np.zeros(17))
+    return identified(documents, model).filter(~F.col("lang_rejected"))
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
