@@ -192,6 +192,20 @@ def test_the_network_tells_random_keys_from_words():
     assert [s for s in secret_scan.find(text, net)] == [("hex", 4, 124)]
 
 
+def test_rare_positives_of_a_large_table_still_train_the_network(spark):
+    key = "base64(unhex(md5(cast(id as string))))"
+    words = "concat_ws('-', transform(sequence(1, 5), i -> element_at(array('river', 'stone', 'garden', 'winter', 'letter', 'market'), cast(pmod(xxhash64(id, i), 6) as int) + 1)))"
+    documents = spark.range(0, 150_000, 1, 4).selectExpr(
+        "id doc_id",
+        f"case when id % 3750 = 7 then concat('my token = ', {key}, ' ok') when id % 50000 = 100 then concat('my tokens = ', {key}, ' ok') "
+        f"when id % 20 = 5 then concat('the ', {words}, ' path') else 'plain words' end text",
+    )
+    found = secret_scan.digest(documents).filter("spans <> '' or doc_id % 50000 = 100 or doc_id % 20 = 5").collect()
+    assert sum(r.n_assign for r in found) == 40  # about one in 4,000 documents
+    assert sum(r.n_model for r in found if r.doc_id % 50000 == 100) > 0, [tuple(r) for r in found if r.doc_id % 50000 == 100]
+    assert sum(r.n_model for r in found if r.doc_id % 20 == 5) <= 75  # of 7,500
+
+
 def test_languages_are_found_on_held_out_documents(spark, odd, nothing):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = language_id.digest(documents).join(documents.select("doc_id", "lang"), "doc_id").collect()
