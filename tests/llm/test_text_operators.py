@@ -288,6 +288,26 @@ def test_packed_pieces_cover_every_text_and_keep_bins_apart(odd, small, nothing)
     assert packing.digest(nothing).count() == 0
 
 
+def test_near_copies_lie_in_different_bins(spark):
+    r = random.Random(8)
+    words = ["river", "stone", "garden", "winter", "letter", "market", "The", "née"]
+    base = [[r.choice(words) for _ in range(60)] for _ in range(4)]
+    rows = [(10 * b + n, " ".join([*text[:n], f"w{n}", *text[n + 1 :]]), "s") for b, text in enumerate(base) for n in range(0, 60, 7)]
+    rows += [(100, rows[0][1], "s"), (None, rows[1][1], "t"), (101, "", "s"), (102, None, "s"), (103, "alone", None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = [r for r in packing.digest(documents).collect() if r.bin >= 0]
+    assert len(found) == len(rows) - 2 and sum(r.length for r in found) == sum(len(t.split()) + 1 for _, t, _ in rows if t)
+    clusters = {r.version: r.cluster for r in packing.near_copies(documents).collect()}
+    assert len(clusters) == len({t for _, t, _ in rows}) and len(set(clusters.values())) == 4 + 3
+    bins = defaultdict(list)
+    for r in found:
+        bins[r.bin].append(None if r.doc_id is None else r.doc_id // 10)
+    # Ten of the first text (one more copy of it, and one without an id), nine of the others, none twice in a bin.
+    assert len(bins) == 11 and all(len(b) == len(set(b)) for b in bins.values())
+    assert {r.bin for r in found if r.doc_id == 100}.isdisjoint({r.bin for r in found if r.doc_id is not None and r.doc_id < 10})
+    assert packing.digest(documents.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("name", ["line_dedup", "quality_rules"])
 def test_oracles_agree_with_small_documents(spark, small, name):
     connection = duckdb.connect()

@@ -15,6 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import ngram_join
+from tidemark.llm.skew import join_aggregate
+
 CAPACITY = 4096
 #: Documents of one source in a bin, at most; of one duplicate cluster always one.
 PER_SOURCE = 16
@@ -87,8 +90,6 @@ def packed(
     a hot source or cluster spreads over all groups, and no group grows with the corpus. An empty table gives no row.
     Rows repeated with the same id and text are packed one by one.
     """
-    total = documents.count()
-    groups = max(1, -(-total // group_rows))
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("version"),
@@ -96,8 +97,14 @@ def packed(
         cluster.alias("cluster"),
         source.alias("source"),
     )
-    empty = rows.filter("tokens <= 0").selectExpr("doc_id", "version", "0L part", "0L start", "0L length", "-1L bin", "0L offset")
-    filled = rows.filter("tokens > 0").withColumn("group", F.pmod(F.xxhash64("doc_id", "version", "cluster", "source", F.lit(3)), F.lit(groups)))
+    return _packed(rows.filter("tokens > 0"), rows.filter("tokens <= 0"), documents.count(), capacity, per_source, group_rows)
+
+
+def _packed(filled: DataFrame, empty: DataFrame, total: int, capacity: int, per_source: int, group_rows: int) -> DataFrame:
+    """``packed`` of ``total`` rows: ``filled`` of doc_id, version, tokens, cluster and source, and those of no length."""
+    groups = max(1, -(-total // group_rows))
+    empty = empty.selectExpr("doc_id", "version", "0L part", "0L start", "0L length", "-1L bin", "0L offset")
+    filled = filled.withColumn("group", F.pmod(F.xxhash64("doc_id", "version", "cluster", "source", F.lit(3)), F.lit(groups)))
     parts = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(tokens - 1) div {capacity}")))
     pieces = filled.withColumn("part", parts).withColumn("start", F.col("part") * capacity)
     pieces = pieces.withColumn("length", F.least(F.lit(capacity), F.col("tokens") - F.col("start"))).drop("tokens")
@@ -120,7 +127,24 @@ def word_count(text: str = "text") -> Column:
     return F.when(words > 0, words + 1).otherwise(0)
 
 
-def digest(documents: DataFrame) -> DataFrame:
-    """Pieces of every document; exact copies of a text are a cluster."""
-    cluster = F.xxhash64("text")
-    return packed(documents, word_count(), cluster, F.col("source").cast("string")).drop("version")
+def near_copies(documents: DataFrame) -> DataFrame:
+    """version (a hash of the text) and cluster, once for every text: the smallest version among its near copies.
+
+    Near copies are linked as in ``ngram_join``: by 80 of 100 five-word shingles, also over others. A text without words,
+    or a missing one, is in a cluster of its exact copies.
+    """
+    found = ngram_join.linked(documents.sparkSession, documents).groupBy("version").agg(F.min("component").alias("component"))
+    least = found.filter("component is not null").groupBy("component").agg(F.min("version").alias("cluster"))
+    worded = join_aggregate(found.filter("component is not null"), least, "component").select("version", "cluster")
+    return worded.union(found.filter("component is null").select("version", F.col("version").alias("cluster")))
+
+
+def digest(documents: DataFrame, near: bool = True) -> DataFrame:
+    """Pieces of every document; near copies of a text are a cluster, or only its exact copies where ``near`` is false."""
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"),
+        word_count().cast("long").alias("tokens"), F.col("source").cast("string").alias("source"),
+    )
+    filled = rows.filter("tokens > 0")
+    filled = join_aggregate(filled, near_copies(documents), "version") if near else filled.withColumn("cluster", F.col("version"))
+    return _packed(filled, rows.filter("tokens <= 0"), documents.count(), CAPACITY, PER_SOURCE, GROUP_ROWS).drop("version")
