@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding, token_counts
+from tidemark.llm import (
+    embedding_dedup,
+    hard_negatives,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    pieces,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_counts,
+)
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -56,6 +68,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(spark, _table(spark, folder, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.digest(spark, _table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -69,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_line_dedup,
         op10_quality_rules,
+        op13_hard_negatives,
     )
 }
 
@@ -76,4 +93,5 @@ ORACLES = {
     "op4_embedding_dedup": embedding_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
