@@ -82,10 +82,10 @@ def test_covering_radii_skip_nothing_that_counts(width):
         query = np.floor(values[n] * random.choice([0.1, 1, 5]) + random.normal(size=width))
         scores = (values @ query).astype(int)
         for same in (True, False):
-            for low, high in ((None, None), *(sorted(random.choice(scores, 2).tolist()) for _ in range(3))):
+            for low, high in ((-np.inf, np.inf), *(sorted(random.choice(scores, 2).tolist()) for _ in range(3))):
                 best = hn._Best(3, low, high)
                 hn.search(tree, query, 1, [best], same, (int(ids[n]), 0))
-                rows = [(-s, i) for s, i, l in zip(scores, ids, labels) if (l == 1) == same and i != ids[n] and (low is None or low <= s <= high)]
+                rows = [(-s, i) for s, i, l in zip(scores, ids, labels) if (l == 1) == same and i != ids[n] and low <= s <= high]
                 assert [(-s, i) for s, i, _ in best.rows] == sorted(rows)[:3]
 
 
@@ -95,7 +95,7 @@ def test_descent_leaves_nodes_closed(monkeypatch):
     values = np.floor(np.repeat(random.normal(size=(40, 16)) * 2000, 50, axis=0) + random.normal(size=(2000, 16)) * 20)
     tree = hn.Tree.over(np.arange(2000), np.zeros(2000, dtype=np.int64), np.zeros(2000, dtype=np.int64), values)
     seen, plain = [], hn.products
-    monkeypatch.setattr(hn, "products", lambda v, q: seen.append(len(v)) or plain(v, q))
+    monkeypatch.setattr(hn, "products", lambda v, q, p: seen.append(len(v)) or plain(v, q, p))
     for n in range(0, 2000, 100):
         hn.search(tree, values[n], 0, [hn._Best(5)], True, (n, 0))
     assert sum(seen) < 20 * 2000 / 4
@@ -103,7 +103,7 @@ def test_descent_leaves_nodes_closed(monkeypatch):
 
 def test_products_beyond_doubles_are_exact():
     big = np.array([[2.0**40 + 1, 3.0], [2.0**40, -1.0]])
-    assert hn.products(big, np.array([2.0**20 + 1, 1.0])).tolist() == [(2**40 + 1) * (2**20 + 1) + 3, 2**40 * (2**20 + 1) - 1]
+    assert hn.products(big, np.array([2.0**20 + 1, 1.0]), 2.0**40 + 1).tolist() == [(2**40 + 1) * (2**20 + 1) + 3, 2**40 * (2**20 + 1) - 1]
 
 
 def test_plan_has_no_cross_join(spark):

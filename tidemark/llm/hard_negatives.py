@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,19 +32,24 @@ BLOCK_ROWS = 2048
 PIVOTS = 256
 #: Anchors that meet a block in one task, about.
 TILE_ROWS = 1024
-LEAF, SHRINK = 24, 0.8
+LEAF, SHRINK = 256, 0.8
 _EXACT = 2.0**52
 
 
 @dataclass
 class Node:
-    """A subtree. ``members`` are rows compared as they are; ``children`` are subtrees with their own centres and radii."""
+    """A subtree. ``members`` are rows compared as they are; ``children`` are subtrees with their own centres and radii.
+
+    In a finished tree the members of a node lie side by side, from ``first`` to ``last``.
+    """
 
     members: np.ndarray
     children: list["Node"] = field(default_factory=list)
     centres: np.ndarray | None = None  # row of each child's centre
     radii: np.ndarray | None = None
     label: int | None = None  # the one label below, if there is only one
+    first: int = 0
+    last: int = 0
 
 
 def matrix(vectors: list[list[int]], width: int) -> np.ndarray:
@@ -63,6 +69,7 @@ class Tree:
     labels: np.ndarray
     values: np.ndarray
     largest: float  # M²
+    peak: float  # largest component
     root: Node
 
     @classmethod
@@ -70,7 +77,32 @@ class Tree:
         norms = np.einsum("ij,ij->i", values, values)
         largest = float(norms.max(initial=0.0))
         augmented = np.column_stack([values, np.sqrt(np.maximum(largest - norms, 0))])
-        return cls(ids, versions, labels, values, largest, _grown(augmented, np.asarray(labels), np.arange(len(ids)), 0))
+        root = _grown(augmented, np.asarray(labels), np.arange(len(ids)), 0)
+        order: list[np.ndarray] = []
+        _laid(root, order, 0)
+        rows = np.concatenate(order)
+        place = np.empty_like(rows)
+        place[rows] = np.arange(len(rows))
+        _moved(root, place)
+        return cls(ids[rows], versions[rows], labels[rows], values[rows], largest, float(np.abs(values).max(initial=0)), root)
+
+
+def _laid(node: Node, order: list[np.ndarray], at: int) -> int:
+    """Numbers the rows of a subtree in the order of a walk through it."""
+    order.append(node.members)
+    node.first, node.last = at, at + len(node.members)
+    at = node.last
+    for child in node.children:
+        at = _laid(child, order, at)
+    return at
+
+
+def _moved(node: Node, place: np.ndarray) -> None:
+    node.members = np.zeros(0, dtype=np.int64)
+    if node.children:
+        node.centres = place[node.centres]
+        for child in node.children:
+            _moved(child, place)
 
 
 def _grown(points: np.ndarray, labels: np.ndarray, rows: np.ndarray, centre: int) -> Node:
@@ -113,45 +145,37 @@ def _grown(points: np.ndarray, labels: np.ndarray, rows: np.ndarray, centre: int
     return node
 
 
-def products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products: in doubles where every sum is an exact integer, else in whole numbers without a limit."""
-    if np.abs(values).max(initial=0) * np.abs(query).max(initial=0) * max(1, len(query)) < _EXACT:
-        return (values @ query).astype(np.int64)
-    whole = np.array([int(x) for x in query], dtype=object)
+def products(values: np.ndarray, query: np.ndarray, peak: float) -> np.ndarray:
+    """Exact inner products with components up to ``peak``: in doubles where all sums are exact there, else in whole
+    numbers without a limit."""
+    if peak * np.abs(query).max(initial=0) * max(1, len(query)) < _EXACT:
+        return values @ query
+    whole = [int(x) for x in query]
     return np.array([sum(int(a) * b for a, b in zip(row, whole)) for row in values], dtype=object)
 
 
 class _Best:
     """The ``size`` best of one window of scores: higher scores first, then smaller ids, then smaller versions."""
 
-    def __init__(self, size: int, low: int | None = None, high: int | None = None):
+    def __init__(self, size: int, low: float = -np.inf, high: float = np.inf):
         self.size, self.low, self.high, self.rows = size, low, high, []
 
-    def wants(self, least, most):
-        """Whether a range of products can hold something for this window; takes arrays, too."""
-        fits = True
-        if self.high is not None:
-            fits = (least <= self.high) & (most >= self.low)
-        if len(self.rows) == self.size:
-            fits = fits & (most >= self.rows[-1][0])
-        return fits
-
-    def open(self, most) -> bool:
-        """Whether products up to ``most`` may still enter."""
-        return bool(self.wants(-np.inf, most))
-
-    def offer(self, scores, ids, versions) -> None:
-        good = np.ones(len(scores), dtype=bool)
-        if self.high is not None:
-            good = (scores >= self.low) & (scores <= self.high)
-        if len(self.rows) == self.size:
-            good = good & (scores >= self.rows[-1][0])
-        at = np.flatnonzero(good.astype(bool))
-        if len(at) > 4 * self.size:  # a place below the last of the best needs no sorting
-            last = np.partition(scores[at], len(at) - self.size)[len(at) - self.size]
-            at = at[scores[at] >= last]
-        new = [(scores[i], ids[i], versions[i]) for i in at]
-        self.rows = sorted([*self.rows, *new], key=lambda r: (-r[0], r[1], r[2]))[: self.size]
+    @property
+    def least(self):
+        """The least score that can still enter."""
+        return max(self.low, self.rows[-1][0]) if len(self.rows) == self.size else self.low
+
+
+def _offer(windows: list[_Best], scores: np.ndarray, ids: np.ndarray, versions: np.ndarray) -> None:
+    """Shows rows to every window; they are ordered once for all."""
+    at = np.flatnonzero((scores >= min(w.least for w in windows)) & (scores <= max(w.high for w in windows)))
+    rows = sorted(zip((-scores[at]).tolist(), ids[at].tolist(), versions[at].tolist()))
+    falling = [r[0] for r in rows]
+    for w in windows:
+        start = bisect_left(falling, -w.high)
+        new = [(-s, i, v) for s, i, v in rows[start : start + w.size] if -s >= w.least]
+        if new:
+            w.rows = sorted([*w.rows, *new], key=lambda r: (-r[0], r[1], r[2]))[: w.size]
 
 
 def search(tree: Tree, query: np.ndarray, label: int, windows: list[_Best], same: bool, key: tuple[int, int]) -> None:
@@ -164,16 +188,16 @@ def search(tree: Tree, query: np.ndarray, label: int, windows: list[_Best], same
     counter, heap = 0, [(-np.inf, 0, tree.root)]
     while heap:
         most, _, node = heapq.heappop(heap)
-        if not any(w.open(-most) for w in windows):
+        if all(-most < w.least for w in windows):
             return
-        rows = node.members
-        if len(rows):
-            rows = rows[(tree.labels[rows] == label) == same]
-            rows = rows[(tree.ids[rows] != key[0]) | (tree.versions[rows] != key[1])]
-        if len(rows):
-            scores = products(tree.values[rows], query)
-            for w in windows:
-                w.offer(scores, tree.ids[rows], tree.versions[rows])
+        if node.last > node.first:
+            part = slice(node.first, node.last)
+            rows = np.flatnonzero((tree.labels[part] == label) == same)
+            scores, ids, versions = products(tree.values[part], query, tree.peak)[rows], tree.ids[part][rows], tree.versions[part][rows]
+            own = (ids == key[0]) & (versions == key[1])
+            if own.any():
+                scores, ids, versions = scores[~own], ids[~own], versions[~own]
+            _offer(windows, scores, ids, versions)
         if not node.children:
             continue
         distance = np.sqrt(np.maximum(total - 2 * (tree.values[node.centres] @ query), 0))
@@ -181,7 +205,7 @@ def search(tree: Tree, query: np.ndarray, label: int, windows: list[_Best], same
         lower = (total - (distance + node.radii * (1 + 1e-9)) ** 2) / 2 - slack
         wanted = np.zeros(len(upper), dtype=bool)
         for w in windows:
-            wanted |= w.wants(lower, upper)
+            wanted |= (upper >= w.least) & (lower <= w.high)
         for k in np.flatnonzero(wanted):
             child = node.children[k]
             if child.label is not None and (child.label == label) != same:
