@@ -32,7 +32,7 @@ BLOCK_ROWS = 2048
 PIVOTS = 256
 #: Anchors that meet a block in one task, about.
 TILE_ROWS = 1024
-LEAF, SHRINK = 256, 0.8
+LEAF, SHRINK = 64, 0.8
 _EXACT = 2.0**52
 
 
@@ -166,14 +166,16 @@ class _Best:
         return max(self.low, self.rows[-1][0]) if len(self.rows) == self.size else self.low
 
 
-def _offer(windows: list[_Best], scores: np.ndarray, ids: np.ndarray, versions: np.ndarray) -> None:
-    """Shows rows to every window; they are ordered once for all."""
-    at = np.flatnonzero((scores >= min(w.least for w in windows)) & (scores <= max(w.high for w in windows)))
-    rows = sorted(zip((-scores[at]).tolist(), ids[at].tolist(), versions[at].tolist()))
+def _offer(windows: list[_Best], scores: np.ndarray, wanted: np.ndarray, ids: np.ndarray, versions: np.ndarray, key: tuple[int, int]) -> None:
+    """Shows the wanted rows to every window; they are ordered once for all."""
+    at = np.flatnonzero(wanted & (scores >= min(w.least for w in windows)) & (scores <= max(w.high for w in windows)))
+    if not len(at):
+        return
+    rows = sorted(r for r in zip((-scores[at]).tolist(), ids[at].tolist(), versions[at].tolist()) if r[1:] != key)
     falling = [r[0] for r in rows]
     for w in windows:
-        start = bisect_left(falling, -w.high)
-        new = [(-s, i, v) for s, i, v in rows[start : start + w.size] if -s >= w.least]
+        start, least = bisect_left(falling, -w.high), w.least
+        new = [(-s, i, v) for s, i, v in rows[start : start + w.size] if -s >= least]
         if new:
             w.rows = sorted([*w.rows, *new], key=lambda r: (-r[0], r[1], r[2]))[: w.size]
 
@@ -185,28 +187,22 @@ def search(tree: Tree, query: np.ndarray, label: int, windows: list[_Best], same
     """
     total = float(query @ query) + tree.largest
     slack = 1e-9 * (total + 1)
+    fitting = (tree.labels == label) == same
     counter, heap = 0, [(-np.inf, 0, tree.root)]
     while heap:
-        most, _, node = heapq.heappop(heap)
-        if all(-most < w.least for w in windows):
+        upmost, _, node = heapq.heappop(heap)
+        least, most = min(w.least for w in windows), max(w.high for w in windows)
+        if -upmost < least:
             return
         if node.last > node.first:
             part = slice(node.first, node.last)
-            rows = np.flatnonzero((tree.labels[part] == label) == same)
-            scores, ids, versions = products(tree.values[part], query, tree.peak)[rows], tree.ids[part][rows], tree.versions[part][rows]
-            own = (ids == key[0]) & (versions == key[1])
-            if own.any():
-                scores, ids, versions = scores[~own], ids[~own], versions[~own]
-            _offer(windows, scores, ids, versions)
+            _offer(windows, products(tree.values[part], query, tree.peak), fitting[part], tree.ids[part], tree.versions[part], key)
         if not node.children:
             continue
         distance = np.sqrt(np.maximum(total - 2 * (tree.values[node.centres] @ query), 0))
         upper = (total - np.maximum(distance - node.radii * (1 + 1e-9), 0) ** 2) / 2 + slack
         lower = (total - (distance + node.radii * (1 + 1e-9)) ** 2) / 2 - slack
-        wanted = np.zeros(len(upper), dtype=bool)
-        for w in windows:
-            wanted |= (upper >= w.least) & (lower <= w.high)
-        for k in np.flatnonzero(wanted):
+        for k in np.flatnonzero((upper >= least) & (lower <= most)):
             child = node.children[k]
             if child.label is not None and (child.label == label) != same:
                 continue
@@ -263,8 +259,12 @@ def _met(same: bool):
         if trees.num_rows and anchors.num_rows:
             tree: Tree = pickle.loads(trees.column("tree")[0].as_py())
             width = tree.values.shape[1]
-            for a in anchors.to_pylist():
-                query = matrix([a["values"][:width]], width)[0]
+            vectors = anchors.column("values").combine_chunks()
+            flat, ends = vectors.flatten().to_numpy(zero_copy_only=False).astype(float), np.cumsum([0, *vectors.value_lengths().to_pylist()])
+            for n, a in enumerate(anchors.drop_columns("values").to_pylist()):
+                query = np.zeros(width)
+                own = flat[ends[n] : ends[n + 1]][:width]
+                query[: len(own)] = own
                 key = (a["vec_id"], a["version"])
                 wanted = [None] if same else a["positives"]
                 windows = [_Best(POSITIVES) if w is None else _Best(NEGATIVES, *_window(w["score"])) for w in wanted]
