@@ -14,6 +14,7 @@ from tidemark.llm import (
     ngram_join,
     packing,
     pieces,
+    quality_gam,
     quality_rules,
     secret_scan,
     sharding,
@@ -68,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(spark, _table(spark, folder, "documents"))
 
 
+def op12_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_gam.digest(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.digest(spark, _table(spark, folder, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_line_dedup,
         op10_quality_rules,
+        op12_quality_gam,
         op13_hard_negatives,
     )
 }
