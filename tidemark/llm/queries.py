@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    collocations,
     embedding_dedup,
     hard_negatives,
     language_id,
@@ -69,6 +70,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(spark, _table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.digest(spark, _table(spark, folder, "documents"))
+
+
 def op12_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     return quality_gam.digest(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_line_dedup,
         op10_quality_rules,
+        op11_collocations,
         op12_quality_gam,
         op13_hard_negatives,
     )
@@ -99,5 +105,6 @@ ORACLES = {
     "op4_embedding_dedup": embedding_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op13_hard_negatives": hard_negatives.ORACLE,
 }

@@ -27,9 +27,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(data: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last-plus-one byte of every word, and the number of its first word for each text (and the total)."""
-    filled = ~SPACE[data]
+    filled = ~space[data]
     begins, stops = filled.copy(), filled.copy()
     begins[1:] &= ~filled[:-1]
     stops[:-1] &= ~filled[1:]
