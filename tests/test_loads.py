@@ -16,20 +16,20 @@ from tidemark.session import plan_bytes, workspace
 from tidemark.sources import landing
 from tidemark.sources.contracts import stored_schema
 from tidemark.streaming import bronze, delta
-from tidemark.tables import SnapshotTable, _bucketed_scans, create_or_replace
+from tidemark.tables import SnapshotTable, create_or_replace
 
 MOVED = (1, "francisco", 35, "new road 1", PLACED, LATER)
 SHIPPED = (1, 1, 30, "shipped", PLACED, LATER)
 NEW_ORDER = (4, 2, 70, "processing", LATER, None)
 
 
-def dim_table(spark, path, buckets=4):
-    return SnapshotTable(spark, str(path), DIM_STATUS.schema, "id", "sk", buckets)
+def dim_table(spark, path, partitions=4):
+    return SnapshotTable(spark, str(path), DIM_STATUS.schema, "id", "sk", partitions)
 
 
 def commit(table, batch, batch_id, as_of=RUN_1):
-    parts = scd2_parts(table.current(), batch, DIM_STATUS, as_of, table.next_key(), effective_slice=True)
-    return table.replace_current(*parts, batch_id)
+    first = table.next_key()
+    return table.merge(batch, batch_id, lambda stored: scd2_parts(stored, batch, DIM_STATUS, as_of, first, effective_slice=True))
 
 
 def test_commits_versions_and_batch_ids(spark, tmp_path):
@@ -39,63 +39,77 @@ def test_commits_versions_and_batch_ids(spark, tmp_path):
     assert commit(table, batch, "b1")
     assert not commit(table, batch, "b1")
     assert commit(table, batch.where("id < 10").withColumn("status", F.lit("b")), "b2", RUN_2)
-    fresh = dim_table(spark, tmp_path / "dim", buckets=None)
-    assert fresh.version == 2 and fresh.buckets == 4 and fresh.next_key() == 111
+    fresh = dim_table(spark, tmp_path / "dim", partitions=None)
+    assert fresh.version == 2 and fresh.partitions == 4 and fresh.next_key() == 111
     assert (fresh.current().count(), fresh.history().count()) == (100, 10)
     assert {r.status for r in fresh.current().where("id < 10").collect()} == {"b"}
     assert {r.status for r in fresh.current(version=1).collect()} == {"a"}
     assert fresh.read().select("sk").distinct().count() == 110
 
 
-def test_a_merge_leaves_the_table_in_its_buckets(spark, tmp_path):
+def scanned(df):
+    """Partition folders that a plan's scans read."""
+    return {int(f.split("part=")[1].split("/")[0]) for f in df.inputFiles()}
+
+
+def test_a_small_batch_reads_and_writes_the_partitions_it_touches(spark, tmp_path):
+    table = dim_table(spark, tmp_path / "dim", partitions=64)
+    seed = spark.range(5000).select("id", F.lit("a").alias("status"))
+    commit(table, seed, "b1")
+    assert table.commits[0].parts == list(range(64))
+    batch, read = seed.where("id = 77").withColumn("status", F.lit("b")), []
+
+    def build(stored):
+        read.append(scanned(stored))
+        return scd2_parts(stored, batch, DIM_STATUS, RUN_2, table.next_key(), effective_slice=True)
+
+    assert table.merge(batch, "b2", build) and not table.merge(batch, "b2", build)
+    (part,) = read[0]
+    assert len(read) == 1 and table.commits[1].parts == table.commits[1].touched == [part]
+    written = os.listdir(f"{table.commits[1].folder}/slice=current")
+    assert [f for f in written if f.startswith("part=")] == [f"part={part}"]
+    fresh = dim_table(spark, tmp_path / "dim", partitions=None)
+    assert fresh.version == 2 and fresh.current().count() == 5000 and fresh.history().count() == 1
+    assert rows(fresh.current().where("id = 77").select("sk", "status")) == [(5001, "b")]
+    assert fresh.current(version=1).where("status = 'a'").count() == 5000
+    # A batch without rows touches nothing.
+    assert commit(fresh, seed.where("id < 0"), "b3") and fresh.commits[-1].touched == [] and fresh.current().count() == 5000
+
+
+def test_a_merge_moves_no_stored_row_beside_a_small_batch(spark, tmp_path):
     table = dim_table(spark, tmp_path / "dim")
-    commit(table, spark.range(1000).select("id", F.lit("a").alias("status")), "b1")
-    batch = spark.range(500).select("id", F.lit("b").alias("status"))
-    kept, new = scd2_parts(table.current(), batch, DIM_STATUS, RUN_2, table.next_key(), effective_slice=True)
-    for threshold in ("-1", "10485760"):  # with a shuffle join and with a broadcast join
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        with _bucketed_scans(spark):
-            plan = table._in_buckets(kept, new)._jdf.queryExecution().executedPlan().toString()
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        stored = plan[plan.index("Union") : plan.index("REPARTITION_BY_NUM")]
-        assert "Bucketed: true" in plan
-        scan = next(line for line in stored.splitlines() if "Bucketed: true" in line)
-        above = stored[: stored.index(scan)].splitlines()
-        assert not any("Exchange" in line and "_key" not in line and "Broadcast" not in line for line in above)
-
-
-def test_states_in_buckets_are_compared_where_they_lie(spark, tmp_path):
+    seed = spark.range(1000).select("id", F.lit("a").alias("status"))
+    commit(table, seed, "b1")
+    kept, _ = scd2_parts(table.current(), seed.where("id < 3"), DIM_STATUS, RUN_2, 1001, effective_slice=True)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    stored = plan[: plan.index("Scan parquet")] if plan.index("Scan parquet") < plan.index("Range") else plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(id" not in stored
+
+
+def test_states_of_versions_are_compared(spark, tmp_path):
     table = dim_table(spark, tmp_path / "dim")
     commit(table, spark.range(1000).select("id", F.lit("a").alias("status")), "b1")
     commit(table, spark.range(10).select("id", F.lit("b").alias("status")), "b2", RUN_2)
-    feed = change_feed(table.current(1), table.current(2), "id")
-    plan = feed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
-    assert feed.count() == 20
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert change_feed(table.current(1), table.current(2), "id").count() == 20
     batch = spark.range(1000).select("id", F.lit("a").alias("status"))
-    changed = changed_only(batch, table.current(), DIM_STATUS)
-    plan = changed._jdf.queryExecution().executedPlan().toString()
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert changed.count() == 10
-    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert changed_only(batch, table.current(), DIM_STATUS).count() == 10
 
 
-def test_the_bucket_count_follows_the_size(spark, tmp_path, monkeypatch):
-    table = dim_table(spark, tmp_path / "dim", buckets=None)
+def test_partitions_follow_the_size(spark, tmp_path, monkeypatch):
+    table = dim_table(spark, tmp_path / "dim", partitions=None)
     batch = create_or_replace(spark.range(1000).select("id", F.lit("a").alias("status")), f"{tmp_path}/batch")
-    table.fit(batch)
-    assert table.buckets == 1
     commit(table, batch, "b1")
-    table.fit(batch)
-    assert table.buckets == 1
-    monkeypatch.setattr("tidemark.tables.BUCKET_BYTES", plan_bytes(batch) // 2)
-    table.fit(batch)
-    assert table.buckets > 3
-    commit(table, batch.where("id < 10"), "b2", RUN_2)
-    fresh = dim_table(spark, tmp_path / "dim", buckets=None)
-    assert fresh.buckets == fresh.commits[-1].buckets > 3
-    assert fresh.current().count() == 1000 and fresh.history().count() == 10
+    assert table.partitions == 1
+    commit(table, batch.where("id = 5").withColumn("status", F.lit("b")), "b2", RUN_2)
+    assert table.partitions == 1
+    monkeypatch.setattr("tidemark.tables.PART_BYTES", plan_bytes(batch) // 8)
+    commit(table, batch.where("id < 10").withColumn("status", F.lit("c")), "b3", RUN_3)
+    fresh = dim_table(spark, tmp_path / "dim", partitions=None)
+    assert fresh.partitions >= 8 and len(fresh.commits[-1].touched) == fresh.partitions
+    assert fresh.current().count() == 1000 and fresh.history().count() == 11
+    # The type of a batch's key does not move a row to another partition.
+    commit(fresh, spark.sql("select int(7) id, 'd' status"), "b4", RUN_3)
+    assert fresh.current().count() == 1000 and rows(fresh.current().where("id = 7").select("status")) == [("d",)]
 
 
 def test_append_only_table(spark, tmp_path):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import ntz
@@ -34,7 +34,7 @@ def change_feed(old: DataFrame, new: DataFrame, key: str, ignore: Sequence[str]
 
     An insert is one INSERT row and a removal one DELETE row; an update is a DELETE row with the old
     image and an INSERT row with the new image, both marked as update. One join on the plain key,
-    which is unique; two states bucketed by it are compared where they lie. A row that differs in
+    which is unique. A row that differs in
     ``ignore`` columns alone has not changed.
     """
     columns = new.columns
@@ -86,6 +86,33 @@ def feed_parts(
     return close_versions(table, inserts, dim.key, unique=effective_slice), new
 
 
+def feeds_parts(
+    table: DataFrame, feeds: DataFrame, dim: Dimension, first_key: int = 1, number: str = "_feed", at: str = "_at"
+) -> tuple[DataFrame, DataFrame]:
+    """``feed_parts`` of several feeds at once, on the effective slice: each row names its feed and that feed's time.
+
+    Every inserted image opens a version, valid from its feed's time and with the key it would have got if the feeds had
+    come one by one. Of the versions of a key the last one is effective.
+    """
+    inserts = feeds.where(F.col("action") == INSERT).select(*dim.attributes, number, at)
+    required = dim.required if dim.required is not None else [c for c, _ in dim.columns]
+    values = {c: F.col(c).cast(t) for c, t in dim.columns}
+    typed = inserts.select(
+        *[(require_not_null(v, f"{dim.name}.{c}") if c in required else v).alias(c) for c, v in values.items()], number, at
+    )
+    keyed = with_surrogate_keys(typed, by=[dim.key], first=first_key, name=dim.surrogate, after=number)
+    last = F.row_number().over(Window.partitionBy(dim.key).orderBy(F.desc(number))) == 1
+    new = keyed.withColumns({"valid_from": F.col(at), "is_effective": last}).drop(number, at)
+    return close_versions(table, inserts, dim.key, unique=True), new
+
+
+def effective_at(versions: DataFrame, at: datetime | str, key: str, surrogate: str) -> DataFrame:
+    """The versions that were effective at a time, each key's newest one until then."""
+    following = Window.partitionBy(key).orderBy("valid_from", surrogate)
+    known = versions.where(F.col("valid_from") <= ntz(at)).withColumn("_later", F.lead(surrogate).over(following))
+    return known.where("_later is null").drop("_later").withColumn("is_effective", F.lit(True))
+
+
 def apply_feed_scd2(table: DataFrame, feed: DataFrame, dim: Dimension, as_of: datetime | str, **options) -> DataFrame:
     """A dimension after one feed; options as in ``feed_parts``."""
     closed, new = feed_parts(table, feed, dim, as_of, **options)
@@ -100,11 +127,20 @@ def fact_from_feed(
     first_key: int = 1,
 ) -> DataFrame:
     """Orders that enter as 'processing', with the keys of their status and user versions."""
-    entering = feed.where(
-        (F.col("status") == "processing") & (F.col("action") == INSERT) & ~F.col("is_update")
-    ).select("order_id", "id_user", "ordered_at")
+    entering = entering_orders(feed).select("order_id", "id_user", "ordered_at")
     if effective:
         entering = with_surrogate_keys(entering, by=["order_id"], first=first_key, name="id")
+    return entered_facts(entering, dim_orderstatus, dim_user, effective, first_key)
+
+
+def entering_orders(feed: DataFrame) -> DataFrame:
+    return feed.where((F.col("status") == "processing") & (F.col("action") == INSERT) & ~F.col("is_update"))
+
+
+def entered_facts(
+    entering: DataFrame, dim_orderstatus: DataFrame, dim_user: DataFrame, effective: bool = True, first_key: int = 1
+) -> DataFrame:
+    """Facts of entering orders: numbered ones if ``effective``, else numbered after their versions fanned them out."""
     facts = star_join(
         entering, dim_user, dim_orderstatus, ("id_user", "user_id"), ("order_id", "order_id"), "id", effective
     )

@@ -50,7 +50,7 @@ def lookup_join(
 
     A lookup side below the broadcast limit is left to Spark, which then shuffles neither side; which way is taken
     changes the plan and never the rows. Beyond the limit the hot keys are found first. Rows of other keys meet the
-    lookup on the plain key, so that a bucketed lookup stays in its buckets. Rows of hot keys, and rows without a
+    lookup on the plain key. Rows of hot keys, and rows without a
     key if these are many, are spread over all shuffle partitions, and the lookup rows of the hot keys are repeated
     to meet them. The table of hot keys that is broadcast has fewer rows than half the shuffle partitions.
     """

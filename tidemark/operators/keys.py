@@ -13,18 +13,26 @@ BUCKET_DIGITS = 4  # 65,536 buckets: enough to spread over thousands of tasks, s
 
 
 def with_surrogate_keys(
-    df: DataFrame, by: Sequence[str], first: int = 1, name: str = "sk", counted: DataFrame | None = None
+    df: DataFrame,
+    by: Sequence[str],
+    first: int = 1,
+    name: str = "sk",
+    counted: DataFrame | None = None,
+    after: str | None = None,
 ) -> DataFrame:
     """Adds ``first, first + 1, ...`` with no gap, one number per row.
 
     ``by`` names columns that identify a row. Rows are numbered inside hash buckets of those columns,
     and each bucket starts where the one before it ends. The numbers follow from the data alone, so a
     lost executor or a second evaluation gives the same keys. ``counted`` may be a frame with the same
-    rows of the ``by`` columns that is cheaper to count than ``df``.
+    rows of the ``by`` columns that is cheaper to count than ``df``. ``after`` names a column of few values whose rows
+    are numbered one value after the other, as if each value came in a batch of its own.
     """
     bucket = F.substring(row_hash(by), 1, BUCKET_DIGITS)
+    if after:
+        bucket = F.concat(F.lpad(F.col(after).cast("string"), 12, "0"), F.lit("-"), bucket)
     bucketed = df.withColumn("_bucket", bucket)
-    # At most 16 ** BUCKET_DIGITS rows, whatever the size of the input.
+    # At most 16 ** BUCKET_DIGITS rows for a value of ``after``, whatever the size of the input.
     starts = (
         (df if counted is None else counted).groupBy(bucket.alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_rows"))

@@ -87,7 +87,7 @@ def versions(
 def changed_only(batch: DataFrame, effective: DataFrame, dim: Dimension) -> DataFrame:
     """Batch rows that differ from the effective version of their key, or have none.
 
-    Joined on the key alone, so that a table bucketed by it is not moved.
+    Joined on the key alone: both sides hold one row per key.
     """
     old = effective.select(*[F.col(c).alias(f"_old_{c}") for c in dim.attributes])
     same = F.lit(True)

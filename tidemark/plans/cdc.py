@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from datetime import datetime
+from collections.abc import Iterator, Mapping
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.files import path_exists
-from tidemark.functions.clock import SILVER_FLOOR, ntz
+from tidemark.functions.clock import SILVER_FLOOR, as_datetime, ntz
 from tidemark.functions.schemas import struct
 from tidemark.functions.variants import renamed_fields
 from tidemark.operators.changes import (
     DIM_ORDERSTATUS,
     DIM_USER,
     change_feed,
-    fact_from_feed,
-    feed_parts,
+    effective_at,
+    entered_facts,
+    entering_orders,
+    feeds_parts,
 )
 from tidemark.operators.dedup import newest_per_key
+from tidemark.operators.keys import with_surrogate_keys
 from tidemark.operators.merge import untouched
 from tidemark.operators.scd import Dimension
 from tidemark.operators.watermark import high_water_value, load_window
 from tidemark.plans.stages import Warehouse
-from tidemark.sources.incremental import incremental_rows
 from tidemark.streaming.bronze import read_bronze
 from tidemark.tables import SnapshotTable, create_or_replace
 
+#: Silver commits that gold takes over in one commit of its own, at most.
+FEEDS_AT_ONCE = 8
 # When a row came to bronze, and when silver took it over; they say nothing about the row itself.
 LOAD_TIMES = {"copied_at": "timestamp_ntz", "dbt_at": "timestamp_ntz"}
 SILVER_USERS = struct(
@@ -115,8 +120,8 @@ class ChangeWarehouse(Warehouse):
     feed read it independently and a repeated run is a no-op.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, ())
+    def __init__(self, spark: SparkSession, root: str, overlap: timedelta | None = None):
+        super().__init__(spark, root, (), overlap=overlap)
 
         def at(layer: str, name: str, schema: T.StructType, key: str, surrogate: str | None = None):
             return SnapshotTable(spark, f"{self.root}/{layer}/{name}", schema, key, surrogate)
@@ -133,7 +138,7 @@ class ChangeWarehouse(Warehouse):
     def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:
         """Lands what is new or changed in both source tables, and loads it."""
         for entity, source in (("users", users), ("orders", orders)):
-            self.land(entity, incremental_rows(source, self.watermark(entity, at)), at)
+            self.extract_table(entity, source, at)
         self.load(at)
 
     def load(self, at: datetime | str) -> None:
@@ -142,7 +147,7 @@ class ChangeWarehouse(Warehouse):
         self.upsert(
             self.window("users", self.users, USER_FIELDS, at), self.window("orders", self.orders, ORDER_FIELDS, at), str(at)
         )
-        self.refresh(at)
+        self.refresh()
 
     def window(self, entity: str, table: SnapshotTable, fields: Mapping[str, tuple[str, str]], at: datetime | str) -> DataFrame | None:
         """Typed bronze rows that came after the newest one in silver, until a time; None without any."""
@@ -169,35 +174,66 @@ class ChangeWarehouse(Warehouse):
             newest = newest_per_key(batch.withColumns(times), table.key, "updated_at", created)
             version = f"{table.version + 1:06d}"
             newest = create_or_replace(newest.select(*table.schema.names), f"{table.path}/batch/{version}")
-            table.fit(newest)
-            keys = newest.select(F.col(table.key).alias("_key"))
-            touched = table.current().join(keys, F.col(table.key) == F.col("_key"), "left_semi")
-            create_or_replace(change_feed(touched, newest, table.key, tuple(LOAD_TIMES)), f"{table.path}/feed/{version}")
-            table.replace(untouched(table.current(), newest, table.key), newest, batch_id)
-
-    def _follow(self, source: SnapshotTable, consumer: SnapshotTable, apply: Callable[[DataFrame, str], None]) -> None:
-        """Hands the feeds after the consumer's last position to ``apply``, each with its position."""
-        seen = int(consumer.commits[-1].batch_id) if consumer.commits else 0
-        for version in range(seen + 1, source.version + 1):
-            apply(self.spark.read.parquet(f"{source.path}/feed/{version:06d}"), str(version))
-
-    def _follow_dimension(self, source: SnapshotTable, table: SnapshotTable, dim: Dimension, as_of) -> None:
-        def apply(feed: DataFrame, position: str) -> None:
-            table.fit(feed)
-            closed, new = feed_parts(table.current(), feed, dim, as_of, table.next_key(), effective_slice=True)
-            table.replace_current(closed, new, position)
 
-        self._follow(source, table, apply)
+            def build(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+                keys = newest.select(F.col(table.key).alias("_key"))
+                touched = stored.join(keys, F.col(table.key) == F.col("_key"), "left_semi")
+                create_or_replace(change_feed(touched, newest, table.key, tuple(LOAD_TIMES)), f"{table.path}/feed/{version}")
+                return untouched(stored, newest, table.key), newest
 
-    def refresh(self, as_of: datetime | str) -> None:
-        """Applies all silver changes to gold, dimensions first."""
-        self._follow_dimension(self.users, self.dim_user, DIM_USER, as_of)
-        self._follow_dimension(self.orders, self.dim_orderstatus, DIM_ORDERSTATUS, as_of)
+            table.merge(newest, batch_id, build, effective_only=True)
 
-        def load_fact(feed: DataFrame, position: str) -> None:
-            facts = fact_from_feed(
-                feed, self.dim_orderstatus.current(), self.dim_user.current(), first_key=self.fact_orders.next_key()
-            )
-            self.fact_orders.append(facts, position)
+    def _pending(self, source: SnapshotTable, consumer: SnapshotTable) -> Iterator[tuple[str, DataFrame, list[tuple[int, str]]]]:
+        """Feeds after the consumer's last position, some at once: their last position, their rows, and (number, time) of each.
 
-        self._follow(self.orders, self.fact_orders, load_fact)
+        A row names its feed, and the time of the silver commit that the feed came from.
+        """
+        seen = int(consumer.commits[-1].batch_id) if consumer.commits else 0
+        waiting = [(c.version, c.batch_id) for c in source.commits if c.version > seen]
+        for lo in range(0, len(waiting), FEEDS_AT_ONCE):
+            some = waiting[lo : lo + FEEDS_AT_ONCE]
+            feeds = [
+                self.spark.read.parquet(f"{source.path}/feed/{version:06d}").withColumns({"_feed": F.lit(version), "_at": ntz(time)})
+                for version, time in some
+            ]
+            yield str(some[-1][0]), reduce(DataFrame.unionByName, feeds), some
+
+    def _follow_dimension(self, source: SnapshotTable, table: SnapshotTable, dim: Dimension) -> None:
+        for position, feeds, _ in self._pending(source, table):
+            first = table.next_key()
+            table.merge(feeds, position, lambda stored: feeds_parts(stored, feeds, dim, first))
+
+    def _state(self, source: SnapshotTable, table: SnapshotTable, at: str, keys: DataFrame) -> DataFrame:
+        """The versions of a dimension that were effective after the load of a time, at least those of some keys.
+
+        The effective slice holds them unless the dimension has moved on. Then those that later commits closed are read
+        with it, and no others of its history.
+        """
+        times = {str(c.version): as_datetime(c.batch_id) for c in source.commits}
+        later = [c.version for c in table.commits if times[c.batch_id] > as_datetime(at)]
+        if not later:
+            return table.current()
+        rows = table.current().unionByName(table.history(after=later[0] - 1))
+        asked = keys.distinct().toDF("_key")
+        return effective_at(rows.join(asked, F.col(table.key) == F.col("_key"), "left_semi"), at, table.key, table.surrogate)
+
+    def refresh(self, as_of: datetime | str | None = None) -> None:
+        """Applies all silver changes to gold, dimensions first; versions are valid from the time of their silver commit.
+
+        Whether the commits are taken one by one or caught up together, the gold tables hold the same rows: each fact meets
+        the versions that were effective after the load it came with.
+        """
+        self._follow_dimension(self.users, self.dim_user, DIM_USER)
+        self._follow_dimension(self.orders, self.dim_orderstatus, DIM_ORDERSTATUS)
+        for position, feeds, some in self._pending(self.orders, self.fact_orders):
+            entering = entering_orders(feeds).select("order_id", "id_user", "ordered_at", "_feed")
+            numbered = with_surrogate_keys(entering, by=["order_id"], first=self.fact_orders.next_key(), name="id", after="_feed")
+            if len(some) > 1:
+                numbered = create_or_replace(numbered, f"{self.fact_orders.path}/batch/{position}")
+            facts = []
+            for number, time in some:
+                own = numbered.where(F.col("_feed") == number)
+                status = self._state(self.orders, self.dim_orderstatus, time, own.select("order_id"))
+                users = self._state(self.users, self.dim_user, time, own.select("id_user"))
+                facts.append(entered_facts(own, status, users))
+            self.fact_orders.append(reduce(DataFrame.unionByName, facts), position)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +12,6 @@ from tidemark.operators.audit import star_rules
 from tidemark.operators.scd import DIM_STATUS, DIM_USERS, Dimension, scd2_parts
 from tidemark.operators.star import fact_orders
 from tidemark.plans.stages import Warehouse
-from tidemark.sources.incremental import incremental_rows
 from tidemark.tables import SnapshotTable
 
 FACT_ORDERS = struct(
@@ -36,8 +35,9 @@ class StarWarehouse(Warehouse):
         statuses: Sequence[str] = STATUSES,
         stop_on_failure: bool = True,
         only_changed: bool = False,
+        overlap: timedelta | None = None,
     ):
-        super().__init__(spark, root, star_rules(statuses), stop_on_failure)
+        super().__init__(spark, root, star_rules(statuses), stop_on_failure, overlap)
         self.only_changed = only_changed
         self.dim_users = self._dimension(DIM_USERS)
         self.dim_status = self._dimension(DIM_STATUS)
@@ -48,24 +48,13 @@ class StarWarehouse(Warehouse):
         return self.gold(dim.name, dim.schema, dim.key, dim.surrogate)
 
     def _load_dimension(self, dim: Dimension, table: SnapshotTable, batch: DataFrame, batch_id: str, as_of) -> None:
-        if table.has(batch_id):
-            return
-        table.fit(batch)
-        closed, new = scd2_parts(
-            table.current(),
-            batch,
-            dim,
-            as_of,
-            first_key=table.next_key(),
-            only_changed=self.only_changed,
-            effective_slice=True,
-        )
-        table.replace_current(closed, new, batch_id)
+        options = {"first_key": table.next_key(), "only_changed": self.only_changed, "effective_slice": True}
+        table.merge(batch, batch_id, lambda stored: scd2_parts(stored, batch, dim, as_of, **options))
 
     def extract(self, users: DataFrame, orders: DataFrame, taken_at: datetime | str) -> None:
         """Lands what is new or changed in both source tables."""
         for entity, source in (("users", users), ("orders", orders)):
-            self.land(entity, incremental_rows(source, self.watermark(entity, taken_at)), taken_at)
+            self.extract_table(entity, source, taken_at)
 
     def load(self, as_of: datetime | str, max_files: int | None = None) -> None:
         """Loads everything landed so far into the gold tables."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,7 +13,7 @@ from tidemark.operators.wide import wide_parts
 from tidemark.plans.kimball import STATUSES
 from tidemark.plans.stages import Warehouse
 from tidemark.sources.contracts import stored_schema
-from tidemark.sources.incremental import joined_rows
+from tidemark.sources.incremental import ORDER_COLUMNS, joined_rows
 
 FACT_SALES = T.StructType(
     [
@@ -26,21 +26,24 @@ FACT_SALES = T.StructType(
 
 class WideWarehouse(Warehouse):
     def __init__(
-        self, spark: SparkSession, root: str, statuses: Sequence[str] = STATUSES, stop_on_failure: bool = True
+        self,
+        spark: SparkSession,
+        root: str,
+        statuses: Sequence[str] = STATUSES,
+        stop_on_failure: bool = True,
+        overlap: timedelta | None = None,
     ):
-        super().__init__(spark, root, wide_rules(statuses), stop_on_failure)
+        super().__init__(spark, root, wide_rules(statuses), stop_on_failure, overlap)
         self.fact_sales = self.gold("fact_sales", FACT_SALES, "order_id")
         self.publish_contracts("sales")
 
     def run(self, users: DataFrame, orders: DataFrame, at: datetime | str) -> None:
-        batch = joined_rows(orders, users, self.watermark("sales", at))
-        self.land("sales", batch, at, prefix="order_")
+        # Rows are known by their order alone: a changed user brings none.
+        own = [f"order_{c}" for c in ORDER_COLUMNS]
+        self.land("sales", self.unread("sales", lambda mark: joined_rows(orders, users, mark), at, own), at)
         self.ingest(["sales"], at)
 
         def load_sales(extract: DataFrame, batch_id: str) -> None:
-            if not self.fact_sales.has(batch_id):
-                self.fact_sales.fit(extract)
-                closed, new = wide_parts(self.fact_sales.current(), extract, at, effective_slice=True)
-                self.fact_sales.replace_current(closed, new, batch_id)
+            self.fact_sales.merge(extract, batch_id, lambda stored: wide_parts(stored, extract, at, effective_slice=True))
 
         self.refresh("sales", at, load_sales)

@@ -2,77 +2,140 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.files import path_exists
-from tidemark.functions.clock import EXTRACT_FLOOR, as_datetime, ntz
+from tidemark.files import children, path_exists, read_text, write_text
+from tidemark.functions.clock import EXTRACT_FLOOR, as_datetime
 from tidemark.functions.schemas import struct
 from tidemark.operators.audit import FAILURES, RULES, Rule, require_passed, rule_table, run_audit
 from tidemark.operators.contracts import enforce
-from tidemark.operators.watermark import high_water_value
-from tidemark.sources.contracts import SCHEMA_VERSION, landing_schema, source_schema, stored_schema
-from tidemark.sources.landing import write_landing
-from tidemark.sources.registry import deduplicated_extract, parse_schema, publish_schema, read_registry
+from tidemark.sources.contracts import SCHEMA_VERSION, SOURCE_TIMES, landed_form, source_schema, stored_schema
+from tidemark.sources.incremental import incremental_rows, not_landed
+from tidemark.sources.landing import landed_batch, landed_since, read_landing, write_landing
+from tidemark.sources.registry import (
+    RegistryField,
+    deduplicated_extract,
+    parse_schema,
+    publish_schema,
+    read_registry,
+    widened,
+)
 from tidemark.streaming.bronze import start_bronze
 from tidemark.streaming.delta import consume
 from tidemark.tables import SnapshotTable, create_or_replace
 
-WATERMARKS = struct({"watermark": "timestamp_ntz", "taken_at": "timestamp_ntz"})
+RECORD = "%Y%m%dT%H%M%S.json"  # name of a batch's record
 
 
 class Warehouse:
-    """Folders of one warehouse and the stages that fill them."""
+    """Folders of one warehouse and the stages that fill them.
 
-    def __init__(self, spark: SparkSession, root: str, rules: Sequence[Rule], stop_on_failure: bool = True):
+    ``overlap`` makes reads of the source lossless where rows may be committed with a time that an earlier read has passed:
+    each read starts so much before the watermark, and rows that have landed since then are taken out by their hash. It
+    should be longer than the longest transaction of the source. Off by default, for sources in strict order.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, rules: Sequence[Rule], stop_on_failure: bool = True, overlap: timedelta | None = None
+    ):
         self.spark, self.root, self.rules = spark, root.rstrip("/"), list(rules)
-        self.stop_on_failure = stop_on_failure
+        self.stop_on_failure, self.overlap = stop_on_failure, overlap
+        self._sources: dict[tuple[str, str], T.StructType] = {}
+        self._registry: dict[str, dict[str, str]] | None = None
 
     def gold(self, name: str, schema: T.StructType, key: str, surrogate: str | None = None) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/gold/{name}", schema, key, surrogate)
 
     def publish_contracts(self, *entities: str) -> None:
         for entity in entities:
-            publish_schema(self.spark, f"{self.root}/landing", entity, landing_schema(entity))
+            self.publish_contract(entity, source_schema(entity))
+
+    def publish_contract(self, entity: str, source: T.StructType, version: str = SCHEMA_VERSION) -> None:
+        """Declares what a version of an entity delivers; its landed form becomes a document of the registry."""
+        self._sources[entity, version] = source
+        publish_schema(self.spark, f"{self.root}/landing", entity, landed_form(source), version)
+        self._registry = None
+
+    def versions(self, entity: str) -> dict[str, list[RegistryField]]:
+        """The fields of every published version of an entity."""
+        if self._registry is None:
+            self._registry = read_registry(self.spark, f"{self.root}/landing")
+        return {version: parse_schema(text) for version, text in self._registry[entity].items()}
 
     def watermark(self, entity: str, before: datetime | str | None = None) -> datetime:
         """The newest source time that was landed, kept per entity: one small record per batch.
 
-        With ``before``, by batches taken earlier than that: a repeated batch selects what it selected at first.
+        With ``before``, by batches taken earlier than that: a repeated batch selects what it selected at first. The landed
+        folder is the commit of a batch, so records that a stopped run did not write are written first. A record holds
+        the newest time up to its batch, so that the last one tells.
         """
-        path = f"{self.root}/control/{entity}"
-        if not path_exists(self.spark, path):
-            return EXTRACT_FLOOR
-        log = self.spark.read.schema(WATERMARKS).option("recursiveFileLookup", "true").json(path)
-        return high_water_value(log if before is None else log.where(F.col("taken_at") < ntz(before)), "watermark")
-
-    def land(self, entity: str, batch: DataFrame, taken_at: datetime | str, prefix: str = "") -> dict | None:
+        end = datetime.max if before is None else as_datetime(before)
+        log = f"{self.root}/control/{entity}"
+        times = [datetime.strptime(name, RECORD) for name in children(self.spark, log) if not name.startswith(("_", "."))]
+        last = max((t for t in times if t < end), default=None)
+        mark = EXTRACT_FLOOR
+        if last:
+            mark = as_datetime(json.loads(read_text(self.spark, f"{log}/{last:{RECORD}}"))["watermark"])
+        for at, path in landed_since(self.spark, f"{self.root}/landing", entity, last):
+            if at < end:
+                mark = self._record(entity, at, landed_batch(self.spark, path, *SOURCE_TIMES[entity]), mark)
+        return mark
+
+    def _record(self, entity: str, at: datetime, landed: dict, before: datetime) -> datetime:
+        """Writes the record of a batch; a batch of late rows alone leaves the watermark where it was."""
+        mark = max(before, as_datetime(landed["watermark"])) if landed["watermark"] else before
+        text = json.dumps({"watermark": mark.isoformat(sep=" "), "rows": landed["rows"], "path": landed["path"]})
+        write_text(self.spark, f"{self.root}/control/{entity}/{at:{RECORD}}", text)
+        return mark
+
+    def unread(self, entity: str, read: Callable[[datetime], DataFrame], taken_at: datetime | str, columns: Sequence[str]) -> DataFrame:
+        """What ``read(watermark)`` gives and has not landed, compared in ``columns`` where the reads overlap."""
+        mark = self.watermark(entity, taken_at)
+        if self.overlap is None or not path_exists(self.spark, f"{self.root}/landing/{entity}"):
+            return read(mark)
+        since = mark - self.overlap
+        landed = read_landing(self.spark, f"{self.root}/landing", entity, stored_schema(entity))
+        return not_landed(read(since), landed, since, *SOURCE_TIMES[entity], columns)
+
+    def extract_table(self, entity: str, source: DataFrame, taken_at: datetime | str) -> dict | None:
+        """Lands what is new or changed in a source table."""
+        rows = self.unread(entity, lambda mark: incremental_rows(source, mark), taken_at, source_schema(entity).names)
+        return self.land(entity, rows, taken_at)
+
+    def land(self, entity: str, batch: DataFrame, taken_at: datetime | str, version: str = SCHEMA_VERSION) -> dict | None:
         """Checks a batch against its contract, lands it, and moves the watermark of its entity.
 
-        The landed folder is the commit. A run that stopped before the record was written finds the folder and
-        writes the record from it.
+        The landed folder is the commit; ``watermark`` writes the record of a batch whose run stopped before it did.
         """
-        checked = enforce(batch, source_schema(entity))
-        landed = write_landing(
-            checked, f"{self.root}/landing", entity, taken_at, f"{prefix}created_at", f"{prefix}updated_at"
-        )
+        checked = enforce(batch, self._sources.get((entity, version)) or source_schema(entity))
+        landed = write_landing(checked, f"{self.root}/landing", entity, taken_at, *SOURCE_TIMES[entity], version)
         if landed:
-            row = self.spark.createDataFrame([(as_datetime(landed["watermark"]), as_datetime(taken_at))], WATERMARKS)
-            record = f"{self.root}/control/{entity}/{as_datetime(taken_at):%Y%m%dT%H%M%S}"
-            row.coalesce(1).write.mode("overwrite").json(record)
+            self._record(entity, as_datetime(taken_at), landed, self.watermark(entity, taken_at))
         return landed
 
+    def _stored(self, entity: str) -> T.StructType:
+        """The schema that landed files of all versions of an entity are read with."""
+        if not path_exists(self.spark, f"{self.root}/landing/schemas/{entity}"):
+            return stored_schema(entity)
+        versions = self.versions(entity)
+        if len(versions) == 1:
+            return stored_schema(entity)
+        kinds = {"integer": "bigint"}
+        return struct({f.name: kinds.get(f.type, "string") for f in widened(versions)})
+
     def ingest(self, entities: Sequence[str], loaded_at: datetime | str, max_files: int | None = None) -> None:
         """Loads the waiting files of all entities into bronze, side by side; one that never landed is left out."""
         pipes = [
             start_bronze(
                 self.spark,
                 f"{self.root}/landing/{entity}",
-                stored_schema(entity),
+                self._stored(entity),
                 f"{self.root}/bronze/{entity}",
                 f"{self.root}/checkpoints/bronze_{entity}",
                 loaded_at,
@@ -98,8 +161,7 @@ class Warehouse:
         """
         if not path_exists(self.spark, f"{self.root}/bronze/{entity}"):
             return
-        registry = read_registry(self.spark, f"{self.root}/landing")
-        fields = parse_schema(registry[entity][SCHEMA_VERSION])
+        versions = self.versions(entity)
         table = f"{entity}_extract_cast"
         checkpoint = f"{self.root}/checkpoints/refresh_{entity}"
         if path_exists(self.spark, f"{self.root}/silver/{table}") and not path_exists(self.spark, checkpoint):
@@ -116,7 +178,7 @@ class Warehouse:
                 return
             batch_id = f"{entity}-{batch}"
             extract = create_or_replace(
-                deduplicated_extract(rows, fields), f"{self.root}/silver/{table}/batch_id={batch}"
+                deduplicated_extract(rows, versions), f"{self.root}/silver/{table}/batch_id={batch}"
             )
             if rules:
                 own = f"{self.root}/data_quality/fact_errors/{table}/batch_id={batch}"

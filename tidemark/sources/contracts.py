@@ -45,6 +45,14 @@ SOURCE_COLUMNS = {
 NULLABLE = ("updated_at", "order_updated_at", "user_updated_at")
 
 
+# The columns that say when a row was created and updated.
+SOURCE_TIMES = {
+    "users": ("created_at", "updated_at"),
+    "orders": ("created_at", "updated_at"),
+    "sales": ("order_created_at", "order_updated_at"),
+}
+
+
 def source_schema(entity: str) -> T.StructType:
     return struct(SOURCE_COLUMNS[entity], nullable=NULLABLE)
 
@@ -59,8 +67,12 @@ def is_time(field: T.StructField) -> bool:
 
 
 def landing_schema(entity: str) -> T.StructType:
+    return landed_form(source_schema(entity))
+
+
+def landed_form(source: T.StructType) -> T.StructType:
     """Times become text and move behind the other columns; three tags end the record."""
-    fields = source_schema(entity).fields
+    fields = source.fields
     plain = [f for f in fields if not is_time(f)]
     times = [T.StructField(f.name, T.StringType(), f.nullable) for f in fields if is_time(f)]
     tags = [T.StructField(name, T.StringType(), False) for name in TAGS]

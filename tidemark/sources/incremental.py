@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import EXTRACT_FLOOR, ntz, time_text
+from tidemark.functions.hashing import row_hash
 from tidemark.operators.joins import lookup_join
 
 
@@ -26,6 +28,21 @@ def incremental_rows(table: DataFrame, watermark: datetime | str = EXTRACT_FLOOR
     return table.where(newer_than(watermark))
 
 
+def not_landed(
+    rows: DataFrame, landed: DataFrame, since: datetime | str, created: str, updated: str, columns: Sequence[str]
+) -> DataFrame:
+    """Rows read after ``since`` that no landed row of that time equals in ``columns``.
+
+    A row that was committed late has a time that an earlier read has passed. Reading again from before the watermark
+    finds it, and the hashes of what has landed since then take out what is known. ``landed`` has its times as text that
+    sorts by time, so that the filter reaches its scan.
+    """
+    mark = time_text(since)
+    seen = landed.where((F.col(created) > mark) | (F.col(updated) > mark)).select(row_hash(columns).alias("_seen")).distinct()
+    hashed = rows.withColumn("_hash", row_hash(columns))
+    return lookup_join(hashed, seen, "_hash", "_seen", how="left_anti").drop("_hash")
+
+
 def joined_rows(orders: DataFrame, users: DataFrame, watermark: datetime | str = EXTRACT_FLOOR) -> DataFrame:
     """New or changed orders with their user, as twelve prefixed columns.
 

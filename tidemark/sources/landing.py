@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import as_datetime
-from tidemark.files import move, path_exists, remove
+from tidemark.files import children, move, path_exists, remove
 from tidemark.sources.contracts import SCHEMA_VERSION, TAGS, is_time, schema_path
 
 # Unfinished attempts lie beside the landing zone, where no stream looks.
@@ -43,6 +43,7 @@ def write_landing(
     taken_at: datetime | str,
     created: str = "created_at",
     updated: str = "updated_at",
+    version: str = SCHEMA_VERSION,
 ) -> dict | None:
     """Land one batch and return ``{path, rows, watermark}``; an empty batch lands nothing.
 
@@ -50,14 +51,14 @@ def write_landing(
     attempt writes a folder of its own beside the landing zone, and moving it to its place is the commit.
     A batch time that has landed stays as it is, so that a repeated run neither loses nor doubles rows.
     """
-    spark, path = df.sparkSession, landing_path(root, entity, taken_at)
+    spark, path = df.sparkSession, landing_path(root, entity, taken_at, version)
     if path_exists(spark, path):
         return landed_batch(spark, path, created, updated)
     attempt = f"{root.rstrip('/')}{ATTEMPTS}/{entity}-{uuid.uuid4().hex}"
     seen = Observation(f"landing_{entity}")
     newest = F.greatest(F.max(F.col(created)), F.max(F.col(updated))).cast("string")
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("watermark"))
-    tagged = tag_schema(timestamps_as_text(observed), entity, root)
+    tagged = tag_schema(timestamps_as_text(observed), entity, root, version)
     tagged.write.option("compression", "snappy").parquet(attempt)
     if not seen.get["rows"]:
         remove(spark, attempt)
@@ -66,6 +67,18 @@ def write_landing(
     return {"path": path, **seen.get}
 
 
+def landed_since(spark: SparkSession, root: str, entity: str, after: datetime | None = None) -> list[tuple[datetime, str]]:
+    """Time and folder of the batches that landed after a time, in order; folders of earlier days are not listed."""
+    home, found = f"{root.rstrip('/')}/{entity}", []
+    for version in children(spark, home):
+        for day in children(spark, f"{home}/{version}"):
+            if after is None or day >= f"{after:%Y-%m-%d}":
+                for name in children(spark, f"{home}/{version}/{day}"):
+                    at = datetime.strptime(f"{day} {name}", "%Y-%m-%d %H_%M_%S.parquet")
+                    found.append((at, f"{home}/{version}/{day}/{name}"))
+    return sorted(f for f in found if after is None or f[0] > after)
+
+
 def landed_batch(spark: SparkSession, path: str, created: str = "created_at", updated: str = "updated_at") -> dict:
     """``{path, rows, watermark}`` of files that have landed; their times are text that sorts by time."""
     files = spark.read.parquet(path)

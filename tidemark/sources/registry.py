@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import write_text
 from tidemark.functions import variants
 from tidemark.operators.contracts import require_not_null
 from tidemark.operators.dedup import ARRIVAL_ORDER, first_per_key
-from tidemark.sources.contracts import SCHEMA_VERSION, schema_path
+from tidemark.sources.contracts import SCHEMA_VERSION, TAGS, schema_path
+
+VERSION_TAG = TAGS[0]
 
 
 @dataclass(frozen=True)
@@ -27,9 +31,8 @@ class RegistryField:
 
 
 def publish_schema(spark: SparkSession, root: str, name: str, schema: T.StructType, version: str = SCHEMA_VERSION) -> None:
-    """Write a schema document (a folder with one text part) where ``read_registry`` finds it."""
-    document = spark.createDataFrame([(schema.json(),)], "value string")
-    document.coalesce(1).write.mode("overwrite").text(schema_path(root, name, version))
+    """Write a schema document where ``read_registry`` finds it."""
+    write_text(spark, schema_path(root, name, version), schema.json())
 
 
 def read_registry(spark: SparkSession, root: str) -> dict[str, dict[str, str]]:
@@ -73,14 +76,61 @@ def project_registered(df: DataFrame, fields: list[RegistryField], raw: str = "p
     return df.select(*registered_columns(fields, raw))
 
 
-def deduplicated_extract(bronze: DataFrame, fields: list[RegistryField]) -> DataFrame:
-    """Typed columns of the first arrival of each record.
+# Types that a field may have in one version, and its type where versions differ.
+WIDER = {frozenset({"integer", "string"}): "string", frozenset({"datetime", "string"}): "string"}
+
+
+def widened(versions: Mapping[str, list[RegistryField]]) -> list[RegistryField]:
+    """The one schema that holds the rows of all versions: every field, in order of first appearance.
+
+    A field that only some versions have may be NULL; two types of one field become the wider one, or a TypeError.
+    """
+    fields: dict[str, RegistryField] = {}
+    for number, version in enumerate(sorted(versions)):
+        for f in versions[version]:
+            known = fields.get(f.name)
+            if known is None:
+                fields[f.name] = f if not number else replace(f, nullable=True)
+            elif known.type != f.type and frozenset({known.type, f.type}) not in WIDER:
+                raise TypeError(f"{f.name} is {known.type} in one version and {f.type} in another")
+            else:
+                kind = f.type if known.type == f.type else WIDER[frozenset({known.type, f.type})]
+                fields[f.name] = RegistryField(f.name, kind, known.nullable or f.nullable)
+        here = {f.name for f in versions[version]}
+        fields = {n: f if n in here else replace(f, nullable=True) for n, f in fields.items()}
+    return list(fields.values())
+
+
+def versioned_columns(versions: Mapping[str, list[RegistryField]], raw: str = "parquet_raw") -> list[Column]:
+    """Columns of the widened schema, each record by the version it was written with.
+
+    A record of an unknown version fails the job by name. A field that the record's version does not have is NULL; one
+    that it declares NOT NULL fails where it is missing. All in one projection: no version is read apart.
+    """
+    if len(versions) == 1:
+        return registered_columns(next(iter(versions.values())), raw)
+    version = variants.field(F.col(raw), VERSION_TAG, "string")
+    unknown = F.raise_error(F.concat(F.lit("unknown schema version "), F.coalesce(version, F.lit("NULL"))))
+    columns: list[Column] = []
+    for f in widened(versions):
+        value = variants.field(F.col(raw), f.name, f.sql_type)
+        required = [v for v, fields in versions.items() if any(o.name == f.name and not o.nullable for o in fields)]
+        if required:
+            value = F.when(version.isin(required), require_not_null(value, f.name)).otherwise(value)
+        if f.name == VERSION_TAG:
+            value = F.when(version.isin(list(versions)), value).otherwise(unknown.cast("string"))
+        columns.append(value.alias(f.name))
+    return columns
+
+
+def deduplicated_extract(bronze: DataFrame, versions: Mapping[str, list[RegistryField]]) -> DataFrame:
+    """Typed columns of the first arrival of each record, widened over the versions of its schema.
 
     The fields are taken out before the shuffle: typed columns are narrower than whole records,
     which carry every field name.
     """
     arrival = F.struct("md5", *ARRIVAL_ORDER).alias("_arrival")
-    typed = bronze.select(*registered_columns(fields), arrival)
+    typed = bronze.select(*versioned_columns(versions), arrival)
     order = [F.col(f"_arrival.{c}") for c in ARRIVAL_ORDER]
     first = first_per_key(typed.withColumn("_md5", F.col("_arrival.md5")), ["_md5"], order)
     return first.drop("_md5", "_arrival")

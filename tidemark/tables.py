@@ -1,34 +1,34 @@
-"""Versioned parquet tables for gold and silver: an effective slice that is replaced, a history that grows."""
+"""Versioned parquet tables for gold and silver: an effective slice in hash partitions, a history that grows."""
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.files import path_exists
-from tidemark.session import plan_bytes, shuffle_width
+from tidemark.files import children, folder_bytes, path_exists, write_text
+from tidemark.session import plan_bytes
 
 COMMIT = (
-    "version int, batch_id string, folder string, replaces boolean, "
-    "buckets int, current_rows bigint, history_rows bigint, last_key bigint"
+    "version int, batch_id string, folder string, partitions int, touched array<int>, parts array<int>, "
+    "current_bytes bigint, has_history boolean, last_key bigint"
 )
 
-BUCKET_BYTES = 64 * 1024 * 1024  # of compressed files
+PART_BYTES = 64 * 1024 * 1024  # of compressed files, until there are MOST_PARTS of them
+MOST_PARTS = 4096
 
 
 class SnapshotTable:
     """A table of parquet folders, one per commit, and a small commit log written after the data.
 
-    A commit never touches files of an earlier one: readers keep their version, and a failed job
-    leaves a folder that no commit names. A batch id is committed once. One writer at a time.
-
-    The current slice is bucketed and sorted by the key, so that a merge moves only the batch over
-    the network and not the table. The bucket count follows the size of the table (``fit``).
+    The effective slice lies in partitions by a hash of the key. A merge reads the partitions that its batch touches,
+    and its commit holds these alone; the others stay where earlier commits wrote them. A commit never changes files of
+    an earlier one: readers keep their version, and a failed job leaves a folder that no commit names. A batch id is
+    committed once. One writer at a time.
     """
 
     def __init__(
@@ -38,13 +38,12 @@ class SnapshotTable:
         schema: T.StructType,
         key: str,
         surrogate: str | None = None,
-        buckets: int | None = None,
+        partitions: int | None = None,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.key, self.surrogate = key, surrogate
-        self._buckets = buckets
+        self._wanted = partitions
         self._commits: list[Row] | None = None
-        self._names: set[str] = set()
 
     @property
     def commits(self) -> list[Row]:
@@ -53,7 +52,7 @@ class SnapshotTable:
             log = f"{self.path}/commits"
             found = []
             if path_exists(self.spark, log):
-                found = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true").json(log).collect()
+                found = self.spark.read.schema(COMMIT).json(log).collect()
             self._commits = sorted(found, key=lambda c: c.version)
         return self._commits
 
@@ -62,23 +61,9 @@ class SnapshotTable:
         return self.commits[-1].version if self.commits else 0
 
     @property
-    def buckets(self) -> int:
-        """Buckets of the next commit: as chosen, or as in the last commit."""
-        if self._buckets:
-            return self._buckets
-        return self.commits[-1].buckets if self.commits else shuffle_width(self.spark)
-
-    def fit(self, batch: DataFrame) -> None:
-        """Chooses the bucket count from the file sizes of the current slice and of a written batch.
-
-        There are at most as many buckets as the session's shuffles have partitions, also for a batch
-        whose size Spark does not know. A table is bucketed anew, which moves it once, only when it has
-        outgrown its buckets twice over.
-        """
-        size = plan_bytes(batch) + (plan_bytes(self.current()) if self.version else 0)
-        wanted = min(max(1, -(-size // BUCKET_BYTES)), shuffle_width(self.spark))
-        if not self.version or wanted > 2 * self.commits[-1].buckets:
-            self._buckets = wanted
+    def partitions(self) -> int:
+        """Partitions of the effective slice, 0 before its first commit."""
+        return max((c.partitions for c in self.commits), default=0)
 
     def has(self, batch_id: str) -> bool:
         return any(c.batch_id == batch_id for c in self.commits)
@@ -89,107 +74,111 @@ class SnapshotTable:
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def current(self, version: int | None = None) -> DataFrame:
-        """The effective rows as of a version, by default the latest."""
-        replaced = [c for c in self.commits if c.replaces and (version is None or c.version <= version)]
-        if not replaced or not replaced[-1].current_rows:
+    def _live(self, version: int | None = None) -> dict[int, Row]:
+        """For each partition with rows the commit that wrote it last, as of a version."""
+        live: dict[int, Row] = {}
+        for commit in self.commits:
+            if version is None or commit.version <= version:
+                live = {p: c for p, c in live.items() if c.partitions == commit.partitions or not commit.partitions}
+                for part in commit.touched:
+                    live.pop(part, None)
+                live |= {part: commit for part in commit.parts}
+        return live
+
+    def current(self, version: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
+        """The effective rows as of a version, by default the latest; of some partitions only, if given."""
+        live = self._live(version)
+        asked = set(live if parts is None else parts)
+        chosen = {p: c for p, c in live.items() if p in asked}
+        paths = []
+        for folder, own in {c.folder: c.parts for c in chosen.values()}.items():
+            mine = [p for p, c in chosen.items() if c.folder == folder]
+            whole = len(mine) == len(own)
+            paths += [f"{folder}/slice=current"] if whole else [f"{folder}/slice=current/part={p}" for p in mine]
+        return self._files(paths)
+
+    def history(self, after: int = 0) -> DataFrame:
+        """Closed versions, or every row of a table that is only appended to; those of commits after a version."""
+        return self._files([f"{c.folder}/slice=history" for c in self.commits if c.has_history and c.version > after])
+
+    def _files(self, paths: list[str]) -> DataFrame:
+        if not paths:
             return self._empty()
-        last = replaced[-1]
-        folder = f"{last.folder}/slice=current"
-        name = "tidemark_" + hashlib.md5(folder.encode()).hexdigest()
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {last.buckets} BUCKETS "
-            f"LOCATION '{folder}'"
-        )
-        self._names.add(name)
-        return self.spark.table(name)
-
-    def history(self) -> DataFrame:
-        """Closed versions, or every row of a table that is only appended to."""
-        folders = [f"{c.folder}/slice=history" for c in self.commits if c.history_rows]
-        if not folders:
-            return self._empty()
-        return self.spark.read.schema(self.schema).parquet(*folders)
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*paths)
 
     def read(self) -> DataFrame:
         return self.current().unionByName(self.history())
 
-    def replace_current(self, kept: DataFrame, new: DataFrame, batch_id: str) -> bool:
-        """Effective rows become the current slice, the others join the history.
+    def part_of(self, partitions: int) -> Column:
+        """The partition of a row; the type of the key decides its hash, so that it is the table's own."""
+        return F.pmod(F.xxhash64(F.col(self.key).cast(self.schema[self.key].dataType)), F.lit(partitions)).cast("int")
 
-        ``kept`` are stored rows after a merge and stay in their bucket; ``new`` rows are sent to theirs.
-        """
-        return self._commit(kept, new, F.when(F.col("is_effective"), "current").otherwise("history"), batch_id)
+    def _fit(self, batch: DataFrame) -> int:
+        """Partitions for the table with a batch: as chosen, or by the size of files, doubled only when it is outgrown
+        four times over. A table that gets more partitions is written anew, once."""
+        if self._wanted:
+            return self._wanted
+        stored = sum(c.current_bytes // len(c.parts) for c in self._live().values())
+        wanted = min(MOST_PARTS, 1 << max(0, (-(-(plan_bytes(batch) + stored) // PART_BYTES) - 1).bit_length()))
+        return wanted if wanted > 4 * self.partitions else self.partitions
 
-    def replace(self, kept: DataFrame, new: DataFrame, batch_id: str) -> bool:
-        """All rows become the current slice."""
-        return self._commit(kept, new, F.lit("current"), batch_id)
+    def merge(
+        self,
+        batch: DataFrame,
+        batch_id: str,
+        build: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+        effective_only: bool = False,
+    ) -> bool:
+        """Merges a batch into the effective slice: ``build(stored)`` gives the kept and the new rows.
+
+        ``stored`` are the effective rows of the partitions in which the batch has keys, and only these are replaced.
+        Rows that are no longer effective join the history; with ``effective_only`` the table has no such mark.
+        """
+        if self.has(batch_id):
+            return False
+        partitions = self._fit(batch)
+        if partitions == 1 or partitions != self.partitions:
+            touched, stored = list(range(partitions)), self.current()
+        else:
+            # At most one row per partition.
+            keys = batch.select(self.part_of(partitions).alias("part")).distinct()
+            touched = sorted(r.part for r in keys.collect())
+            stored = self.current(parts=touched)
+        kept, new = build(stored)
+        part, mark = self.part_of(partitions), F.lit("current")
+        if not effective_only:
+            mark = F.when(F.col("is_effective"), "current").otherwise("history")
+        # Stored rows are not moved again: a scan task holds few partitions. New rows are brought together by partition.
+        sent = new.select(*self.schema.names).withColumn("part", part).hint("rebalance", F.col("part"))
+        rows = kept.select(*self.schema.names).withColumn("part", part).unionByName(sent) if self.version else sent
+        return self._commit(rows.withColumn("slice", mark), ["slice", "part"], batch_id, partitions, touched)
 
     def append(self, rows: DataFrame, batch_id: str) -> bool:
         """All rows join the history."""
-        return self._commit(None, rows, F.lit("history"), batch_id)
-
-    def _in_buckets(self, kept: DataFrame, new: DataFrame) -> DataFrame:
-        """Stored rows in their buckets and new rows sent to theirs: two files per bucket at most."""
-        sent = new.select(*self.schema.names).repartition(self.buckets, self.key)
-        if not self.version:
-            return sent
-        stored = kept.select(*self.schema.names)
-        if self.buckets != self.commits[-1].buckets:
-            stored = stored.repartition(self.buckets, self.key)
-        return stored.unionByName(sent)
-
-    def _commit(self, kept: DataFrame | None, new: DataFrame, slice_of: Column, batch_id: str) -> bool:
         if self.has(batch_id):
             return False
+        return self._commit(rows.select(*self.schema.names).withColumn("slice", F.lit("history")), ["slice"], batch_id, 0, [])
+
+    def _commit(self, rows: DataFrame, by: list[str], batch_id: str, partitions: int, touched: list[int]) -> bool:
         version, token = self.version + 1, uuid.uuid4().hex
-        folder = f"{self.path}/data/{version:06d}-{token}"
-        seen = Observation(token)
-        last_key = F.max(self.surrogate) if self.surrogate else F.lit(None)
-        rows = new.select(*self.schema.names) if kept is None else self._in_buckets(kept, new)
-        sliced = rows.withColumn("slice", slice_of).observe(
-            seen,
-            F.count_if(F.col("slice") == "current").alias("current_rows"),
-            F.count_if(F.col("slice") == "history").alias("history_rows"),
-            last_key.cast("bigint").alias("last_key"),
-        )
-        writer = sliced.write.partitionBy("slice")
-        if kept is None:
-            writer.parquet(folder)
-        else:
-            # saveAsTable is the only bucketed writer; the name is dropped again, the files stay.
-            name = f"tidemark_write_{token}"
-            with _bucketed_scans(rows.sparkSession):
-                writer.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", folder).saveAsTable(name)
-            self.spark.sql(f"DROP TABLE {name}")
-        counts = seen.get
-        commit = (
-            version, batch_id, folder, kept is not None, self.buckets,
-            counts["current_rows"], counts["history_rows"], counts["last_key"],
-        )
-        log = self.spark.createDataFrame([commit], COMMIT)
-        log.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{version:06d}")
-        # Catalog names of earlier versions go; their files, and frames that read them, stay.
-        while self._names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._names.pop()}")
-        self._commits = self._buckets = None
+        folder, last_key = f"{self.path}/data/{version:06d}-{token}", None
+        if self.surrogate:
+            seen = Observation(token)
+            rows = rows.observe(seen, F.max(self.surrogate).cast("bigint").alias("last_key"))
+        rows.write.partitionBy(*by).parquet(folder)
+        if self.surrogate:
+            last_key = seen.get["last_key"]
+        parts = sorted(int(name.split("=")[1]) for name in children(self.spark, f"{folder}/slice=current") if name.startswith("part="))
+        commit = {
+            "version": version, "batch_id": batch_id, "folder": folder, "partitions": partitions, "touched": touched, "parts": parts,
+            "current_bytes": folder_bytes(self.spark, f"{folder}/slice=current") if parts else 0,
+            "has_history": path_exists(self.spark, f"{folder}/slice=history"), "last_key": last_key,
+        }
+        write_text(self.spark, f"{self.path}/commits/{version:06d}.json", json.dumps(commit))
+        self.commits.append(Row(**commit))
         return True
 
 
-@contextmanager
-def _bucketed_scans(spark: SparkSession):
-    """Keeps a bucketed table in its buckets even under a broadcast join, which would not need them."""
-    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def create_or_replace(df: DataFrame, path: str) -> DataFrame:
     """A stage table replaced as a whole: written once, then read from its files."""
     df.write.mode("overwrite").parquet(path)
