@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from tidemark.plans.queries import (
+    AGES,
     AUDITED_STATUSES,
     EVENTS_FROM,
     EVENTS_UNTIL,
     FIRST_LOAD,
     KEPT_SINCE,
+    OLDEST_AUDITED,
     REGISTRY_ROOT,
     SECOND_LOAD,
     SILVER_UNTIL,
@@ -538,7 +540,7 @@ ORACLES: dict[str, str] = {
     ),
     "cdc_scd2": query("select * from cdc_status", CDC_STATUS),
     "cdc_dim_user": query("select * from cdc_user", CDC_USER),
-    **dict.fromkeys(("cdc_fact", "cdc_load"), CDC_FACTS),
+    **dict.fromkeys(("cdc_fact", "cdc_load", "cdc_catch_up"), CDC_FACTS),
     "cdc_silver_window": query(
         f"""
         select o.id as order_id, o.id_user, o.spent, o.status, o.created_at as ordered_at, o.updated_at,
@@ -564,6 +566,40 @@ ORACLES: dict[str, str] = {
         f"u1 as (select {numbered(['id'])} as sk, id from src_users)",
         f"s1 as (select {numbered(['id'])} as sk, id from src_orders)",
     ),
+    "landing_crash": query(
+        f"""
+        select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at, o.spent, u.sk as id_dim_user, s.sk as id_dim_status
+        from known_1 o left join u1 u on u.id = o.id_user left join s1 s on s.id = o.id
+        where o.updated_at is null
+        union all
+        select {numbered(["o." + c for c in FACT_BY], "(select count(*) from known_1 where updated_at is null)")} as sk,
+               o.id, o.created_at, o.spent, u.sk as id_dim_user, s.sk as id_dim_status
+        from known_2 o left join u1 u on u.id = o.id_user left join s2 s on s.id = o.id
+        where o.updated_at is null
+        """,
+        f"known_1 as (select * from src_as_of where id_user % {AGES} <= {OLDEST_AUDITED})",
+        "known_mark as (select greatest(max(created_at), max(updated_at)) as w from known_1)",
+        f"""
+        known_2 as (
+            select o.* from src_orders o, known_mark
+            where (o.created_at > w or o.updated_at > w) and id_user % {AGES} <= {OLDEST_AUDITED}
+        )
+        """,
+        f"u1 as (select {numbered(['id'])} as sk, id from src_users where age <= {OLDEST_AUDITED})",
+        f"s1 as (select {numbered(['id'])} as sk, id from known_1)",
+        f"s2 as (select {numbered(['id'], '(select count(*) from known_1)')} as sk, id from known_2)",
+    ),
+    "schema_versions": query(
+        """
+        select id, name, cast(age as bigint) as age, address, cast(null as varchar) as segment,
+               cast(created_at as varchar) as created_at, cast(updated_at as varchar) as updated_at,
+               '1_0' as schema_version, 'users' as schema_name
+        from src_users_in_credit
+        union all
+        select id, name, cast(age as bigint), null, address, cast(created_at as varchar), cast(updated_at as varchar), '2_0', 'users'
+        from src_users_updated
+        """
+    ),
     "dq_failure_log": query(
         f"""
         select row_number() over (order by batch, id_dim_tests) as id, id_dim_tests, amount_records_failing,
@@ -573,3 +609,4 @@ ORACLES: dict[str, str] = {
         RUNS,
     ),
 }
+ORACLES["late_rows"] = ORACLES["landing_scan"]

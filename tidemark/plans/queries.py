@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import SILVER_FLOOR, ntz
 from tidemark.functions.hashing import record_hash, row_hash
+from tidemark.functions.schemas import struct
 from tidemark.functions.variants import field, renamed_fields, whole_record
 from tidemark.operators import audit, changes, constraints, contracts, dedup, keys, merge, scd, star, watermark, wide
 from tidemark.plans import views
@@ -20,7 +22,7 @@ from tidemark.plans.stages import Warehouse
 from tidemark.session import workspace
 from tidemark.sources import incremental, landing
 from tidemark.sources.contracts import landing_schema, source_schema, stored_schema
-from tidemark.sources.registry import parse_schema, project_registered
+from tidemark.sources.registry import deduplicated_extract, parse_schema, project_registered
 from tidemark.streaming.bronze import bronze_rows, load_bronze, read_bronze
 from tidemark.streaming.delta import take_current
 from tidemark.tables import create_or_replace
@@ -33,6 +35,12 @@ EVENTS_FROM, EVENTS_UNTIL = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
 FIRST_LOAD, SECOND_LOAD, THIRD_LOAD = "2002-01-01 00:00:00", "2002-02-01 00:00:00", "2002-03-01 00:00:00"
 USERS_UNTIL = "1995-01-05 00:00:00"
 KEPT_SINCE = "1996-01-01 00:00:00"
+AGES, OLDEST_AUDITED = 120, 100  # the users' ages run through all below 120, the audit passes those up to 100
+LATE_BY = timedelta(days=30)
+USERS_SECOND_VERSION = struct(
+    {"id": "int", "name": "string", "age": "int", "segment": "string", "created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"},
+    nullable=("updated_at",),
+)
 AUDITED_STATUSES = ("processing", "shipped")
 REGISTRY_ROOT = "landing"
 PROPS_RECORD = {
@@ -392,6 +400,45 @@ def repeated_load(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.fact_orders.read()
 
 
+def landing_crash(spark: SparkSession, folder: str) -> DataFrame:
+    """The star model behind its gate. The second extract stops between a landed folder and its record, the load is
+    scheduled apart, and the next run comes at a later time: each order is one fact."""
+    warehouse = StarWarehouse(spark, workspace(spark, "landing_crash"))
+    people = views.users(spark, folder).where(F.col("age") <= OLDEST_AUDITED)
+    known = F.col("id_user") % AGES <= OLDEST_AUDITED
+    orders = views.orders(spark, folder).where(known)
+    warehouse.run(people, views.orders_as_of(spark, folder, WATERMARK).where(known), FIRST_LOAD)
+    batch = incremental.incremental_rows(orders, warehouse.watermark("orders", SECOND_LOAD))
+    landing.write_landing(batch, f"{warehouse.root}/landing", "orders", SECOND_LOAD)
+    warehouse.load(SECOND_LOAD)
+    warehouse.run(people, orders, THIRD_LOAD)
+    return warehouse.fact_orders.read()
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Users of whom some are committed after a read that has passed their times; a third read lands nothing."""
+    warehouse = Warehouse(spark, workspace(spark, "late_rows"), [], overlap=LATE_BY)
+    users = views.users(spark, folder)
+    newest = watermark.high_water_value(users, "created_at")
+    late = (F.col("id") % 7 == 0) & (F.col("created_at") > ntz(newest - LATE_BY))
+    for source, at in ((users.where(~late), FIRST_LOAD), (users, SECOND_LOAD), (users, THIRD_LOAD)):
+        warehouse.extract_table("users", source, at)
+    return landing.read_landing(spark, f"{warehouse.root}/landing", "users", stored_schema("users")).drop("schema_url")
+
+
+def schema_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed files of two versions of a contract, in one typed table: a field that a version lacks is NULL."""
+    warehouse = Warehouse(spark, workspace(spark, "schema_versions"), [])
+    warehouse.publish_contracts("users")
+    warehouse.publish_contract("users", USERS_SECOND_VERSION, "2_0")
+    warehouse.land("users", views.users_in_credit(spark, folder), FIRST_LOAD)
+    moved = views.users_updated(spark, folder).withColumnRenamed("address", "segment")
+    warehouse.land("users", moved, SECOND_LOAD, "2_0")
+    warehouse.ingest(["users"], SECOND_LOAD)
+    bronze = read_bronze(spark, f"{warehouse.root}/bronze/users")
+    return deduplicated_extract(bronze, warehouse.versions("users")).drop("schema_url")
+
+
 # Audit
 
 
@@ -489,6 +536,18 @@ def cdc_load(spark: SparkSession, folder: str) -> DataFrame:
     return _change_warehouse(spark, folder, "cdc_load").fact_orders.read()
 
 
+def cdc_catch_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Two silver commits that gold takes over at once: the facts are those of two plain loads, keys included."""
+    warehouse = ChangeWarehouse(spark, workspace(spark, "cdc_catch_up"))
+    for at, users, orders in (
+        (FIRST_LOAD, views.users(spark, folder), views.orders_as_of(spark, folder, WATERMARK)),
+        (SECOND_LOAD, views.users_updated(spark, folder), views.orders(spark, folder)),
+    ):
+        warehouse.upsert(users_to_silver(users), orders_to_silver(orders), at)
+    warehouse.refresh()
+    return warehouse.fact_orders.read()
+
+
 def cdc_silver_window(spark: SparkSession, folder: str) -> DataFrame:
     """The stored silver orders of both loads with their load times."""
     return _change_warehouse(spark, folder, "cdc_silver_window").orders.current()
@@ -546,6 +605,9 @@ QUERIES: dict[str, Query] = {
     "obt_load": obt_load,
     "landing_retry": landing_retry,
     "repeated_load": repeated_load,
+    "landing_crash": landing_crash,
+    "late_rows": late_rows,
+    "schema_versions": schema_versions,
     "dq_failure_log": dq_failure_log,
     "dq_failures": _audit_failures,
     "dq_gate": dq_gate,
@@ -556,4 +618,5 @@ QUERIES: dict[str, Query] = {
     "cdc_fact": cdc_fact,
     "cdc_load": cdc_load,
     "cdc_silver_window": cdc_silver_window,
+    "cdc_catch_up": cdc_catch_up,
 }
