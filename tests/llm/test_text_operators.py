@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_dedup, packing, pieces, quality_rules, secret_scan, sharding, token_counts
+from tidemark.llm import language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding, token_counts
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -308,6 +308,50 @@ def test_near_copies_lie_in_different_bins(spark):
     assert packing.digest(documents.limit(0)).count() == 0
 
 
+def test_band_keys_find_near_copies(spark):
+    """Recall of the links of the exact join, and how many texts come together that it keeps apart."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null").collect()]
+    r, copies = random.Random(5), []
+    for text in texts:
+        words = text.split(" ")
+        for share in (0.005, 0.01, 0.02):  # changed words; each takes up to five shingles away
+            changed = [f"{w}x" if r.random() < share else w for w in words]
+            copies.append(" ".join(changed))
+    documents = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string").withColumn("source", F.lit("s"))
+    exact = {r.version: r.component for r in ngram_join.linked(spark, documents).collect() if r.component is not None}
+    found = {r.version: r.cluster for r in packing.near_copies(documents).collect()}
+    groups = defaultdict(list)
+    for version, component in exact.items():
+        groups[component].append(version)
+    pairs = [(a, b) for g in groups.values() for i, a in enumerate(g) for b in g[:i]]
+    assert len(pairs) > 2000
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.99 * len(pairs)
+    # Copies around the threshold may come together; texts that are no copies stay apart.
+    originals = {row.version for row in documents.limit(len(texts)).select(F.xxhash64("text").alias("version")).collect()} & set(exact)
+    assert len({found[v] for v in originals}) >= 0.9 * len({exact[v] for v in originals})
+
+
+def test_bands_meet_as_often_as_sets_are_alike():
+    random_ = np.random.default_rng(6)
+    for size in (20, 60, 900):
+        met = {0.9: 0, 0.8: 0, 0.2: 0}
+        for share in met:
+            for _ in range(200):
+                common = int(round(2 * size * share / (1 + share)))
+                drawn = random_.integers(0, 2**63, 2 * size - common).astype(np.uint64)
+                a, b = np.sort(drawn[:size]), np.sort(drawn[size - common :])
+                met[share] += len(np.intersect1d(packing.band_keys(a), packing.band_keys(b))) > 0
+        assert met[0.9] >= 198 and met[0.8] >= 190 and met[0.2] <= 20, (size, met)
+    assert len(packing.band_keys(np.zeros(0, np.uint64))) == 0 and len(packing.band_keys(np.array([5], np.uint64))) == packing.BANDS
+
+
+def test_many_rows_of_one_id_and_text_are_spread(spark):
+    documents = spark.range(5000).selectExpr("7L doc_id", "'the same text' text", "'s' source")
+    found = packing.digest(documents).toPandas()
+    assert len(found) == 5000 and (found["length"] == 4).all() and found["bin"].nunique() == 5000
+    assert (found["bin"] // 2**32).value_counts().max() <= 2 * packing.GROUP_ROWS
+
+
 @pytest.mark.parametrize("name", ["line_dedup", "quality_rules"])
 def test_oracles_agree_with_small_documents(spark, small, name):
     connection = duckdb.connect()
