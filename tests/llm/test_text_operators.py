@@ -9,10 +9,11 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding, token_counts
+from tidemark.llm import language_id, line_dedup, ngram_join, packing, pieces, quality_rules, secret_scan, sharding, token_counts, words
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -340,9 +341,17 @@ def test_bands_meet_as_often_as_sets_are_alike():
                 common = int(round(2 * size * share / (1 + share)))
                 drawn = random_.integers(0, 2**63, 2 * size - common).astype(np.uint64)
                 a, b = np.sort(drawn[:size]), np.sort(drawn[size - common :])
-                met[share] += len(np.intersect1d(packing.band_keys(a), packing.band_keys(b))) > 0
+                met[share] += len(np.intersect1d(*(packing.band_keys(x, np.zeros(len(x), int), 1)[0] for x in (a, b)))) > 0
         assert met[0.9] >= 198 and met[0.8] >= 190 and met[0.2] <= 20, (size, met)
-    assert len(packing.band_keys(np.zeros(0, np.uint64))) == 0 and len(packing.band_keys(np.array([5], np.uint64))) == packing.BANDS
+    # The other texts of a batch make no difference.
+    texts = pa.array(["", "one", "one two three four", None, "a b c d e f g " * 30, "one"])
+    data, ends = words.text_bytes(texts)
+    first, last, at = words.spans(data, ends)
+    hashes = words.word_hashes(data, first, last)
+    keys = packing.band_keys(*words.all_shingles(hashes, at, 5), len(texts))
+    for n, own in enumerate(words.shingle_sets(texts, 5)):
+        assert not len(own) or (keys[n] == packing.band_keys(own, np.zeros(len(own), int), 1)[0]).all()
+    assert (keys[1] == keys[5]).all() and not (keys[1] == keys[2]).any()
 
 
 def test_many_rows_of_one_id_and_text_are_spread(spark):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.skew import join_aggregate
-from tidemark.llm.words import LOWER, mix, shingles, spans, text_bytes, word_hashes
+from tidemark.llm.words import LOWER, all_shingles, mix, spans, text_bytes, word_hashes
 from tidemark.session import workspace
 
 CAPACITY = 4096
@@ -143,32 +143,34 @@ def word_count(text: str = "text") -> Column:
     return F.when(words > 0, words + 1).otherwise(0)
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band of minima; none without shingles.
+def band_keys(shingles: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """(texts, bands): a key for each band of minima of every text, from its shingles; texts without any have no use of theirs.
 
     One hash per shingle: its place decides the bin, the least value of a bin is its minimum, and an empty bin borrows the
     minimum of one that its own number draws. Two sets agree in a bin with about the probability of their Jaccard
     similarity, and share one of ``BANDS`` bands of ``ROWS`` bins with 0.998 at 0.8 and 0.2 at 0.5.
     """
-    if not len(shingles):
-        return np.zeros(0, np.uint64)
-    values = np.sort(mix(shingles))
-    bins = (values >> np.uint64(32)) * np.uint64(BANDS * ROWS) >> np.uint64(32)
-    minima, full = np.zeros(BANDS * ROWS, np.uint64), np.zeros(BANDS * ROWS, dtype=bool)
-    filled, first = np.unique(bins, return_index=True)
-    minima[filled], full[filled] = values[first], True
-    empty, own = np.flatnonzero(~full), full.copy()
-    drawn = empty.astype(np.uint64)
+    size, none = BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF)
+    values = mix(shingles)
+    bins = ((values >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+    minima = np.full(texts * size, none)
+    np.minimum.at(minima, owner * size + bins, values)
+    empty = np.flatnonzero(minima == none)
+    worded = np.zeros(texts, dtype=bool)
+    worded[owner] = True
+    empty = empty[worded[empty // size]]
+    own, draw = minima != none, np.arange(size, dtype=np.uint64)
     while len(empty):
-        drawn = mix(drawn * _STEP + _AWAY)
-        source = (drawn % np.uint64(BANDS * ROWS)).astype(np.int64)
+        draw = mix(draw * _STEP + _AWAY)
+        number = empty % size
+        source = empty - number + (draw[number] % np.uint64(size)).astype(np.int64)
         hit = own[source]
-        minima[empty[hit]] = mix(minima[source[hit]] + empty[hit].astype(np.uint64))
-        empty, drawn = empty[~hit], drawn[~hit]
-    key = np.arange(BANDS, dtype=np.uint64)
-    for row in minima.reshape(ROWS, BANDS):
-        key = mix(key * _STEP + row)
-    return key
+        minima[empty[hit]] = mix(minima[source[hit]] + number[hit].astype(np.uint64))
+        empty = empty[~hit]
+    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (texts, BANDS))
+    for row in minima.reshape(texts, ROWS, BANDS).transpose(1, 0, 2):
+        keys = mix(keys * _STEP + row)
+    return keys
 
 
 def _measured(near: bool):
@@ -180,12 +182,13 @@ def _measured(near: bool):
                 batch = whole.slice(at, TEXTS_AT_ONCE)
                 data, ends = text_bytes(batch.column("text"))
                 first, last, words = spans(data, ends)
-                keys = [np.zeros(0, np.uint64)] * batch.num_rows
-                if near:
-                    hashes = word_hashes(LOWER[data], first, last)
-                    keys = [band_keys(shingles(hashes[words[n] : words[n + 1]], WIDTH)) for n in range(batch.num_rows)]
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
                 count = np.diff(words)
+                with_keys = (count > 0) & near
+                keys = np.zeros((0, BANDS), np.uint64)
+                if near:
+                    keys = band_keys(*all_shingles(word_hashes(LOWER[data], first, last), words, WIDTH), batch.num_rows)[with_keys]
+                ends = np.concatenate([[0], np.cumsum(np.where(with_keys, BANDS, 0))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel().view(np.int64)))
                 columns = [batch.column(c) for c in ("doc_id", "version", "source")]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(np.where(count > 0, count + 1, 0).astype(np.int64)), lists], names=["doc_id", "version", "source", "tokens", "bands"]

@@ -91,6 +91,19 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(value)
 
 
+def all_shingles(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of ``shingles`` for many texts, whose words begin at ``at``, with the text of each; repeats stay."""
+    counts = np.diff(at)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    value = np.full(max(0, len(words) - width + 1), 0x5851F42D4C957F2D, dtype=np.uint64)
+    for i in range(width if len(value) else 0):
+        value = mix(value * np.uint64(0xD1342543DE82EF95) + words[i : len(words) - width + 1 + i])
+    inside = owner[: len(value)] == owner[width - 1 :] if len(value) else np.zeros(0, dtype=bool)
+    few = [(n, shingles(words[at[n] : at[n + 1]], width)) for n in np.flatnonzero((counts > 0) & (counts < width))]
+    values = np.concatenate([value[inside], *(v for _, v in few)])
+    return values, np.concatenate([owner[: len(value)][inside], *(np.full(len(v), n) for n, v in few)]).astype(np.int64)
+
+
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
     """The shingle set of every text, in lower case (A-Z only)."""
     data, ends = text_bytes(column)
