@@ -1,13 +1,17 @@
 """Secret scans: fixed patterns, and a small character CNN that judges every other candidate in its context.
 
 Findings of the patterns are the labelled positives, other candidates the negatives; a bounded sample of both is taken.
-The network is trained in numpy on part of them, its logits are calibrated on a second part, and on a third part
-the threshold is the largest one that keeps the demanded recall. Its findings are added; those of the patterns stay.
+So that the network learns what keys look like and not what the patterns match, keys are drawn anew over other alphabets
+and lengths and put into the contexts of negatives, and things that are no keys (numbers, dates, names, paths) are put
+into contexts of both kinds. The network is trained in numpy on part of them, its logits are calibrated on a second part,
+and on a third part the threshold is the largest one that keeps the demanded recall. Its findings are added; those of the
+patterns stay.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,10 +28,20 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs are whole, so that a shorter run fails and a longer one is one match
 KINDS = ("assign", "access", "hex", "model")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: A run of eight or more characters of a value, with a digit, with a capital after a small letter, or behind a sign.
+CANDIDATE = re.compile(
+    r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_.-]{8})"
+    r"(?:(?=[A-Za-z+/_.-]*[0-9])|(?=[A-Z0-9+/_.-]*[a-z][a-z0-9+/_.-]*[A-Z])|(?<=[:=])|(?<=[:=]\x20)|(?<=[:=][\x22\x27])|(?<=[:=]\x20[\x22\x27]))"
+    r"[A-Za-z0-9+/_.-]+={0,2}"
+)
+LEAST_LENGTH = 8
 #: Candidates of each label that the driver gets, at most.
 TRAINING_CANDIDATES = 1_500
-RECALL = 0.98
+#: Keys, and things that are none, that are drawn for training.
+DRAWN = 2_500
+RECALL = 0.95
+#: Below it a span is only added where the recall asks for that.
+SURE = 0.9
 BEFORE, INSIDE, AFTER = 24, 48, 8
 WIDTH = BEFORE + INSIDE + AFTER
 FILTERS, REACH = 16, 5
@@ -47,7 +61,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """Places of candidates; a mark at their end belongs to the sentence."""
+    found = ((m.start(), m.start() + len(m[0].rstrip(".-"))) for m in CANDIDATE.finditer(text))
+    return [(start, end) for start, end in found if end - start >= LEAST_LENGTH]
 
 
 def windows(text: str, start: int, end: int) -> list[tuple[str, str, str]]:
@@ -102,13 +118,13 @@ class Network:
 
 
 def _train(x: np.ndarray, y: np.ndarray, rounds: int = 12, rate: float = 0.01) -> Network:
-    random = np.random.default_rng(7)
-    net = Network(random.normal(0, 0.15, (CHANNELS * REACH, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
-                  random.normal(0, 0.1, 4 * FILTERS).astype(np.float32), 0.0)
+    numbers = np.random.default_rng(7)
+    net = Network(numbers.normal(0, 0.15, (CHANNELS * REACH, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
+                  numbers.normal(0, 0.1, 4 * FILTERS).astype(np.float32), 0.0)
     values = [net.kernel, net.bias, net.weights, np.zeros(1, np.float32)]
     first, second, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
     for _ in range(rounds):
-        order = random.permutation(len(x))
+        order = numbers.permutation(len(x))
         for at in range(0, len(x), 64):
             pick = order[at : at + 64]
             net.offset = float(values[3][0])
@@ -163,10 +179,101 @@ def train(rows: list[tuple[str, str, str]], labels: list[int], recall: float = R
     probability = _sigmoid(net.slope * net.forward(x[part == 4])[-1] + net.shift)
     found = np.sort(probability[y[part == 4] == 1])[::-1]
     # The recall is a floor: a lower threshold is taken only where it asks for one.
-    net.threshold = min(0.9, float(found[min(len(found) - 1, int(np.ceil(recall * len(found))) - 1)])) if len(found) else 0.9
+    net.threshold = min(SURE, float(found[min(len(found) - 1, int(np.ceil(recall * len(found))) - 1)])) if len(found) else SURE
     return net
 
 
+_LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Alphabets of drawn keys, by the kind of finding that looks like them.
+ALPHABETS = {
+    "assign": (_LOWER + _DIGITS, _LOWER + _UPPER + _DIGITS, _LOWER + _UPPER + _DIGITS + "+/", _LOWER + _UPPER + _DIGITS + "-_"),
+    "access": (_UPPER + _DIGITS, _UPPER + "234567"),
+    "hex": ("0123456789abcdef", "0123456789ABCDEF"),
+}
+_SIGNS = ("key: ", "pwd: ", "pass=", "auth = ", "id: ", "value=", "credential: \"", "k='", "sig=", "ref: ")
+
+
+def _key(r: random.Random, alphabets: list[str]) -> str:
+    """Random characters of a length from 8 to 64, at times behind a name as issuers put one."""
+    alphabet = r.choice(alphabets)
+    size = int(8 * 2 ** r.uniform(0, 3))
+    while True:
+        key = "".join(r.choices(alphabet, k=size))
+        if any(c.isdigit() for c in key) and any(c.isalpha() for c in key):
+            break
+    if r.random() < 0.25:
+        name = "".join(r.choices(_LOWER if r.random() < 0.8 else _UPPER, k=r.randint(2, 4)))
+        key = name + r.choice("_-") + (r.choice(("live", "test", "prod", "v2", "key")) + r.choice("_-") if r.random() < 0.4 else "") + key
+    return key + ("=" * r.choice((0, 0, 1, 2)) if "/" in alphabet else "")
+
+
+def _word(r: random.Random, words: list[str]) -> str:
+    if words and r.random() < 0.7:
+        return r.choice(words)
+    return "".join(r.choice("bcdfghklmnprstvw") + r.choice("aeiou") + r.choice(("", "", "n", "r", "s")) for _ in range(r.randint(2, 4)))
+
+
+def _no_key(r: random.Random, words: list[str]) -> str:
+    """Numbers, dates, addresses, names and paths of eight or more characters."""
+    word, digits = lambda: _word(r, words).lower(), lambda n: "".join(r.choices(_DIGITS, k=n))
+    mark = r.choice("-_./")
+    forms = (
+        lambda: digits(r.randint(8, 20)),
+        lambda: ".".join(digits(r.randint(1, 3)) for _ in range(4)),
+        lambda: "-".join(digits(r.randint(2, 5)) for _ in range(r.randint(2, 4))),
+        lambda: f"{r.randint(1900, 2100)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}" + r.choice(("", f"T{r.randint(0, 23):02}", "Z")),
+        lambda: f"{digits(r.randint(1, 4))}.{digits(r.randint(4, 12))}",
+        lambda: mark.join(word() for _ in range(r.randint(1, 4))),
+        lambda: mark.join(word() for _ in range(r.randint(1, 3))) + mark + digits(r.randint(1, 4)),
+        lambda: word() + digits(r.randint(1, 4)),
+        lambda: word() + digits(r.randint(1, 2)) + mark + word(),
+        lambda: word() + "".join(word().capitalize() for _ in range(r.randint(1, 3))),
+        lambda: "".join(word().capitalize() for _ in range(r.randint(2, 4))),
+        lambda: "_".join(word() for _ in range(r.randint(1, 3))).upper() + r.choice(("", "_" + digits(2))),
+        lambda: f"www.{word()}.{r.choice(('org', 'com', 'net', 'de'))}/{word()}/{word()}.{r.choice(('html', 'pdf', 'txt', 'mp3'))}",
+        lambda: f"{word()}{mark}v{r.randint(0, 20)}.{r.randint(0, 20)}.{r.randint(0, 9)}",
+        lambda: word() + word(),
+    )
+    while True:
+        found = r.choice(forms)()
+        if len(found) >= LEAST_LENGTH:
+            return found
+
+
+def augmented(
+    rows: list[tuple[str, str, str]], labels: list[int], leave_out: str | None = None, drawn: int = DRAWN
+) -> tuple[list[tuple[str, str, str]], list[int]]:
+    """The rows with drawn keys and drawn things that are none, in the rows' own contexts and behind signs.
+
+    ``leave_out`` names a kind whose alphabets are not drawn. Tables without a row of either label are filled as well.
+    """
+    r = random.Random(11)
+    contexts = [(before, after) for before, _, after in (row for row, label in zip(rows, labels) if not label)] or [("", "")]
+    words = sorted({w for before, inside, after in rows for w in re.findall(r"(?<![A-Za-z])[A-Za-z][a-z]{2,11}(?![A-Za-z])", f"{before} {after}")})
+    alphabets = [a for kind, all_ in ALPHABETS.items() if kind != leave_out for a in all_]
+    told = [before for (before, _, _), label in zip(rows, labels) if label] + list(_SIGNS)
+
+    def around() -> tuple[str, str]:
+        before, after = r.choice(contexts)
+        if r.random() < 0.3:
+            before = (before[: len(before) // 2] + r.choice(told))[-BEFORE:]
+        elif r.random() < 0.4:
+            before = " ".join([*(_word(r, words) for _ in range(3)), ""])[-BEFORE:]
+            after = r.choice((" ", ".", ",", "\n", ")", ""))
+        return before, after[:AFTER]
+
+    more, marks = [], []
+    for make, label in ((lambda: _key(r, alphabets), 1), (lambda: _no_key(r, words), 0)):
+        for _ in range(drawn):
+            (before, after), inside = around(), make()
+            if not label and r.random() < 0.15:  # the name of a key that follows
+                after = (r.choice(("=", ": ", '="', " = ")) + _key(r, alphabets))[:AFTER]
+            for part in windows(before + inside + after, len(before), len(before) + len(inside)):
+                more.append(part)
+                marks.append(label)
+    return rows + more, labels + marks
+
+
 def _examples(most: int):
     """Labelled windows of all candidates; a task keeps the ``most`` smallest by hash of each label, each window once."""
 
@@ -198,11 +305,22 @@ def _examples(most: int):
     return run
 
 
-def train_on(documents: DataFrame, most_candidates: int = TRAINING_CANDIDATES) -> Network | None:
-    """A network trained on a hashed sample of the labelled candidates of all documents, ``most_candidates`` of a label at most.
+def fit(rows: list[tuple[str, str, str]], labels: list[int], leave_out: str | None = None) -> Network:
+    """A network of labelled windows and drawn ones.
 
-    None where the whole table has fewer than ten different candidates of a label: then only the patterns find spans.
+    A candidate that no pattern finds is unlabelled rather than none: keys without a pattern are among them. Those that a
+    first network is sure of, which has not seen any of them, do not count as negatives.
     """
+    told = [row for row, label in zip(rows, labels) if label]
+    others = [row for row, label in zip(rows, labels) if not label]
+    first = train(*augmented(told, [1] * len(told), leave_out))
+    others = [row for row, p in zip(others, first.probability(others)) if p < SURE]
+    return train(*augmented(told + others, [1] * len(told) + [0] * len(others), leave_out))
+
+
+def train_on(documents: DataFrame, most_candidates: int = TRAINING_CANDIDATES) -> Network:
+    """A network trained on a hashed sample of the labelled candidates of all documents, ``most_candidates`` of a label at
+    most, and on what ``fit`` draws: a table without any candidate gives a network, too."""
     spark = documents.sparkSession
     folder = workspace(spark, "secret-scan")
     schema = "before string, inside string, after string, order long, label int"
@@ -210,7 +328,7 @@ def train_on(documents: DataFrame, most_candidates: int = TRAINING_CANDIDATES) -
     found = spark.read.parquet(f"{folder}/examples").distinct()
     # An order of hashes, cut off, is a sample; what a task has cut off lies behind its own first rows.
     rows = [r for label in (0, 1) for r in found.filter(F.col("label") == label).orderBy("order", "before", "inside", "after").limit(most_candidates).collect()]
-    return train([(r["before"], r["inside"], r["after"]) for r in rows], [r["label"] for r in rows])
+    return fit([(r["before"], r["inside"], r["after"]) for r in rows], [r["label"] for r in rows])
 
 
 def find(text: str, net: Network | None) -> list[tuple[str, int, int]]:
