@@ -5,7 +5,7 @@ from the quantised product by e + (1 + e) f at most, so that the tile product de
 be on either side are computed again in double precision.
 
 Equal vectors are one node with a weight. Nodes are dealt to blocks by a hash, and each pair of blocks is one task,
-whatever near copies a block holds. A task emits no pairs: it counts the links of each of its vectors and gives every
+whatever near copies a block holds. A block is bounded in rows and in bytes. A task emits no pairs: it counts the links of each of its vectors and gives every
 linked one a representative. All pairs of different vectors are looked at, as no cheaper bound holds for arbitrary
 directions; the tile grows with the table up to a fixed size, which keeps the copies that are shuffled few.
 """
@@ -23,6 +23,8 @@ from tidemark.session import workspace
 
 THRESHOLD = 0.95
 BLOCKS, SMALL_BLOCK, LARGE_BLOCK = 12, 256, 65_536
+#: Bytes of a block's vectors in double precision, at most; a task holds a few copies of two blocks.
+BLOCK_BYTES = 64_000_000
 STRIP = 256
 
 
@@ -103,6 +105,11 @@ def _paired(threshold: float):
     return run
 
 
+def block_rows(width: int) -> int:
+    """Vectors of a block, by their length."""
+    return max(1, min(LARGE_BLOCK, BLOCK_BYTES // (8 * max(1, width))))
+
+
 def linked(spark: SparkSession, embeddings: DataFrame, threshold: float = THRESHOLD, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``embeddings`` with n_links, component_id and kept.
 
@@ -121,8 +128,8 @@ def linked(spark: SparkSession, embeddings: DataFrame, threshold: float = THRESH
     classes = keyed.filter("__sound").groupBy("__a", "__b").agg(F.count("*").alias("weight"), F.min(id).alias("least"), F.first(vector).alias("vector"))
     classes.withColumn("node", F.monotonically_increasing_id()).write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
-    count = nodes.count()
-    blocks = max(1, min(BLOCKS, count // SMALL_BLOCK), -(-count // LARGE_BLOCK))
+    count, width = nodes.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
+    blocks = max(1, min(BLOCKS, count // SMALL_BLOCK), -(-count // block_rows(width)))
     dealt = nodes.select("node", "weight", "vector", F.size("vector").alias("size"), F.pmod(F.xxhash64("__a", "__b", F.lit(11)), F.lit(blocks)).cast("int").alias("block"))
     others = F.sequence(F.lit(0), F.lit(blocks - 1))
     met = dealt.withColumn("with", F.explode(others))

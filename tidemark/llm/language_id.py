@@ -21,6 +21,8 @@ CENTROIDS = 4
 #: Labelled texts of each language that a model is fitted on, at most; languages that are learned, the most frequent first.
 SAMPLE = 300
 LANGUAGES = 1000
+#: Texts that a model is fitted on, at most, over all languages; letters of each that count for it.
+TEXTS, LETTERS = 6000, 1 << 16
 ROWS_AT_ONCE = 256
 #: A text is rejected below this share of the cosine that 99 of 100 texts of its length reach.
 TOLERANCE = 0.5
@@ -98,15 +100,18 @@ def _clusters(vectors: np.ndarray, count: int) -> np.ndarray:
 
 def fit(texts: list[str], labels: list[str]) -> Model:
     """A model of labelled texts; without any, one that knows no language and rejects everything."""
-    points = [code_points(t) for t in texts]
-    rows = [(p, lang) for p, lang in zip(points, labels) if len(p)]
+    rows = [(p.astype(np.uint32), lang) for p, lang in ((code_points(t)[:LETTERS], lang) for t, lang in zip(texts, labels)) if len(p)]
     if not rows:
         return Model([], np.ones(BUCKETS, np.float32), np.zeros((1, BUCKETS), np.float32), np.full(17, np.inf))
-    counts = np.stack([gram_counts(p) for p, _ in rows])
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    model = Model([], idf, np.zeros((1, BUCKETS), np.float32), np.zeros(17))
-    vectors, of = model.vectors(counts), np.array([lang for _, lang in rows])
-    parts = [(lang, _clusters(vectors[of == lang], CENTROIDS)) for lang in sorted(set(of))]
+    # Only the vectors of one language are in memory at a time.
+    seen = np.zeros(BUCKETS, np.int64)
+    for p, _ in rows:
+        seen += gram_counts(p) > 0
+    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
+    model, own = Model([], idf, np.zeros((1, BUCKETS), np.float32), np.zeros(17)), {}
+    for p, lang in rows:
+        own.setdefault(lang, []).append(p)
+    parts = [(lang, _clusters(model.vectors(np.stack([gram_counts(p) for p in own[lang]])), CENTROIDS)) for lang in sorted(own)]
     model.languages = [lang for lang, part in parts for _ in part]
     model.centroids = np.vstack([part for _, part in parts]).astype(np.float32)
     reached: dict[int, list[float]] = {}
@@ -122,11 +127,13 @@ def fit(texts: list[str], labels: list[str]) -> Model:
 
 
 def fit_on(documents: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of ``documents`` (text, lang): about ``sample`` hashed texts of each language come to the driver."""
+    """A model of ``documents`` (text, lang): about ``sample`` hashed texts of each language come to the driver, fewer where
+    many languages share ``TEXTS``. Of equal cosines the language that comes first by name wins."""
     labelled = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not sizes:
         return fit([], [])
+    sample = min(sample, max(1, TEXTS // len(sizes)))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))))
     rows = labelled.filter(drawn < share[F.col("lang")]).select("text", "lang", "doc_id").toPandas()
@@ -134,7 +141,10 @@ def fit_on(documents: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(list(rows["text"]), list(rows["lang"]))
 
 
-def _predicted(model: Model):
+ADDED = ("lang_pred", "lang_score", "lang_rejected")
+
+
+def _predicted(model: Model, added: tuple[str, str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
@@ -143,20 +153,22 @@ def _predicted(model: Model):
                 languages, score, rejected = model.predict([code_points(t or "") for t in texts])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(languages, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                    names=[*batch.schema.names, "lang_pred", "lang_score", "lang_rejected"],
+                    names=[*batch.schema.names, *added],
                 )
 
     return run
 
 
-def identified(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with lang_pred, lang_score (0 to 1) and lang_rejected; columns of these names are replaced.
+def identified(documents: DataFrame, model: Model, added: tuple[str, str, str] = ADDED) -> DataFrame:
+    """``documents`` with lang_pred, lang_score (0 to 1) and lang_rejected, or columns ``added`` instead of these.
 
-    A missing text, or one without a letter, is ``und``, has score 0 and is rejected.
+    A missing text, or one without a letter, is ``und``, has score 0 and is rejected. A text counts whole, whatever its
+    length; of equal cosines the language that comes first by name wins. Repeated rows are predicted each. Columns of
+    the added names are replaced, others pass through.
     """
-    plain = documents.drop("lang_pred", "lang_score", "lang_rejected")
+    plain = documents.drop(*added)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(_predicted(model), f"{fields}, lang_pred string, lang_score double, lang_rejected boolean")
+    return plain.mapInArrow(_predicted(model, added), f"{fields}, `{added[0]}` string, `{added[1]}` double, `{added[2]}` boolean")
 
 
 def of_known_language(documents: DataFrame, model: Model) -> DataFrame:
@@ -164,7 +176,8 @@ def of_known_language(documents: DataFrame, model: Model) -> DataFrame:
     only missing texts and those without a letter go."""
     if not model.languages:
         model = replace(model, floors=np.zeros(17))
-    return identified(documents, model).filter(~F.col("lang_rejected"))
+    added = tuple(f"__{name}" for name in ADDED)
+    return identified(documents, model, added).filter(~F.col(added[2])).drop(*added)
 
 
 def held_out(doc_id: str = "doc_id"):

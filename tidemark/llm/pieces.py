@@ -8,6 +8,7 @@ if the two pieces, joined, are encoded as these two. That pairwise rule makes th
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -22,6 +23,9 @@ STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Code points that are indexed at once, and encoded stretches that a worker remembers.
 INDEXED = 1 << 19
 REMEMBERED = 1 << 18
+#: Pairs of pieces that a worker remembers to be compatible or not; characters from which merging takes a heap.
+PAIRS = 1 << 19
+LONG = 64
 ROWS_AT_ONCE = 1000
 
 
@@ -39,6 +43,8 @@ class Pieces:
         self.ids = {self.texts[i]: i for i in normal}
         self.rank = {self.texts[i]: -model.get_score(i) for i in normal}
         characters = sorted({c for t in self.ids for c in t})
+        if len(characters) >= 1 << 15:
+            raise ValueError(f"{len(characters)} characters in the vocabulary, 32767 at most fit the suffix array's numbers")
         self.dense = np.zeros(0x110001, dtype=np.uint16)
         self.dense[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
         # Only pieces that merging their own characters gives can be in an encoding.
@@ -60,6 +66,8 @@ class Pieces:
 
     def merged(self, text: str) -> list[int]:
         """Ids by plain merging: the adjacent pair with the best score, the left one of equals, until none is a piece."""
+        if len(text) > LONG:
+            return self.merged_long(text)
         parts, rank = list(text), self.rank
         costs = [rank.get(a + b, np.inf) for a, b in zip(parts, parts[1:])]
         while costs and (best := min(costs)) != np.inf:
@@ -72,9 +80,32 @@ class Pieces:
                 costs[i] = rank.get(parts[i] + parts[i + 1], np.inf)
         return [self.ids.get(p, -1) for p in parts]
 
+    def merged_long(self, text: str) -> list[int]:
+        """The same with a heap of pairs and linked neighbours, so that a long run takes n log n steps."""
+        parts: list[str | None] = list(text)
+        n, rank = len(parts), self.rank
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(cost, i, a + b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (cost := rank.get(a + b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, whole = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j == n or parts[i] + parts[j] != whole:
+                continue  # one of the two was merged elsewhere
+            parts[i], parts[j] = whole, None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (cost := rank.get(pair := parts[a] + parts[b])) is not None:
+                    heapq.heappush(heap, (cost, a, pair))
+        return [self.ids.get(p, -1) for p in parts if p is not None]
+
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each pair of pieces is its own encoding; pairs are decided once."""
         keys = left * len(self.texts) + right
+        if len(self.pair_keys) > PAIRS:
+            self.pair_keys, self.pair_valid = self.pair_keys[:0], self.pair_valid[:0]
         at = np.searchsorted(self.pair_keys, keys)
         at[at == len(self.pair_keys)] = 0
         fresh = keys if not len(self.pair_keys) else keys[self.pair_keys[at] != keys]
@@ -82,8 +113,8 @@ class Pieces:
             fresh = np.unique(fresh)
             pairs = [divmod(k, len(self.texts)) for k in fresh.tolist()]
             valid = np.array([self.merged(self.texts[a] + self.texts[b]) == [a, b] for a, b in pairs])
-            order = np.argsort(all_keys := np.concatenate([self.pair_keys, fresh]), kind="stable")
-            self.pair_keys, self.pair_valid = all_keys[order], np.concatenate([self.pair_valid, valid])[order]
+            places = np.searchsorted(self.pair_keys, fresh)
+            self.pair_keys, self.pair_valid = np.insert(self.pair_keys, places, fresh), np.insert(self.pair_valid, places, valid)
             at = np.searchsorted(self.pair_keys, keys)
         return self.pair_valid[at]
 

@@ -364,10 +364,12 @@ def redacted(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret]
     return "".join([*out, text[at:]])
 
 
-def scanned(documents: DataFrame, net: Network | None) -> DataFrame:
-    """``documents`` with secret_spans ("kind:start:end,...", code points, end exclusive) and text_redacted.
+def scanned(documents: DataFrame, net: Network | None, spans: str = "secret_spans", clean: str = "text_redacted") -> DataFrame:
+    """``documents`` with ``spans`` ("kind:start:end,...", code points, end exclusive) and the text without them in ``clean``.
 
-    A missing text has no spans and stays missing. Columns of these names are replaced, others pass through.
+    A missing text has no spans and stays missing; an empty one has none. A text is scanned whole, whatever its length, and
+    a long candidate is judged in parts. Spans that start together go in the order of kinds. Repeated rows are scanned
+    each. Columns of the two names are replaced, others pass through.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,15 +378,15 @@ def scanned(documents: DataFrame, net: Network | None) -> DataFrame:
                 batch = whole.slice(at, 500)
                 texts = batch.column("text").to_pylist()
                 found = find_all([t or "" for t in texts], net)
-                clean = [t if not s else redacted(t, s) for t, s in zip(texts, found)]
+                without = [t if not s else redacted(t, s) for t, s in zip(texts, found)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(map(_joined, found), pa.string()), pa.array(clean, pa.string())],
-                    names=[*batch.schema.names, "secret_spans", "text_redacted"],
+                    [*batch.columns, pa.array(map(_joined, found), pa.string()), pa.array(without, pa.string())],
+                    names=[*batch.schema.names, spans, clean],
                 )
 
-    plain = documents.drop("secret_spans", "text_redacted")
+    plain = documents.drop(spans, clean)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{fields}, secret_spans string, text_redacted string")
+    return plain.mapInArrow(run, f"{fields}, `{spans}` string, `{clean}` string")
 
 
 def digest(documents: DataFrame) -> DataFrame:

@@ -8,22 +8,25 @@ a file (first inside runs of blocks, then over the runs) stitches the documents
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import workspace
+from tidemark.session import shuffle_width, workspace
 
 # Fixed values of the public byte-level vocabulary: how text is split, and its end-of-document id.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
 BLOCK = 1 << 16
 RUN = 1024
+#: Blocks of a file that are read as one range.
+RANGE = 64
 
 
 @cache
@@ -32,72 +35,85 @@ def _encoding(rank_file: str):
 
     with open(rank_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    if max(ranks.values(), default=0) > 0xFFFF:
+        raise ValueError("the vocabulary has ids above 65535, which flat files of 16-bit ids cannot hold")
     return tiktoken.Encoding("flat", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def _flat(rank_file: str, block: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, file = _encoding(rank_file), TaskContext.get().partitionId()
-        number, ordinal, rest = 0, 0, np.zeros(0, np.uint16)
-
-        def rows(blocks: list[bytes], ids: list[int | None], first: int) -> pa.RecordBatch:
-            n, m = len(blocks), len(ids)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([file] * (n + m), pa.int64()),
-                    pa.array([*range(number, number + n), *[None] * m], pa.int64()),
-                    pa.array([*blocks, *[None] * m], pa.binary()),
-                    pa.array([*[None] * n, *range(first, first + m)], pa.int64()),
-                    pa.array([*[None] * n, *ids], pa.int64()),
-                ],
-                names=["file", "block", "ids", "ordinal", "doc_id"],
-            )
+def _files(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path within it."""
+    return fs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                parts = [rest]
-                for text in batch.column("text").to_pylist():
-                    parts += [np.array(encoding.encode_ordinary(text or ""), dtype=np.uint16), np.array([END], np.uint16)]
-                flat = np.concatenate(parts)
-                cut = len(flat) - len(flat) % block
-                blocks = [flat[i : i + block].astype("<u2").tobytes() for i in range(0, cut, block)]
-                rest = flat[cut:].copy()
-                ids = batch.column("doc_id").to_pylist()
-                yield rows(blocks, ids, ordinal)
-                number, ordinal = number + len(blocks), ordinal + len(ids)
-        if len(rest):
-            yield rows([rest.astype("<u2").tobytes()], [], ordinal)
 
-    return run
+def _flat(rank_file: str, folder: str):
+    """Writes a token file per task and gives its documents' order; a task that is tried again writes another file."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding, ordinal = _encoding(rank_file), 0
+        file = f"{folder}/{uuid.uuid4().hex}.ids"
+        system, place = _files(file)
+        with system.open_output_stream(place) as out:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 500):
+                    batch = whole.slice(at, 500)
+                    for text in batch.column("text").to_pylist():
+                        out.write(np.array([*encoding.encode_ordinary(text or ""), END], dtype="<u2").tobytes())
+                    ids = batch.column("doc_id")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([file] * len(ids), pa.string()), pa.array(range(ordinal, ordinal + len(ids)), pa.int64()), ids], names=["file", "ordinal", "doc_id"]
+                    )
+                    ordinal += len(ids)
 
-FLAT = "file long, block long, ids binary, ordinal long, doc_id long"
+    return run
 
 
-def write_flat(documents: DataFrame, path: str, rank_file: str, block: int = BLOCK) -> None:
-    """Token files of ``documents``: one per task, as blocks of 16-bit ids, and the order of the documents beside them.
+def write_flat(documents: DataFrame, folder: str, rank_file: str) -> DataFrame:
+    """Writes flat files of 16-bit ids of ``documents`` to ``folder``/flat, one per task, and gives (file, ordinal, doc_id).
 
-    Rows with ``ids`` are blocks, which a document may cross; the others name the documents of a file in their order. A
-    missing text is an empty document.
+    The order of the documents is a table beside the files, which know nothing of it: nor where a document ends, but for
+    its separator. Files of attempts that failed are named nowhere. A missing text is an empty document. The folder must
+    be one that all executors share, on a file system that pyarrow opens.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows.mapInArrow(_flat(rank_file, block), FLAT).write.option("compression", "zstd").parquet(path)
+    system, place = _files(folder)
+    system.create_dir(f"{place}/flat", recursive=True)
+    rows.mapInArrow(_flat(rank_file, f"{folder}/flat"), "file string, ordinal long, doc_id long").write.parquet(f"{folder}/order")
+    return documents.sparkSession.read.parquet(f"{folder}/order")
 
 
-def blocks_of(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """(file, block, ids) of binary files of 16-bit little-endian ids, up to 2 GB each; ``file`` is the path."""
+def _ranges(block: int):
+    """Reads ranges (file, start, length) and cuts them into blocks, numbered by their place in the file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                parts = [content[i : i + 2 * block] for i in range(0, len(content), 2 * block)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file] * len(parts), pa.string()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())],
-                    names=["file", "block", "ids"],
-                )
+            for row in batch.to_pylist():
+                system, place = _files(row["file"])
+                with system.open_input_file(place) as source:
+                    for at in range(row["start"], row["start"] + row["length"], 2 * block):
+                        content = source.read_at(min(2 * block, row["start"] + row["length"] - at), at)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([row["file"]], pa.string()), pa.array([at // (2 * block)], pa.int64()), pa.array([content], pa.binary())],
+                            names=["file", "block", "ids"],
+                        )
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, ids binary")
+    return run
+
+
+def blocks_of(spark: SparkSession, path: str, block: int = BLOCK, range_blocks: int = RANGE) -> DataFrame:
+    """(file, block, ids) of binary files of 16-bit little-endian ids, whatever their size; ``file`` is the path.
+
+    Only the sizes of the files are listed. Each range of ``range_blocks`` blocks is a row of its own, read by the task that
+    gets it, so that one large file is spread over all tasks; a block's number follows from its offset. An odd last
+    byte is no id.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length")
+    step = 2 * block * range_blocks
+    whole = F.col("length") - F.col("length") % 2
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), whole - 1, F.lit(step).cast("long")))
+    ranges = files.filter(whole > 0).select("file", whole.alias("size"), starts.alias("start"))
+    ranges = ranges.select("file", "start", F.least(F.lit(step).cast("long"), F.col("size") - F.col("start")).alias("length"))
+    # A fixed number of partitions: the rows are tiny, and adaptive execution would put all of them into one task.
+    return ranges.repartition(shuffle_width(spark), "file", "start").mapInArrow(_ranges(block), "file string, block long, ids binary")
 
 
 def _separators(end: int):
@@ -154,10 +170,13 @@ def counted(blocks: DataFrame, folder: str, end: int = END, run_length: int = RU
 
 
 def digest(spark: SparkSession, documents: DataFrame, rank_file: str) -> DataFrame:
-    """Token count of every document, found in the flat files alone; the files' document order then gives the ids."""
+    """Token count of every document, found in the flat files alone; the documents' order beside them then gives the ids."""
     folder = workspace(spark, "token-counts")
-    write_flat(documents, f"{folder}/flat", rank_file)
-    flat = spark.read.parquet(f"{folder}/flat")
-    counts = counted(flat.filter("ids is not null").select("file", "block", "ids"), folder)
-    order = flat.filter("ordinal is not null").select("file", "ordinal", "doc_id")
+    order = write_flat(documents, folder, rank_file)
+    if order.isEmpty():
+        return spark.createDataFrame([], "doc_id long, file string, ordinal long, start long, n_tokens long")
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    counts = counted(blocks_of(spark, f"{folder}/flat").withColumn("file", name("file")), folder)
+    order = order.withColumn("file", name("file"))
+    # Files that failed attempts left behind are in no order, and fall out here.
     return order.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
