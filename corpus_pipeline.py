@@ -40,8 +40,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are blanked out; no document goes."""
-    clean = secret_scan.scanned(docs, secret_scan.train_on(docs))
-    return _like(docs, clean.withColumn("text", F.col("text_redacted")))
+    clean = secret_scan.scanned(docs, secret_scan.train_on(docs), spans="__spans", clean="__clean")
+    return _like(docs, clean.withColumn("text", F.col("__clean")))
 
 
 def bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
