@@ -51,3 +51,15 @@ def test_documents_of_an_unlabelled_corpus_stay(spark, odd, tmp_path):
 def test_an_empty_table(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, "").count() == 0
+
+
+def test_columns_with_the_stages_own_names_pass_through(spark, odd, tmp_path):
+    docs = odd.filter("text is not null").select(
+        "doc_id", "text", "lang", "source", "n_chars", F.col("doc_id").alias("lang_pred"), F.lit("s").alias("lang_score"),
+        F.lit(True).alias("lang_rejected"), F.col("doc_id").alias("secret_spans"), F.col("doc_id").alias("text_redacted"),
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    rows = docs.collect()
+    assert rows and all(r.lang_pred == r.secret_spans == r.text_redacted == r.doc_id and r.lang_score == "s" and r.lang_rejected for r in rows)
