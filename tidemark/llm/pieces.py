@@ -24,7 +24,7 @@ STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 INDEXED = 1 << 19
 REMEMBERED = 1 << 18
 #: Pairs of pieces that a worker remembers to be compatible or not; characters from which merging takes a heap.
-PAIRS = 1 << 19
+PAIRS = 1 << 21
 LONG = 64
 ROWS_AT_ONCE = 1000
 
