@@ -218,7 +218,10 @@ class _Join:
         )
 
     def stored(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
+        # Spark deletes the shuffle files of earlier tables when the driver's collector finds that nothing reads them any
+        # more; left to itself it runs so seldom that the files of all rounds lie on disk together.
+        self.spark._jvm.System.gc()
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
     def labels(self, links: list[DataFrame], name: str) -> DataFrame:
