@@ -2,15 +2,18 @@
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from seed import LATER, PLACED, RUN_1, orders, rows, users
 from tidemark.functions.clock import EXTRACT_FLOOR
+from tidemark.functions.variants import field as variant_field
 from tidemark.functions.variants import whole_record
 from tidemark.operators.watermark import high_water_value, load_window
 from tidemark.sources import incremental, landing, registry
 from tidemark.sources.contracts import landing_schema, schema_path, stored_schema
+from tidemark.streaming.bronze import load_bronze, read_bronze
 
 
 def test_watermark_is_strict_and_a_null_update_decides_nothing(spark):
@@ -152,3 +155,27 @@ def test_joined_jdbc_read_joins_and_filters_in_the_source():
     assert "o.created_at > '2021-01-01 00:00:00.500000' or o.updated_at > '2021-01-01 00:00:00.500000'" in query
     assert (options["partitionColumn"], options["numPartitions"], options["fetchsize"]) == ("order_id", "8", "1000")
     assert "partitionColumn" not in incremental.joined_jdbc_options("jdbc:x")
+
+
+def test_bronze_records_are_typed_columns_of_their_fields(spark, tmp_path):
+    root = str(tmp_path)
+    many = spark.range(20_000).selectExpr(
+        "int(id) id", "int(id % 50) id_user", "int(id % 97) spent", "repeat(sha2(string(id), 256), 4) status",
+        "timestamp_ntz'2021-12-08 20:02:42' created_at", "cast(null as timestamp_ntz) updated_at",
+    )
+    landing.write_landing(many.coalesce(1), root, "orders", RUN_1)
+    load_bronze(spark, f"{root}/orders", stored_schema("orders"), f"{root}/bronze", f"{root}/cp", RUN_1)
+    (file,) = (tmp_path / "bronze").glob("*.parquet")
+    record = pq.read_schema(file).field("parquet_raw").type
+    typed = record.field("typed_value").type
+    assert {"id", "spent", "status", "created_at"} <= {typed.field(i).name for i in range(typed.num_fields)}
+    # A query of one field names it in the schema of its scan, and the bytes of that field are few.
+    spent = read_bronze(spark, f"{root}/bronze").select(variant_field(F.col("parquet_raw"), "spent", "bigint").alias("spent"))
+    plan = spent._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema") :].splitlines()[0]
+    assert "variant" not in schema and "struct<parquet_raw:struct<" in schema
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    sizes = {group.column(i).path_in_schema: group.column(i).total_compressed_size for i in range(group.num_columns)}
+    of = lambda name: sum(n for path, n in sizes.items() if path.startswith(f"parquet_raw.typed_value.{name}."))
+    assert 0 < 20 * of("spent") < sum(sizes.values())
+    assert spent.agg(F.sum("spent")).first()[0] == sum(i % 97 for i in range(20_000))
