@@ -114,3 +114,17 @@ def test_ids_that_do_not_fit_are_an_error(tmp_path):
     (tmp_path / "ranks").write_text("YQ== 0\nYg== 70000\n")
     with pytest.raises(ValueError, match="65535"):
         token_counts._encoding(str(tmp_path / "ranks"))
+
+
+def test_forgotten_stretches_and_crowded_places_change_no_ids(monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "REMEMBERED", 60)
+    monkeypatch.setattr(pieces, "PLACES", 64)
+    own, r = pieces.Pieces(MODEL), random.Random(5)
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(1, 8))) for _ in range(120)]
+    for _ in range(40):
+        text = " ".join(r.choices(words, k=25))
+        assert own.encode([text])[0].tolist() == model.encode(text)
+        assert len(own.known) <= 30 and len(own.older) <= 30

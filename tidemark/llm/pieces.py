@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-#: Code points that are indexed at once, and encoded stretches that a worker remembers.
+#: Code points that are indexed at once, and encoded stretches that a worker remembers, in two halves of different age.
 INDEXED = 1 << 19
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+#: Places in which the pairs that were met last are looked up first, without a search; a power of two.
+PLACES = 1 << 20
 #: Pairs of pieces that a worker remembers to be compatible or not; characters from which merging takes a heap.
 PAIRS = 1 << 21
 LONG = 64
@@ -62,7 +64,9 @@ class Pieces:
         self.low, self.high = self.low[by_text], self.high[by_text]
         self.piece_ids, self.piece_sizes = self.piece_ids[by_text], self.piece_sizes[by_text]
         self.pair_keys, self.pair_valid = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.place_keys, self.place_valid = np.full(PLACES, -1, np.int64), np.zeros(PLACES, bool)
         self.known: dict[str, bytes] = {}  # 32-bit ids
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[int]:
         """Ids by plain merging: the adjacent pair with the best score, the left one of equals, until none is a piece."""
@@ -102,8 +106,24 @@ class Pieces:
         return [self.ids.get(p, -1) for p in parts if p is not None]
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Whether each pair of pieces is its own encoding; pairs are decided once."""
+        """Whether each pair of pieces is its own encoding.
+
+        The place of a pair follows from its number and holds the one that came last; the others are searched.
+        """
         keys = left * len(self.texts) + right
+        places = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & (PLACES - 1)
+        valid = self.place_valid[places]
+        missed = np.flatnonzero(self.place_keys[places] != keys)
+        if len(missed):
+            places, keys = places[missed], keys[missed]
+            valid[missed] = found = self.searched(keys)
+            # Of pairs that share a place one is kept, the same in both columns.
+            kept, first = np.unique(places, return_index=True)
+            self.place_keys[kept], self.place_valid[kept] = keys[first], found[first]
+        return valid
+
+    def searched(self, keys: np.ndarray) -> np.ndarray:
+        """The same for pairs by their numbers, from all that are remembered; new ones are decided by merging."""
         if len(self.pair_keys) > PAIRS:
             self.pair_keys, self.pair_valid = self.pair_keys[:0], self.pair_valid[:0]
         at = np.searchsorted(self.pair_keys, keys)
@@ -192,10 +212,14 @@ class Pieces:
         return np.array(out, dtype=np.int32).tobytes()
 
     def learn(self, stretches: set[str]) -> None:
-        new = [s for s in stretches if s not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(stretches)
+        """Encodes what is not remembered. Stretches that were not met since the last change of halves are forgotten first."""
+        if len(self.known) + len(stretches) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = [s for s in stretches if s not in known]
+        if older:
+            known.update({s: older[s] for s in new if s in older})
+            new = [s for s in new if s not in older]
         runs = [s for s in new if s.startswith(SPACE * 2)]
         for s in runs:  # pieces of spaces share one score, so that the pairwise rule does not hold for them
             characters = iter(self.unmatched(s))
