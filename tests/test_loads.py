@@ -9,6 +9,7 @@ from seed import LATER, PLACED, RUN_1, RUN_2, RUN_3, orders, rows, users
 from tidemark.operators.audit import AuditFailed
 from tidemark.operators.changes import change_feed
 from tidemark.operators.scd import DIM_STATUS, changed_only, scd2_parts
+from tidemark.operators.star import fact_orders
 from tidemark.plans.cdc import ChangeWarehouse, orders_to_silver, users_to_silver
 from tidemark.plans.kimball import StarWarehouse
 from tidemark.plans.obt import WideWarehouse
@@ -16,7 +17,7 @@ from tidemark.session import plan_bytes, workspace
 from tidemark.sources import landing
 from tidemark.sources.contracts import stored_schema
 from tidemark.streaming import bronze, delta
-from tidemark.tables import SnapshotTable, create_or_replace
+from tidemark.tables import KeyViolation, SnapshotTable, create_or_replace
 
 MOVED = (1, "francisco", 35, "new road 1", PLACED, LATER)
 SHIPPED = (1, 1, 30, "shipped", PLACED, LATER)
@@ -383,3 +384,53 @@ def test_load_times_alone_are_no_change(spark):
     new = spark.createDataFrame([(1, "a", 2), (2, "c", 2), (4, None, 2)], "k int, v string, t int")
     found = sorted((r.k, r.action, r.is_update) for r in change_feed(old, new, "k", ignore=["t"]).collect())
     assert found == [(2, "DELETE", True), (2, "INSERT", True), (3, "DELETE", False), (4, "INSERT", False)]
+
+
+def test_a_repeated_key_is_counted_by_the_write_and_not_committed(spark, tmp_path):
+    table = dim_table(spark, tmp_path / "dim")
+    commit(table, spark.range(50).select("id", F.lit("a").alias("status")), "b1")
+    twice = spark.createDataFrame([(1, 51, "b", 1), (2, 51, "c", 1), (3, 52, "b", 1)], "sk bigint, id bigint, status string, n int")
+    rows_of = twice.select("sk", "id", "status", F.lit(None).cast("timestamp_ntz").alias("valid_from"), F.lit(True).alias("is_effective"))
+    with pytest.raises(KeyViolation, match="nothing of batch b2 was committed to .*: 1 rows with a repeated id"):
+        table.merge(rows_of, "b2", lambda stored: (stored, rows_of))
+    assert (table.version, table.read().count()) == (1, 50)
+    closed = rows_of.withColumn("is_effective", F.col("sk") != 1)  # several versions of a key, one of them effective
+    assert table.merge(closed, "b2", lambda stored: (stored, closed))
+    assert (table.current().count(), table.history().count()) == (52, 1)
+
+
+def test_the_proof_of_keys_moves_no_rows(spark):
+    people = spark.range(2000).select("id", F.col("id").alias("sk"), F.lit(True).alias("is_effective"))
+    batch = spark.range(5000).select(
+        "id", (F.col("id") % 2000).alias("id_user"), F.lit(PLACED).cast("timestamp_ntz").alias("created_at"),
+        F.lit(1).alias("spent"), F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    states = spark.range(5000).select("id", F.col("id").alias("sk"), F.lit(True).alias("is_effective"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [fact_orders(batch, people, states, counted=c)._jdf.queryExecution().executedPlan().toString() for c in (False, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans[0].count("Exchange ") == plans[1].count("Exchange ") > 0
+    assert plans[0].count("Window ") < plans[1].count("Window ")
+
+
+def test_orphans_and_repeated_orders_are_counted_and_come_again(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path), stop_on_failure=False)
+    bad = [(1, 1, 30, "processing", PLACED, None), (1, 1, 31, "processing", PLACED, None), (2, 8, 5, "processing", PLACED, None),
+           (3, 9, 5, "processing", PLACED, None)]
+    warehouse.extract(users(spark), orders(spark, bad), RUN_1)
+    with pytest.raises(Exception, match="2 rows with fact_orders.id_dim_user of no version, 1 rows with a repeated fact_orders.id"):
+        warehouse.load(RUN_1)
+    assert warehouse.fact_orders.version == 0
+
+
+def test_a_batch_of_orphans_loads_once_their_users_are_there(spark, tmp_path):
+    warehouse = StarWarehouse(spark, str(tmp_path), stop_on_failure=False)
+    warehouse.extract(users(spark, [(1, "francisco", 34, "chalk avenue 23", PLACED, None)]), orders(spark), RUN_1)
+    with pytest.raises(Exception, match="KeyViolation.*1 rows with fact_orders.id_dim_user"):
+        warehouse.load(RUN_1)
+    warehouse.land("users", users(spark, [(3, "john", 20, "salvador square 10", PLACED, None)]), RUN_2)
+    warehouse.load(RUN_2)
+    assert rows(warehouse.fact_orders.read().select("id", "id_dim_user")) == [(1, 1), (2, 1), (3, 2)]

@@ -138,16 +138,26 @@ def entering_orders(feed: DataFrame) -> DataFrame:
 
 
 def entered_facts(
-    entering: DataFrame, dim_orderstatus: DataFrame, dim_user: DataFrame, effective: bool = True, first_key: int = 1
+    entering: DataFrame,
+    dim_orderstatus: DataFrame,
+    dim_user: DataFrame,
+    effective: bool = True,
+    first_key: int = 1,
+    counted: bool = False,
 ) -> DataFrame:
-    """Facts of entering orders: numbered ones if ``effective``, else numbered after their versions fanned them out."""
+    """Facts of entering orders: numbered ones if ``effective``, else numbered after their versions fanned them out.
+
+    A missing version fails the job; with ``counted`` its key stays NULL, for the write to count.
+    """
     facts = star_join(
         entering, dim_user, dim_orderstatus, ("id_user", "user_id"), ("order_id", "order_id"), "id", effective
     )
     if not effective:
         facts = with_surrogate_keys(facts, by=["order_id", "_user_sk", "_status_sk"], first=first_key, name="id")
     columns = {"id": "id", "order_id": "order_id", "_status_sk": "orderstatus_id", "_user_sk": "orderuser_id", "ordered_at": "ordered_at"}
-    return facts.select(*[require_not_null(F.col(c), f"fact_orders.{name}").alias(name) for c, name in columns.items()])
+    late = ("_status_sk", "_user_sk") if counted else ()
+    checked = {c: F.col(c) if c in late else require_not_null(F.col(c), f"fact_orders.{name}") for c, name in columns.items()}
+    return facts.select(*[value.alias(columns[c]) for c, value in checked.items()])
 
 
 def upsert_silver(table: DataFrame | None, batch: DataFrame, key: str, *times: str) -> DataFrame:

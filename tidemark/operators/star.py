@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import require_not_null
@@ -41,8 +41,14 @@ def fact_orders(
     dim_status: DataFrame,
     effective: bool = True,
     first_key: int = 1,
+    counted: bool = False,
 ) -> DataFrame:
-    """New orders (never updated) with the keys of their user and status versions."""
+    """New orders (never updated) with the keys of their user and status versions.
+
+    A missing version fails the job. With ``counted`` such rows keep a NULL key and ``_copy`` numbers the facts of each order,
+    so that the write of the facts can count what is wrong (``broken_links``). Facts have met their status by the same
+    key, so beyond the broadcast limit they are numbered where that join left them.
+    """
     new = orders.where(F.col("updated_at").isNull()).select(
         F.col("id").cast("bigint").alias("id"),
         F.col("id_user").cast("bigint").alias("id_user"),
@@ -56,14 +62,17 @@ def fact_orders(
     if not effective:
         by = ["id", "id_user", "created_at", "spent", "_user_sk", "_status_sk"]
         facts = with_surrogate_keys(facts, by=by, first=first_key)
-    return facts.select(
-        "sk",
-        _required("id"),
-        _required("created_at"),
-        _required("spent"),
-        _required("_user_sk", "id_dim_user"),
-        _required("_status_sk", "id_dim_status"),
-    )
+    own = ["sk", _required("id"), _required("created_at"), _required("spent")]
+    links = {"_user_sk": "id_dim_user", "_status_sk": "id_dim_status"}
+    if counted:
+        copy = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+        return facts.select(*own, *[F.col(c).alias(name) for c, name in links.items()], copy.alias("_copy"))
+    return facts.select(*own, *[_required(c, name) for c, name in links.items()])
+
+
+def broken_links(*columns: str) -> dict[str, Column]:
+    """What no written fact may be: one whose link names no version of its dimension."""
+    return {f"fact_orders.{c} of no version": F.col(c).isNull() for c in columns}
 
 
 def _required(column: str, name: str | None = None) -> Column:

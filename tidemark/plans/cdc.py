@@ -27,6 +27,7 @@ from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.keys import with_surrogate_keys
 from tidemark.operators.merge import untouched
 from tidemark.operators.scd import Dimension
+from tidemark.operators.star import broken_links
 from tidemark.operators.watermark import high_water_value, load_window
 from tidemark.plans.stages import Warehouse
 from tidemark.streaming.bronze import read_bronze
@@ -235,5 +236,6 @@ class ChangeWarehouse(Warehouse):
                 own = numbered.where(F.col("_feed") == number)
                 status = self._state(self.orders, self.dim_orderstatus, time, own.select("order_id"))
                 users = self._state(self.users, self.dim_user, time, own.select("id_user"))
-                facts.append(entered_facts(own, status, users))
-            self.fact_orders.append(reduce(DataFrame.unionByName, facts), position)
+                facts.append(entered_facts(own, status, users, counted=True))
+            broken = broken_links("orderuser_id", "orderstatus_id")
+            self.fact_orders.append(reduce(DataFrame.unionByName, facts), position, broken)

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.schemas import struct
 from tidemark.operators.audit import star_rules
 from tidemark.operators.scd import DIM_STATUS, DIM_USERS, Dimension, scd2_parts
-from tidemark.operators.star import fact_orders
+from tidemark.operators.star import broken_links, fact_orders
 from tidemark.plans.stages import Warehouse
 from tidemark.tables import SnapshotTable
 
@@ -70,8 +71,10 @@ class StarWarehouse(Warehouse):
                     self.dim_users.current(),
                     self.dim_status.current(),
                     first_key=self.fact_orders.next_key(),
+                    counted=True,
                 )
-                self.fact_orders.append(facts, batch_id)
+                broken = broken_links("id_dim_user", "id_dim_status") | {"a repeated fact_orders.id": F.col("_copy") > 1}
+                self.fact_orders.append(facts, batch_id, broken)
 
         self.ingest(("users", "orders"), as_of, max_files)
         for entity, apply in (("users", load_users), ("orders", load_orders)):

@@ -566,6 +566,17 @@ ORACLES: dict[str, str] = {
         f"u1 as (select {numbered(['id'])} as sk, id from src_users)",
         f"s1 as (select {numbered(['id'])} as sk, id from src_orders)",
     ),
+    "rejected_load": query(
+        f"""
+        select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at, o.spent,
+               coalesce(u.sk, v.sk) as id_dim_user, s.sk as id_dim_status
+        from src_orders o left join u1 u on u.id = o.id_user left join u2 v on v.id = o.id_user left join s1 s on s.id = o.id
+        where o.updated_at is null
+        """,
+        f"u1 as (select {numbered(['id'])} as sk, id from src_users_in_credit)",
+        f"u2 as (select {numbered(['id'], '(select count(*) from src_users_in_credit)')} as sk, id from src_users_updated)",
+        f"s1 as (select {numbered(['id'])} as sk, id from src_orders)",
+    ),
     "landing_crash": query(
         f"""
         select {numbered(["o." + c for c in FACT_BY])} as sk, o.id, o.created_at, o.spent, u.sk as id_dim_user, s.sk as id_dim_status

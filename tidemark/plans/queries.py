@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from tidemark.sources.contracts import landing_schema, source_schema, stored_sch
 from tidemark.sources.registry import deduplicated_extract, parse_schema, project_registered
 from tidemark.streaming.bronze import bronze_rows, load_bronze, read_bronze
 from tidemark.streaming.delta import take_current
-from tidemark.tables import create_or_replace
+from tidemark.tables import KeyViolation, create_or_replace
 
 # The times the queries run at; the oracles use the same ones.
 WATERMARK = "2000-01-01 00:00:00"
@@ -415,6 +416,21 @@ def landing_crash(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.fact_orders.read()
 
 
+def rejected_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose users have not all come: the load counts the orphans and commits no fact. The missing users land, and
+    the next load takes the same orders over."""
+    warehouse = StarWarehouse(spark, workspace(spark, "rejected_load"), stop_on_failure=False)
+    warehouse.extract(views.users_in_credit(spark, folder), views.orders(spark, folder), FIRST_LOAD)
+    try:
+        warehouse.load(FIRST_LOAD)
+    except StreamingQueryException as stopped:
+        if KeyViolation.__name__ not in str(stopped):
+            raise
+    warehouse.land("users", views.users_updated(spark, folder), SECOND_LOAD)
+    warehouse.load(SECOND_LOAD)
+    return warehouse.fact_orders.read()
+
+
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Users of whom some are committed after a read that has passed their times; a third read lands nothing."""
     warehouse = Warehouse(spark, workspace(spark, "late_rows"), [], overlap=LATE_BY)
@@ -606,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "landing_retry": landing_retry,
     "repeated_load": repeated_load,
     "landing_crash": landing_crash,
+    "rejected_load": rejected_load,
     "late_rows": late_rows,
     "schema_versions": schema_versions,
     "dq_failure_log": dq_failure_log,

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,10 @@ PART_BYTES = 64 * 1024 * 1024  # of compressed files, until there are MOST_PARTS
 MOST_PARTS = 4096
 
 
+class KeyViolation(ValueError):
+    """Rows of a batch break a key of their table; none of the batch was committed."""
+
+
 class SnapshotTable:
     """A table of parquet folders, one per commit, and a small commit log written after the data.
 
@@ -133,6 +137,8 @@ class SnapshotTable:
 
         ``stored`` are the effective rows of the partitions in which the batch has keys, and only these are replaced.
         Rows that are no longer effective join the history; with ``effective_only`` the table has no such mark.
+        A key with two new effective rows fails the batch with their number. The rows of a key are written by one task,
+        which meets them side by side, so the proof takes no shuffle of its own.
         """
         if self.has(batch_id):
             return False
@@ -149,25 +155,39 @@ class SnapshotTable:
         if not effective_only:
             mark = F.when(F.col("is_effective"), "current").otherwise("history")
         # Stored rows are not moved again: a scan task holds few partitions. New rows are brought together by partition.
-        sent = new.select(*self.schema.names).withColumn("part", part).hint("rebalance", F.col("part"))
-        rows = kept.select(*self.schema.names).withColumn("part", part).unionByName(sent) if self.version else sent
-        return self._commit(rows.withColumn("slice", mark), ["slice", "part"], batch_id, partitions, touched)
-
-    def append(self, rows: DataFrame, batch_id: str) -> bool:
-        """All rows join the history."""
+        sent = new.select(*self.schema.names).withColumn("part", part).repartition(F.col("part"))
+        same = ["part", self.key] if effective_only else ["part", self.key, "is_effective"]
+        sent = sent.withColumn("_copy", F.row_number().over(Window.partitionBy(*same).orderBy(self.key)))
+        stays = kept.select(*self.schema.names).withColumns({"part": part, "_copy": F.lit(1)})
+        rows = (stays.unionByName(sent) if self.version else sent).withColumn("slice", mark)
+        broken = {f"a repeated {self.key}": (F.col("_copy") > 1) & (F.col("slice") == "current")}
+        return self._commit(rows, ["slice", "part"], batch_id, partitions, touched, broken)
+
+    def append(self, rows: DataFrame, batch_id: str, broken: Mapping[str, Column] | None = None) -> bool:
+        """All rows join the history. ``broken`` names conditions that no row may meet; columns beside the table's serve
+        them alone. Rows that meet one are counted as they are written, and fail the batch before its commit."""
         if self.has(batch_id):
             return False
-        return self._commit(rows.select(*self.schema.names).withColumn("slice", F.lit("history")), ["slice"], batch_id, 0, [])
+        return self._commit(rows.withColumn("slice", F.lit("history")), ["slice"], batch_id, 0, [], broken or {})
 
-    def _commit(self, rows: DataFrame, by: list[str], batch_id: str, partitions: int, touched: list[int]) -> bool:
+    def _commit(
+        self, rows: DataFrame, by: list[str], batch_id: str, partitions: int, touched: list[int], broken: Mapping[str, Column]
+    ) -> bool:
         version, token = self.version + 1, uuid.uuid4().hex
-        folder, last_key = f"{self.path}/data/{version:06d}-{token}", None
-        if self.surrogate:
-            seen = Observation(token)
-            rows = rows.observe(seen, F.max(self.surrogate).cast("bigint").alias("last_key"))
-        rows.write.partitionBy(*by).parquet(folder)
+        folder = f"{self.path}/data/{version:06d}-{token}"
+        metrics = [F.count_if(rule).alias(f"broken_{i}") for i, rule in enumerate(broken.values())]
         if self.surrogate:
-            last_key = seen.get["last_key"]
+            metrics.append(F.max(self.surrogate).cast("bigint").alias("last_key"))
+        seen = Observation(token)
+        if metrics:
+            rows = rows.observe(seen, *metrics)
+        rows.select(*self.schema.names, *by).write.partitionBy(*by).parquet(folder)
+        found = seen.get if metrics else {}
+        counts = {name: found.get(f"broken_{i}") or 0 for i, name in enumerate(broken)}
+        if any(counts.values()):
+            told = ", ".join(f"{count} rows with {name}" for name, count in counts.items() if count)
+            raise KeyViolation(f"nothing of batch {batch_id} was committed to {self.path}: {told}")
+        last_key = found.get("last_key")
         parts = sorted(int(name.split("=")[1]) for name in children(self.spark, f"{folder}/slice=current") if name.startswith("part="))
         commit = {
             "version": version, "batch_id": batch_id, "folder": folder, "partitions": partitions, "touched": touched, "parts": parts,
