@@ -40,7 +40,7 @@ class Dimension:
 
     def empty(self, spark: SparkSession) -> DataFrame:
         """The table before its first load."""
-        return spark.createDataFrame([], self.schema)
+        return spark.createDataFrame([], self.schema).where(F.lit(False))
 
 
 DIM_USERS = Dimension(

@@ -18,7 +18,9 @@ COMMIT = (
     "current_bytes bigint, has_history boolean, last_key bigint"
 )
 
-PART_BYTES = 64 * 1024 * 1024  # of compressed files, until there are MOST_PARTS of them
+# Of compressed files, until there are MOST_PARTS of them. One task writes a partition: rows in memory are about ten times
+# as large, and a partition may be outgrown four times over.
+PART_BYTES = 8 * 1024 * 1024
 MOST_PARTS = 4096
 
 
@@ -76,7 +78,8 @@ class SnapshotTable:
         return max((c.last_key or 0 for c in self.commits), default=0) + 1
 
     def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+        # The filter lets the optimizer drop the frame, and joins with it; else Python workers deliver no rows.
+        return self.spark.createDataFrame([], self.schema).where(F.lit(False))
 
     def _live(self, version: int | None = None) -> dict[int, Row]:
         """For each partition with rows the commit that wrote it last, as of a version."""
