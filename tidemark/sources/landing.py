@@ -15,6 +15,8 @@ from tidemark.sources.contracts import SCHEMA_VERSION, TAGS, is_time, schema_pat
 
 # Unfinished attempts lie beside the landing zone, where no stream looks.
 ATTEMPTS = "_attempts"
+# Readers split a file between its row groups: small ones let all cores read what a few tasks have written.
+GROUP_BYTES = 4 * 1024 * 1024
 
 
 def timestamps_as_text(df: DataFrame) -> DataFrame:
@@ -59,7 +61,7 @@ def write_landing(
     newest = F.greatest(F.max(F.col(created)), F.max(F.col(updated))).cast("string")
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("watermark"))
     tagged = tag_schema(timestamps_as_text(observed), entity, root, version)
-    tagged.write.option("compression", "snappy").parquet(attempt)
+    tagged.write.option("compression", "snappy").option("parquet.block.size", GROUP_BYTES).parquet(attempt)
     if not seen.get["rows"]:
         remove(spark, attempt)
         return None

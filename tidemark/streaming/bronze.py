@@ -25,6 +25,8 @@ BRONZE_SCHEMA = struct(
 )
 
 
+# A consumer may take one file at a time, and reads it by row groups.
+GROUP_BYTES, GROUP_SETTING = 8 * 1024 * 1024, "parquet.block.size"
 # By default a file stream passes over files a week older than the newest one: restored or copied ones would be lost.
 ANY_AGE = "36500d"
 
@@ -67,7 +69,16 @@ def start_bronze(
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(bronze)
+    # A file sink has no options of its writer; it takes them from the session when it starts.
+    before = spark.conf.get(GROUP_SETTING, None)
+    spark.conf.set(GROUP_SETTING, GROUP_BYTES)
+    try:
+        return writer.start(bronze)
+    finally:
+        if before is None:
+            spark.conf.unset(GROUP_SETTING)
+        else:
+            spark.conf.set(GROUP_SETTING, before)
 
 
 def load_bronze(*args, **kwargs) -> None:
