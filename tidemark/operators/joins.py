@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,14 @@ def find_skew(df: DataFrame, key: str) -> Skew:
     """All hot keys of a join column, and whether NULL is one.
 
     Keys are counted exactly, and counts combine before their shuffle. As a hot key holds more than two fair
-    shares of a partition, there are fewer of them than half the partitions.
+    shares of a partition, there are fewer of them than half the partitions: these many of the largest counts come to
+    the driver, and all rows are counted in the same pass.
     """
-    width = shuffle_width(df.sparkSession)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.count()
-    hot = counts.where(F.col("rows") * width > 2 * total).select(key).collect()
-    return Skew([r[0] for r in hot if r[0] is not None], any(r[0] is None for r in hot))
+    width, seen = shuffle_width(df.sparkSession), Observation()
+    counts = df.select(key).observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    largest = counts.orderBy(F.desc("rows")).limit(max(1, width // 2)).collect()
+    hot = [r[0] for r in largest if r["rows"] * width > 2 * seen.get["rows"]]
+    return Skew([k for k in hot if k is not None], None in hot)
 
 
 def lookup_join(
@@ -45,6 +46,7 @@ def lookup_join(
     lookup_key: str,
     how: str = "left",
     limit_bytes: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table looked up by key, where some keys may hold a large part of the rows.
 
@@ -52,11 +54,11 @@ def lookup_join(
     changes the plan and never the rows. Beyond the limit the hot keys are found first. Rows of other keys meet the
     lookup on the plain key. Rows of hot keys, and rows without a
     key if these are many, are spread over all shuffle partitions, and the lookup rows of the hot keys are repeated
-    to meet them. The table of hot keys that is broadcast has fewer rows than half the shuffle partitions.
+    to meet them. ``counted`` may be a frame with the same keys that is cheaper to count than ``facts``. The table of hot keys that is broadcast has fewer rows than half the shuffle partitions.
     """
     limit = broadcast_limit(lookup) if limit_bytes is None else limit_bytes
     same_key = F.col(fact_key) == F.col(lookup_key)
-    skew = find_skew(facts, fact_key) if plan_bytes(lookup) > limit else None
+    skew = find_skew(facts if counted is None else counted, fact_key) if plan_bytes(lookup) > limit else None
     if not skew:
         return facts.join(lookup, same_key, how)
 

@@ -18,11 +18,13 @@ def star_join(
     status_link: tuple[str, str],
     surrogate: str = "sk",
     effective: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left joins to both dimensions, adding ``_user_sk`` and ``_status_sk``.
 
     Each link is ``(column of the rows, key of the dimension)``. With ``effective`` only the current
-    version of a key is met and the row count stays; without it every version of a key adds a row.
+    version of a key is met and the row count stays; without it every version of a key adds a row. ``counted`` may be the
+    rows before they were numbered, for the count of hot keys.
     """
     for dim, (row_key, dim_key), name in ((users, user_link, "_user"), (status, status_link, "_status")):
         versions = dim.where("is_effective") if effective else dim
@@ -31,7 +33,7 @@ def star_join(
             # An order meets its own status: one row per key on both sides, so no key is hot.
             rows = rows.join(lookup, F.col(row_key) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
         else:
-            rows = lookup_join(rows, lookup, row_key, f"{name}_key").drop(f"{name}_key")
+            rows = lookup_join(rows, lookup, row_key, f"{name}_key", counted=counted if name == "_user" else None).drop(f"{name}_key")
     return rows
 
 
@@ -55,10 +57,11 @@ def fact_orders(
         F.col("created_at").cast("timestamp_ntz").alias("created_at"),
         F.col("spent").cast("bigint").alias("spent"),
     )
+    plain = new
     if effective:
         # One fact per order: number the narrow rows before the joins, so the joins run once.
         new = with_surrogate_keys(new, by=["id", "id_user", "created_at", "spent"], first=first_key)
-    facts = star_join(new, dim_users, dim_status, ("id_user", "id"), ("id", "id"), effective=effective)
+    facts = star_join(new, dim_users, dim_status, ("id_user", "id"), ("id", "id"), effective=effective, counted=plain)
     if not effective:
         by = ["id", "id_user", "created_at", "spent", "_user_sk", "_status_sk"]
         facts = with_surrogate_keys(facts, by=by, first=first_key)

@@ -20,7 +20,8 @@ from tidemark.sources.incremental import incremental_rows, not_landed
 from tidemark.sources.landing import landed_batch, landed_since, read_landing, write_landing
 from tidemark.sources.registry import (
     RegistryField,
-    deduplicated_extract,
+    arriving_columns,
+    first_arrivals,
     parse_schema,
     publish_schema,
     read_registry,
@@ -178,7 +179,7 @@ class Warehouse:
                 return
             batch_id = f"{entity}-{batch}"
             extract = create_or_replace(
-                deduplicated_extract(rows, versions), f"{self.root}/silver/{table}/batch_id={batch}"
+                first_arrivals(rows), f"{self.root}/silver/{table}/batch_id={batch}"
             )
             if rules:
                 own = f"{self.root}/data_quality/fact_errors/{table}/batch_id={batch}"
@@ -189,7 +190,7 @@ class Warehouse:
                     require_passed(failures)
             apply(extract, batch_id)
 
-        consume(self.spark, f"{self.root}/bronze/{entity}", checkpoint, load, max_files)
+        consume(self.spark, f"{self.root}/bronze/{entity}", checkpoint, load, max_files, arriving_columns(versions))
 
     def rule_catalogue(self) -> DataFrame:
         """The rules of all audited tables, as the last run wrote them."""

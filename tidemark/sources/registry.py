@@ -123,14 +123,22 @@ def versioned_columns(versions: Mapping[str, list[RegistryField]], raw: str = "p
     return columns
 
 
+def arriving_columns(versions: Mapping[str, list[RegistryField]]) -> list[Column]:
+    """Typed columns of bronze records, widened over the versions of their schema, with what tells their arrival apart."""
+    return [*versioned_columns(versions), F.struct("md5", *ARRIVAL_ORDER).alias("_arrival")]
+
+
+def first_arrivals(typed: DataFrame) -> DataFrame:
+    """Of rows of ``arriving_columns`` the first arrival of each record."""
+    order = [F.col(f"_arrival.{c}") for c in ARRIVAL_ORDER]
+    first = first_per_key(typed.withColumn("_md5", F.col("_arrival.md5")), ["_md5"], order)
+    return first.drop("_md5", "_arrival")
+
+
 def deduplicated_extract(bronze: DataFrame, versions: Mapping[str, list[RegistryField]]) -> DataFrame:
     """Typed columns of the first arrival of each record, widened over the versions of its schema.
 
     The fields are taken out before the shuffle: typed columns are narrower than whole records,
     which carry every field name.
     """
-    arrival = F.struct("md5", *ARRIVAL_ORDER).alias("_arrival")
-    typed = bronze.select(*versioned_columns(versions), arrival)
-    order = [F.col(f"_arrival.{c}") for c in ARRIVAL_ORDER]
-    first = first_per_key(typed.withColumn("_md5", F.col("_arrival.md5")), ["_md5"], order)
-    return first.drop("_md5", "_arrival")
+    return first_arrivals(bronze.select(*arriving_columns(versions)))

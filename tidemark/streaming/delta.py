@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.streaming.bronze import ANY_AGE, BRONZE_SCHEMA
 
@@ -15,9 +15,13 @@ def consume(
     checkpoint: str,
     apply: Callable[[DataFrame, int], None],
     max_files: int | None = None,
+    columns: Sequence[Column] | None = None,
 ) -> None:
     """Calls ``apply(rows, batch)`` on every batch of unread bronze rows.
 
+    ``columns`` are taken out by the stream itself, whose scan then reads the fields that they name; a batch is handed on as
+    rows, of which a later projection can only read whole records.
+
     The position moves on only after ``apply`` returns, so a failed batch is delivered again under
     the same number. ``apply`` must therefore write by that number: overwrite a folder named after
     it, or commit it as a batch id.
@@ -25,8 +29,9 @@ def consume(
     reader = spark.readStream.schema(BRONZE_SCHEMA).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.parquet(bronze)
     query = (
-        reader.parquet(bronze)
+        (rows if columns is None else rows.select(*columns))
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
