@@ -110,3 +110,20 @@ def test_plan_has_no_cross_join(spark):
     df = spark.createDataFrame(clustered(120), "vec_id long, embedding array<float>, label int")
     plan = hn.digest(spark, df.withColumn("x", F.lit(1)))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_nodes_of_a_tree_are_met_a_few_times_together(monkeypatch):
+    """Random directions, of which hardly a node can be skipped: products are worked out in few calls, whatever the nodes."""
+    rng = np.random.default_rng(5)
+    values = np.floor(rng.normal(size=(2000, 32)) * 256)
+    labels = np.arange(2000) % 10
+    tree = hn.Tree.over(np.arange(2000), np.zeros(2000, dtype=np.int64), labels, values)
+    calls, plain = [], hn.products
+    monkeypatch.setattr(hn, "products", lambda v, q, p: calls.append(len(v)) or plain(v, q, p))
+    for n in range(0, 2000, 100):
+        best = hn._Best(5)
+        hn.search(tree, values[n], int(labels[n]), [best], True, (n, 0))
+        scores = values @ values[n]
+        mine = [i for i in np.lexsort((np.arange(2000), -scores)) if i != n and labels[i] == labels[n]][:5]
+        assert [r[1] for r in best.rows] == mine
+    assert len(calls) <= 20 * 5

@@ -3,13 +3,13 @@
 A candidate x becomes (x, sqrt(M² - |x|²)), where M is the largest norm of its block; an anchor q becomes (q, 0). Then
 |q - x|² = |q|² + M² - 2 q·x, so that a large inner product is a small distance. A node of a tree is a candidate with a
 covering radius, the largest distance to anything below it, and the triangle inequality gives the least and the largest
-inner product under the node. A descent opens nodes by falling upper bound and skips those whose range of products lies
-outside every window that still wants candidates. What it reaches is compared by its exact integer product.
+inner product under the node. The ranges of all nodes of a tree are worked out at once; nodes are opened by falling upper
+bound, a few and then more at a time, and those whose range of products lies outside every window that still wants
+candidates are skipped. What is reached is compared by its exact integer product.
 """
 
 from __future__ import annotations
 
-import heapq
 import pickle
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -33,6 +33,8 @@ PIVOTS = 256
 #: Anchors that meet a block in one task, about.
 TILE_ROWS = 1024
 LEAF, SHRINK = 64, 0.8
+#: Nodes are opened so many times as many at a time as before, beginning with one.
+GROWTH = 8
 _EXACT = 2.0**52
 
 
@@ -70,7 +72,7 @@ class Tree:
     values: np.ndarray
     largest: float  # M²
     peak: float  # largest component
-    root: Node
+    nodes: "Nodes"
 
     @classmethod
     def over(cls, ids, versions, labels, values) -> "Tree":
@@ -84,7 +86,43 @@ class Tree:
         place = np.empty_like(rows)
         place[rows] = np.arange(len(rows))
         _moved(root, place)
-        return cls(ids[rows], versions[rows], labels[rows], values[rows], largest, float(np.abs(values).max(initial=0)), root)
+        return cls(ids[rows], versions[rows], labels[rows], values[rows], largest, float(np.abs(values).max(initial=0)), Nodes.of(root, values[rows]))
+
+
+@dataclass
+class Nodes:
+    """The nodes of a finished tree in the order of a walk, the root first."""
+
+    centres: np.ndarray  # vectors; the root has none and its range no end
+    radii: np.ndarray
+    levels: list[tuple[np.ndarray, np.ndarray]]  # per depth below the root: the nodes, and their parents
+    mixed: np.ndarray  # more than one label below
+    labels: np.ndarray  # the label below, where there is one
+    filled: np.ndarray  # nodes with members
+    owner: np.ndarray  # node of each row
+
+    @classmethod
+    def of(cls, root: Node, values: np.ndarray) -> "Nodes":
+        found, stack = [], [(root, -1, 0, 0, np.inf)]
+        while stack:
+            node, parent, depth, centre, radius = stack.pop()
+            stack += [(c, len(found), depth + 1, m, r) for c, m, r in zip(node.children, node.centres, node.radii)] if node.children else []
+            found.append((parent, depth, centre, radius, node))
+        parents, depths = np.array([f[0] for f in found]), np.array([f[1] for f in found])
+        below = [np.flatnonzero(depths == d) for d in range(1, depths.max() + 1)]
+        owner = np.zeros(len(values), dtype=np.int64)
+        for n, f in enumerate(found):
+            owner[f[4].first : f[4].last] = n
+        label = [f[4].label for f in found]
+        return cls(
+            values[[f[2] for f in found]] if len(values) else np.zeros((len(found), values.shape[1])),
+            np.array([f[3] for f in found], dtype=float),
+            [(nodes, parents[nodes]) for nodes in below],
+            np.array([x is None for x in label]),
+            np.array([x or 0 for x in label], dtype=np.int64),
+            np.array([f[4].last > f[4].first for f in found]),
+            owner,
+        )
 
 
 def _laid(node: Node, order: list[np.ndarray], at: int) -> int:
@@ -185,29 +223,28 @@ def search(tree: Tree, query: np.ndarray, label: int, windows: list[_Best], same
 
     ``key`` (id and version) is the anchor's own, which is never offered.
     """
-    total = float(query @ query) + tree.largest
+    total, nodes = float(query @ query) + tree.largest, tree.nodes
     slack = 1e-9 * (total + 1)
+    distance, reach = np.sqrt(np.maximum(total - 2 * (nodes.centres @ query), 0)), nodes.radii * (1 + 1e-9)
+    upper = (total - np.maximum(distance - reach, 0) ** 2) / 2 + slack
+    lower = (total - (distance + reach) ** 2) / 2 - slack
+    upper[0], lower[0] = np.inf, -np.inf
+    for own, parents in nodes.levels:
+        upper[own], lower[own] = np.minimum(upper[own], upper[parents]), np.maximum(lower[own], lower[parents])
+    waiting = np.flatnonzero(nodes.filled & (nodes.mixed | ((nodes.labels == label) == same)))
+    waiting = waiting[np.argsort(-upper[waiting], kind="stable")]
     fitting = (tree.labels == label) == same
-    counter, heap = 0, [(-np.inf, 0, tree.root)]
-    while heap:
-        upmost, _, node = heapq.heappop(heap)
+    together = 1
+    while len(waiting):
         least, most = min(w.least for w in windows), max(w.high for w in windows)
-        if -upmost < least:
-            return
-        if node.last > node.first:
-            part = slice(node.first, node.last)
-            _offer(windows, products(tree.values[part], query, tree.peak), fitting[part], tree.ids[part], tree.versions[part], key)
-        if not node.children:
-            continue
-        distance = np.sqrt(np.maximum(total - 2 * (tree.values[node.centres] @ query), 0))
-        upper = (total - np.maximum(distance - node.radii * (1 + 1e-9), 0) ** 2) / 2 + slack
-        lower = (total - (distance + node.radii * (1 + 1e-9)) ** 2) / 2 - slack
-        for k in np.flatnonzero((upper >= least) & (lower <= most)):
-            child = node.children[k]
-            if child.label is not None and (child.label == label) != same:
-                continue
-            counter += 1
-            heapq.heappush(heap, (-upper[k], counter, child))
+        waiting = waiting[(upper[waiting] >= least) & (lower[waiting] <= most)]
+        opened = np.zeros(len(upper), dtype=bool)
+        opened[waiting[:together]] = True
+        waiting, together = waiting[together:], together * GROWTH
+        rows = np.flatnonzero(opened[nodes.owner] & fitting)
+        if len(rows):
+            scores = products(tree.values[rows], query, tree.peak)
+            _offer(windows, scores, np.ones(len(rows), dtype=bool), tree.ids[rows], tree.versions[rows], key)
 
 
 def prepared(embeddings: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
