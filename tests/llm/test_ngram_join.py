@@ -114,3 +114,21 @@ def test_a_hot_key_of_an_aggregate_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_only_near_pairs_are_held_against_earlier_rounds(spark, monkeypatch):
+    """The join that takes decided pairs out reads a table of near pairs, not the members of all parts."""
+    plans, plain = {}, nj._Join.stored
+
+    def stored(self, name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(self, name, df)
+
+    monkeypatch.setattr(nj._Join, "stored", stored)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:n] + [f"x{n}"] + words[n:]) for n in range(0, 60, 4)]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    nj.linked(spark, docs).collect()
+    for name in ("links-1", "links-rest"):
+        assert "LeftAnti" in plans[name] and "bit_count" not in plans[name]
+        assert "bit_count" in plans[name.replace("links", "pairs")]

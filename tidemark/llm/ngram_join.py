@@ -306,6 +306,9 @@ class _Join:
 
     def verified(self, name: str, pairs: DataFrame, members: DataFrame, before: list[DataFrame]) -> DataFrame:
         """(a, b, linked) by the exact sets, for pairs that no earlier round has decided."""
+        if before:
+            # A table of near pairs: else Spark moves the joins below the filter by sketches, to all members of all parts.
+            pairs = self.stored(f"pairs-{name}", pairs)
         for known in before:
             pairs = pairs.join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
         texts = members.select("node", "text")
