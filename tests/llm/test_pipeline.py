@@ -2,10 +2,11 @@
 
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import language_id, ngram_join, packing
+from tidemark.llm import language_id, ngram_join, packing, secret_scan
 
 
 def test_stages_pass_the_columns_on_and_decide(spark, odd, tmp_path):
@@ -63,3 +64,20 @@ def test_columns_with_the_stages_own_names_pass_through(spark, odd, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     rows = docs.collect()
     assert rows and all(r.lang_pred == r.secret_spans == r.text_redacted == r.doc_id and r.lang_score == "s" and r.lang_rejected for r in rows)
+
+
+def test_models_are_fitted_in_tasks_and_not_on_the_driver(spark, small, nothing, monkeypatch):
+    rows = [(r.text, r.lang) for r in small.orderBy("lang", "doc_id", "text").collect()]
+    of_all = language_id.fit([t for t, _ in rows], [lang for _, lang in rows])
+
+    def stopped(*_):
+        raise AssertionError("fitted on the driver")
+
+    monkeypatch.setattr(language_id, "_clusters", stopped)
+    monkeypatch.setattr(secret_scan, "_train", stopped)
+    model = language_id.fit_on(small)
+    assert model.languages == of_all.languages and np.allclose(model.centroids, of_all.centroids, atol=1e-5)
+    for table in (small, nothing):
+        net = secret_scan.train_on(table)
+        assert [s[0] for s in secret_scan.find("the key: 'q8Zr2Lx0Vb7Np4Tw' is here", net)] == ["model"]
+    assert language_id.fit_on(nothing).languages == []

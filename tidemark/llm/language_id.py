@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.fitting import fitted
+
 BUCKETS = 1 << 13
 CENTROIDS = 4
 #: Labelled texts of each language that a model is fitted on, at most; languages that are learned, the most frequent first.
@@ -126,8 +128,14 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     return model
 
 
+def _fit_rows(rows: list[tuple]) -> Model:
+    """``fit`` of (text, lang, doc_id)."""
+    rows = sorted(rows, key=lambda r: (r[1], r[2] is None, 0 if r[2] is None else r[2], r[0]))
+    return fit([r[0] for r in rows], [r[1] for r in rows])
+
+
 def fit_on(documents: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of ``documents`` (text, lang): about ``sample`` hashed texts of each language come to the driver, fewer where
+    """A model of ``documents`` (text, lang): about ``sample`` hashed texts of each language come to one task, fewer where
     many languages share ``TEXTS``. Of equal cosines the language that comes first by name wins."""
     labelled = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
@@ -136,9 +144,7 @@ def fit_on(documents: DataFrame, sample: int = SAMPLE) -> Model:
     sample = min(sample, max(1, TEXTS // len(sizes)))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))))
-    rows = labelled.filter(drawn < share[F.col("lang")]).select("text", "lang", "doc_id").toPandas()
-    rows = rows.sort_values(["lang", "doc_id", "text"], kind="stable")
-    return fit(list(rows["text"]), list(rows["lang"]))
+    return fitted(labelled.filter(drawn < share[F.col("lang")]).select("text", "lang", "doc_id"), _fit_rows)
 
 
 ADDED = ("lang_pred", "lang_score", "lang_rejected")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.fitting import fitted
 from tidemark.session import workspace
 
 # The patterns, in the order in which kinds are listed.
@@ -35,7 +36,7 @@ CANDIDATE = re.compile(
     r"[A-Za-z0-9+/_.-]+={0,2}"
 )
 LEAST_LENGTH = 8
-#: Candidates of each label that the driver gets, at most.
+#: Candidates of each label that a network is trained on, at most.
 TRAINING_CANDIDATES = 1_500
 #: Keys, and things that are none, that are drawn for training.
 DRAWN = 2_500
@@ -318,17 +319,22 @@ def fit(rows: list[tuple[str, str, str]], labels: list[int], leave_out: str | No
     return train(*augmented(told + others, [1] * len(told) + [0] * len(others), leave_out))
 
 
+def _fit_examples(rows: list[tuple]) -> Network:
+    rows = sorted(rows, key=lambda r: (r[4], r[3], *r[:3]))
+    return fit([r[:3] for r in rows], [r[4] for r in rows])
+
+
 def train_on(documents: DataFrame, most_candidates: int = TRAINING_CANDIDATES) -> Network:
     """A network trained on a hashed sample of the labelled candidates of all documents, ``most_candidates`` of a label at
-    most, and on what ``fit`` draws: a table without any candidate gives a network, too."""
+    most, and on what ``fit`` draws: a table without any candidate gives a network, too. It is trained in a task."""
     spark = documents.sparkSession
     folder = workspace(spark, "secret-scan")
     schema = "before string, inside string, after string, order long, label int"
     documents.select("text").mapInArrow(_examples(most_candidates), schema).write.parquet(f"{folder}/examples")
     found = spark.read.parquet(f"{folder}/examples").distinct()
     # An order of hashes, cut off, is a sample; what a task has cut off lies behind its own first rows.
-    rows = [r for label in (0, 1) for r in found.filter(F.col("label") == label).orderBy("order", "before", "inside", "after").limit(most_candidates).collect()]
-    return fit([(r["before"], r["inside"], r["after"]) for r in rows], [r["label"] for r in rows])
+    none, some = (found.filter(F.col("label") == label).orderBy("order", "before", "inside", "after").limit(most_candidates) for label in (0, 1))
+    return fitted(none.union(some), _fit_examples)
 
 
 def find(text: str, net: Network | None) -> list[tuple[str, int, int]]:
