@@ -132,3 +132,69 @@ def test_only_near_pairs_are_held_against_earlier_rounds(spark, monkeypatch):
     for name in ("links-1", "links-rest"):
         assert "LeftAnti" in plans[name] and "bit_count" not in plans[name]
         assert "bit_count" in plans[name.replace("links", "pairs")]
+
+
+def test_wide_sketches_fold_and_bound_their_difference():
+    random_numbers = np.random.default_rng(2)
+    for size in (1, 512, 513, 1024, 1025, 5000):
+        wide = nj.wide_sketch(random_numbers.integers(0, 2**64, size, dtype=np.uint64))
+        assert len(wide) == 0 if size <= 512 else size <= 64 * len(wide) < 2 * size + 64
+    a, b = (np.unique(random_numbers.integers(0, 2**64, n, dtype=np.uint64)) for n in (900, 1100))
+    b = np.unique(np.concatenate([a, b[:190]]))
+    folded = np.bitwise_xor.reduce(nj.wide_sketch(b).reshape(2, -1))
+    assert (folded == nj.sketch(b, 16)).all() and len(nj.wide_sketch(a)) == 16
+    assert int(np.bitwise_count((nj.wide_sketch(a) ^ folded).view(np.uint64)).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_texts_travel_for_near_pairs_alone(spark, monkeypatch):
+    """Of large sets that share parts but not enough shingles, no text is fetched; keys and texts go after their use."""
+    tables, plain = {}, nj._Join.stored
+
+    def stored(self, name, df):
+        out = tables[name] = plain(self, name, df)
+        if name.startswith(("texts", "links")):
+            tables[name] = out.count() if name.startswith("texts") else [r.linked for r in out.select("linked").collect()]
+        return out
+
+    monkeypatch.setattr(nj._Join, "stored", stored)
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**9)}"
+    common = [word() for _ in range(1100)]
+    # Jaccard of 0.6 but for the last two: one is a near copy across a fold (1,000 and 1,060 shingles), one of equal width.
+    texts = [common + [word() for _ in range(370)] for _ in range(6)]
+    texts += [common[:1004], common[:1004] + [word() for _ in range(60)], texts[0][:1450]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    join = nj._Join(spark, spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    result = sorted((x.doc_id, x.n_shingles, x.component_id) for x in join.run().collect())
+    assert result == all_pairs(rows, 5, 80) and [x[2] for x in result] == [0, 1, 2, 3, 4, 5, 6, 6, 0]
+    checked = [x for name, links in tables.items() if name.startswith("links") for x in links]
+    assert sorted(checked) == [True, True]
+    assert sum(n for name, n in tables.items() if name.startswith("texts")) == 4
+    from tidemark.files import path_exists
+
+    assert not any(path_exists(spark, f"{join.folder}/{name}") for name in ("rows/packed=true", "texts-0", "texts-1", "texts-rest"))
+
+
+def test_pairs_whose_texts_exceed_the_table_are_checked_in_lots(spark, monkeypatch):
+    rounds, plain = {}, nj._Join.stored
+
+    def stored(self, name, df):
+        out = plain(self, name, df)
+        if name.startswith("links"):
+            rounds[name] = [(x.a, x.b) for x in out.collect()]
+        return out
+
+    monkeypatch.setattr(nj._Join, "stored", stored)
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    base = [r.choice(words) for _ in range(120)]
+    copies = [[r.choice(words) if n == 4 * i else w for n, w in enumerate(base)] for i in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(copies)]
+    found_here = found(spark, spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert found_here == all_pairs(rows, 5, 80)
+    size = sum(len(t) for _, t in rows)
+    assert "links-0-1" in rounds
+    every = [p for pairs in rounds.values() for p in pairs]
+    assert len(every) == len(set(every))
+    # 2 x 120 words a pair: no lot takes much more than the table holds.
+    assert max(len(p) for p in rounds.values()) * 2 * size / 30 < 1.6 * size

@@ -4,12 +4,15 @@ Every shingle toggles one bit of a wide sketch of its document, so that the Hamm
 exceeds the symmetric difference of their sets. For a size band the difference that the threshold allows is at
 most H; the sketch is cut into more than H parts, and by the pigeonhole principle two linked documents of the band
 agree in one part at least. A part is too wide to be stored as bits; it is held as the XOR of the 64-bit codes of its
-toggled bits, which equal parts share. Documents meet where a part agrees. A 512-bit sketch, filtered by its Hamming
-distance, and the exact sets then decide.
+toggled bits, which equal parts share. Documents meet where a part agrees. A 512-bit sketch and, of larger sets, one
+of at least as many bits as shingles, filtered by their Hamming distances, and the exact sets then decide.
 
 Equal sets are one node from the start. Documents that share a part are not all paired: each meets a pivot of the
 part, linked ones become one component, and only documents whose components still differ are paired, so that
 groups of near copies cost about as many checks as they have members, while no link between components is lost.
+
+Texts are fetched for the nodes of near pairs alone, and pairs are checked in lots whose texts are no more than those of
+the table, so that the disk follows the table and not the number of pairs.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import remove
 from tidemark.llm.components import components
 from tidemark.llm.skew import join_aggregate
 from tidemark.llm.words import mix, shingle_sets
@@ -68,11 +73,22 @@ def part_keys(shingles: np.ndarray, percent: int, bands: list[int]) -> np.ndarra
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+def sketch(shingles: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """Parities of the shingles by their lower bits; the XOR of its halves is the sketch of half as many words."""
+    bits = np.bincount((shingles & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> np.ndarray:
+    """A sketch of at least as many bits as shingles, a power of two; empty where the plain one has as many.
+
+    Half the bits of a full sketch differ between any two sets: of 512 bits 256, which a link allows from 1,152 shingles on
+    (at 80 percent). Of a bit per shingle or more, unrelated sets differ in twice as many as a link allows.
+    """
+    words = 1 << max(0, (len(shingles) - 1).bit_length() - 6)
+    return sketch(shingles, words) if words > SKETCH_WORDS else np.zeros(0, np.int64)
+
+
 def _packed(keys: np.ndarray, sums: np.ndarray) -> tuple[bytes, bytes]:
     """Upper 40 bits of the keys and the sums of their sets; the bucket tells the rest of a key well enough."""
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), sums.astype("<u8").tobytes()
@@ -97,7 +113,7 @@ def _sketched(width: int, percent: int, buckets: int):
                 for s in shingle_sets(whole.column("text").slice(at, ROWS_AT_ONCE), width):
                     sizes.append(len(s))
                     sums.append((s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else (0, 0))
-                    sketches.append(sketch(s))
+                    sketches.append(np.concatenate([sketch(s), wide_sketch(s)]))
                     keys.append(part_keys(s, percent, bands) if len(s) else np.zeros(0, np.uint64))
             if not sizes:
                 continue
@@ -116,6 +132,7 @@ def _sketched(width: int, percent: int, buckets: int):
             by_owner = np.argsort(owner[shared], kind="stable")
             local = _long_keys(upper[shared], bucket[shared])[by_owner]
             local_ends = np.cumsum([0, *np.bincount(owner[shared], minlength=len(keys))])
+            sketch_ends = np.cumsum([0, *(len(x) for x in sketches)])
             n = len(keys)
             none = lambda kind, size=n: pa.nulls(size, kind)
             yield pa.RecordBatch.from_arrays(
@@ -123,9 +140,10 @@ def _sketched(width: int, percent: int, buckets: int):
                     whole.column("doc_id"),
                     whole.column("version"),
                     pa.array(sizes, pa.int64()),
+                    pc.fill_null(pc.binary_length(whole.column("text")), 0).cast(pa.int64()),
                     pa.array(np.ascontiguousarray(sums[:, 0]).view(np.int64)),
                     pa.array(np.ascontiguousarray(sums[:, 1]).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * SKETCH_WORDS, pa.int32()), pa.array(np.concatenate(sketches))),
+                    pa.ListArray.from_arrays(pa.array(sketch_ends, pa.int32()), pa.array(np.concatenate(sketches))),
                     pa.ListArray.from_arrays(pa.array(local_ends, pa.int32()), pa.array(local)),
                     none(pa.int64()),
                     none(pa.binary()),
@@ -140,7 +158,7 @@ def _sketched(width: int, percent: int, buckets: int):
                 numbers, packed, packed_sums = zip(*parts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(none(pa.int64(), m) for _ in range(5)),
+                        *(none(pa.int64(), m) for _ in range(6)),
                         *(none(pa.list_(pa.int64()), m) for _ in range(2)),
                         pa.array(numbers, pa.int64()),
                         pa.array(packed, pa.binary()),
@@ -152,9 +170,9 @@ def _sketched(width: int, percent: int, buckets: int):
     return run
 
 
-ROW_NAMES = ["doc_id", "version", "n_shingles", "sum", "xor", "sketch", "local_keys", "bucket", "keys", "sums"]
+ROW_NAMES = ["doc_id", "version", "n_shingles", "n_bytes", "sum", "xor", "sketch", "local_keys", "bucket", "keys", "sums"]
 ROW_SCHEMA = (
-    "doc_id long, version long, n_shingles long, sum long, xor long, sketch array<long>, local_keys array<long>, "
+    "doc_id long, version long, n_shingles long, n_bytes long, sum long, xor long, sketch array<long>, local_keys array<long>, "
     "bucket long, keys binary, sums binary"
 )
 
@@ -192,13 +210,28 @@ def _verified(width: int, percent: int):
     return run
 
 
+def _wide_distance() -> Column:
+    """Bits in which the wide sketches of sides ``x`` and ``y`` differ; one of twice as many words is folded."""
+    words = F.least(F.size("x.wide"), F.size("y.wide"))
+
+    def fit(wide: Column) -> Column:
+        halves = F.slice(wide, F.lit(1), words), F.slice(wide, words + 1, words)
+        return F.when(F.size(wide) > words, F.zip_with(*halves, lambda p, q: p.bitwiseXOR(q))).otherwise(wide)
+
+    differ = F.zip_with(fit(F.col("x.wide")), fit(F.col("y.wide")), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(differ, F.lit(0), lambda total, n: total + n)
+
+
 def _close(percent: int) -> Column:
-    """Sizes and sketches of sides ``x`` and ``y`` allow a link."""
+    """Sizes and sketches of sides ``x`` and ``y`` allow a link; the wide ones are looked at last."""
     total = F.col("x.n_shingles") + F.col("y.n_shingles")
     words = [F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH_WORDS)]
     smaller, larger = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    distance = reduce(lambda p, q: p + q, words)
-    return (100 * smaller >= percent * larger) & (distance * (100 + percent) <= (100 - percent) * total)
+    near = lambda distance: distance * (100 + percent) <= (100 - percent) * total
+    plain = (100 * smaller >= percent * larger) & near(reduce(lambda p, q: p + q, words))
+    sizes = F.size("x.wide"), F.size("y.wide")
+    comparable = (F.least(*sizes) > 0) & (F.greatest(*sizes) <= 2 * F.least(*sizes))
+    return F.when(plain, F.when(comparable, near(_wide_distance())).otherwise(True)).otherwise(False)
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -224,24 +257,32 @@ class _Join:
         df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
+    def dropped(self, name: str) -> None:
+        """A table that no later one reads."""
+        remove(self.spark, f"{self.folder}/{name}")
+
     def labels(self, links: list[DataFrame], name: str) -> DataFrame:
         return components(reduce(DataFrame.union, [x.filter("linked").select("a", "b") for x in links]), f"{self.folder}/{name}")
 
     def run(self) -> DataFrame:
         buckets = min(shuffle_width(self.spark), 1 << 23)
-        sketched = self.stored(
-            "rows", self.documents.mapInArrow(_sketched(self.width, self.percent, buckets), ROW_SCHEMA).withColumn("row", F.monotonically_increasing_id())
-        )
-        rows = sketched.filter("bucket is null").drop("bucket", "keys", "sums")
+        sketched = self.documents.mapInArrow(_sketched(self.width, self.percent, buckets), ROW_SCHEMA)
+        sketched = sketched.withColumn("row", F.monotonically_increasing_id()).withColumn("packed", F.col("bucket").isNotNull())
+        # In folders of their own: the packed keys are most of the table and go as soon as they have met.
+        sketched.write.option("compression", "zstd").partitionBy("packed").parquet(f"{self.folder}/rows")
+        sketched = self.spark.read.schema(sketched.schema).parquet(f"{self.folder}/rows")
+        rows = sketched.filter("not packed").drop("bucket", "keys", "sums", "packed")
         same = ["n_shingles", "sum", "xor"]
         nodes = self.stored("nodes", rows.filter("n_shingles > 0").groupBy(*same).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")))
-        packed = sketched.filter("bucket is not null").select("bucket", "keys", "sums")
+        packed = sketched.filter("packed").select("bucket", "keys", "sums")
         shared = packed.groupBy("bucket").applyInArrow(_shared, "key long, sum long")
         local = rows.filter(F.size("local_keys") > 0).select(F.explode("local_keys").alias("key"), "sum")
         # Equal sets have equal sums; different sets with one sum would only meet more often.
         shared = shared.union(local).distinct()
         buckets = self.stored("buckets", shared.join(nodes.select("sum", "node").hint("merge"), "sum").select("key", "node"))
+        self.dropped("rows/packed=true")
         members = self.stored("members", self.members(buckets, rows))
+        self.lot_bytes = max(1, rows.agg(F.sum("n_bytes")).first()[0] or 0)
         links: list[DataFrame] = []
         for turn in range(PIVOT_ROUNDS):
             labelled = self.labelled(buckets, links, f"labels-{turn}")
@@ -258,16 +299,20 @@ class _Join:
         return found.select("doc_id", "version", "n_shingles", "component", "component_id").union(empty)
 
     def members(self, buckets: DataFrame, rows: DataFrame) -> DataFrame:
-        """Text, size and sketch of the nodes that share a part with another."""
+        """Size, sketches and row hashes of the nodes that share a part with another."""
         wanted = rows.join(buckets.select(F.col("node").alias("row")).distinct(), "row", "left_semi")
-        wanted = wanted.select(F.col("row").alias("node"), F.col("doc_id").alias("id"), F.col("version").alias("of"), "n_shingles",
-                               *(F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH_WORDS)))
-        wanted = wanted.withColumn("id", F.xxhash64("id", "of"))
+        plain = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH_WORDS)]
+        wide = F.slice("sketch", F.lit(SKETCH_WORDS + 1), F.size("sketch") - SKETCH_WORDS).alias("wide")
+        return wanted.select(F.col("row").alias("node"), F.xxhash64("doc_id", "version").alias("id"), F.col("version").alias("of"), "n_shingles", "n_bytes", *plain, wide)
+
+    def texts(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
+        """Text and its length of the nodes of ``pairs``."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = members.select("node", "id", "of").join(nodes.hint("merge"), "node", "left_semi")
         documents = _keyed(self.documents.drop("version"))
         on = (documents["__row"] == wanted["id"]) & (documents["__version"] == wanted["of"])
         # Repeated rows give a node's text several times.
-        found = documents.join(wanted.hint("merge"), on).dropDuplicates(["__row", "__version"])
-        return found.drop("doc_id", "id", "of", "__row", "__version")
+        return documents.join(wanted.hint("merge"), on).dropDuplicates(["__row", "__version"]).select("node", "text")
 
     def labelled(self, buckets: DataFrame, links: list[DataFrame], name: str) -> DataFrame:
         """Rows of the parts in which components still differ."""
@@ -286,35 +331,43 @@ class _Join:
         return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def close_pairs(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
-        small = members.drop("text")
+        small = members.drop("id", "of")
         x, y = (small.select(F.col("node").alias(side), *[c for c in small.columns if c != "node"]).alias(of) for side, of in (("a", "x"), ("b", "y")))
         joined = pairs.alias("p").join(x.hint("merge"), F.col("p.a") == F.col("x.a")).join(y.hint("merge"), F.col("p.b") == F.col("y.b"))
-        return joined.filter(_close(self.percent)).select("p.a", "p.b")
+        return joined.filter(_close(self.percent)).select("p.a", "p.b", (F.col("x.n_bytes") + F.col("y.n_bytes")).alias("n_bytes"))
 
     def rest(self, labelled: DataFrame, members: DataFrame) -> DataFrame:
         """All pairs of a part whose components differ, sizes fit and sketches are near: with one side outside the part's
         most common component, for two nodes of that component are linked already."""
         counts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
         major = counts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("major"))
-        small = members.drop("text")
+        small = members.drop("id", "of")
         wide = self.stored("wide", join_aggregate(labelled, major, "key").join(small.hint("merge"), "node").withColumn("minor", F.col("component") != F.col("major")))
         x, y = wide.filter("minor").alias("x"), wide.alias("y")
         once = ~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))
         on = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & _close(self.percent)
         pairs = x.join(y.hint("merge"), on)
-        return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        both = (F.col("x.n_bytes") + F.col("y.n_bytes")).alias("n_bytes")
+        return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), both).distinct()
 
     def verified(self, name: str, pairs: DataFrame, members: DataFrame, before: list[DataFrame]) -> DataFrame:
         """(a, b, linked) by the exact sets, for pairs that no earlier round has decided."""
-        if before:
-            # A table of near pairs: else Spark moves the joins below the filter by sketches, to all members of all parts.
-            pairs = self.stored(f"pairs-{name}", pairs)
+        # A table of near pairs: else Spark moves the joins below the filter by sketches, to all members of all parts.
+        pairs = self.stored(f"pairs-{name}", pairs)
         for known in before:
             pairs = pairs.join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        texts = members.select("node", "text")
+        texts = self.stored(f"texts-{name}", self.texts(pairs, members))
+        # Each pair takes two texts to its check. Their shuffle files are those of one lot, at most as large as the table.
+        lots = -(-(pairs.agg(F.sum("n_bytes")).first()[0] or 0) // self.lot_bytes) or 1
         side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")).hint("merge")
-        both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-        return self.stored(f"links-{name}", both.mapInArrow(_verified(self.width, self.percent), "a long, b long, linked boolean"))
+        links = []
+        for lot in range(lots):
+            some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(lots)) == lot) if lots > 1 else pairs
+            both = some.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+            checked = both.mapInArrow(_verified(self.width, self.percent), "a long, b long, linked boolean")
+            links.append(self.stored(f"links-{name}" + f"-{lot}" * (lot > 0), checked))
+        self.dropped(f"texts-{name}")
+        return reduce(DataFrame.union, links)
 
 
 def linked(spark: SparkSession, documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
