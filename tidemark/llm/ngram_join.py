@@ -35,6 +35,7 @@ from tidemark.session import shuffle_width, workspace
 SKETCH_WORDS = 8
 ROWS_AT_ONCE = 500
 PIVOT_ROUNDS = 2
+MORE_PIVOT_ROUNDS = 3
 
 
 def allowed_difference(a: int, b: int, percent: int) -> int:
@@ -284,10 +285,14 @@ class _Join:
         members = self.stored("members", self.members(buckets, rows))
         self.lot_bytes = max(1, rows.agg(F.sum("n_bytes")).first()[0] or 0)
         links: list[DataFrame] = []
-        for turn in range(PIVOT_ROUNDS):
+        for turn in range(PIVOT_ROUNDS + MORE_PIVOT_ROUNDS):
             labelled = self.labelled(buckets, links, f"labels-{turn}")
             pairs = self.pivot_pairs(labelled, turn)
             links.append(self.verified(f"{turn}", self.close_pairs(pairs, members), members, links))
+            # While pivots still link, another one is cheaper than what each node left over costs: a pair with all of its group.
+            checked, joined = links[-1].agg(F.count("*"), F.count_if("linked")).first()
+            if turn + 1 >= PIVOT_ROUNDS and 20 * joined <= checked:
+                break
         labelled = self.labelled(buckets, links, "labels-rest")
         links.append(self.verified("rest", self.rest(labelled, members), members, links))
         labels = self.labels(links, "labels")
